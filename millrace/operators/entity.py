@@ -164,7 +164,8 @@ def _index_prefix(vectors: DataFrame, floor: float) -> DataFrame:
     ``floor`` are left out of the index. If two bags meet on no indexed token, all they share
     lies in the left-out part of one of them, so their cosine is below the length of that part
     (L2 prefix filter: Bayardo et al. 2007, Anastasiu and Karypis 2014). Hot tokens weigh
-    next to nothing under this idf, so they are the ones that drop out.
+    next to nothing under this idf, so they are the ones that drop out. ``commoner`` is the
+    length of the bag's tokens that are more common than the posting's.
     """
     common_first = (
         Window.partitionBy("bag")
@@ -172,13 +173,11 @@ def _index_prefix(vectors: DataFrame, floor: float) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     square = F.col("weight") * F.col("weight")
-    marked = vectors.withColumn("common_sq", F.sum(square).over(common_first))
-    indexed = F.col("common_sq") >= floor * floor * (1 - _SLACK)
-    whole = Window.partitionBy("bag")
     return (
-        marked.withColumn("indexed", indexed)
-        .withColumn("left_out", F.sqrt(F.coalesce(F.sum(F.when(~indexed, square)).over(whole), F.lit(0.0))))
-        .where("indexed")
+        vectors.withColumn("common_sq", F.sum(square).over(common_first))
+        .where(F.col("common_sq") >= floor * floor * (1 - _SLACK))
+        .withColumn("commoner", F.sqrt(F.greatest(F.col("common_sq") - square, F.lit(0.0))))
+        .drop("common_sq")
     )
 
 
@@ -186,28 +185,32 @@ def similar_bags(vectors: DataFrame, floor: float) -> DataFrame:
     """Every bag pair across the sides with cosine >= ``floor``: (left_bag, right_bag, n_pairs,
     similarity, shared). Exact; nothing is capped.
 
+    A pair's score is at most what its indexed tokens give plus the product of the lengths of
+    what is more common than its commonest shared one; only pairs that can reach ``floor`` are
+    scored in full.
+
     ``floor`` = 0 indexes every token and so returns all pairs that share a token, as the plain
     inverted-index join does; its size is quadratic, so it is for small inputs.
     """
     index = _index_prefix(vectors, floor)
-    left = index.where("n_left > 0").select(
-        F.col("bag").alias("left_bag"), "token", F.col("weight").alias("lw"), "n_left",
-        F.col("left_out").alias("left_rest"),
-    )
-    right = index.where("n_right > 0").select(
-        F.col("bag").alias("right_bag"), "token", F.col("weight").alias("rw"), "n_right",
-        F.col("left_out").alias("right_rest"),
-    )
+    if floor > 0:
+        index = store(index, "index")
+
+    def side(bag: str, weight: str, rest: str, n: str) -> DataFrame:
+        return index.where(F.col(n) > 0).select(
+            "token", F.col("bag").alias(bag), F.col("weight").alias(weight), F.col("commoner").alias(rest), n
+        )
+
     met = (
-        left.join(right, "token")
+        side("left_bag", "lw", "lrest", "n_left")
+        .join(side("right_bag", "rw", "rrest", "n_right"), "token")
         .groupBy("left_bag", "right_bag")
         .agg(
             F.sum(F.col("lw") * F.col("rw")).alias("part"),
-            F.first("left_rest").alias("left_rest"),
-            F.first("right_rest").alias("right_rest"),
-            F.first(F.col("n_left") * F.col("n_right")).alias("n_pairs"),
+            F.min(F.col("lrest") * F.col("rrest")).alias("rest"),
+            F.max(F.col("n_left") * F.col("n_right")).alias("n_pairs"),
         )
-        .where(F.col("part") + F.greatest("left_rest", "right_rest") >= floor * (1 - _SLACK))
+        .where(F.col("part") + F.col("rest") >= floor * (1 - _SLACK))
         .select("left_bag", "right_bag", "n_pairs")
     )
     return score_pairs(met, vectors).where(F.round("similarity", 9) >= floor)

@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from millrace.plans import entity, relational, weblog, words  # noqa: F401
+from millrace.plans import entity, models, relational, weblog, words  # noqa: F401
 from millrace.plans.registry import all_queries, all_sql  # noqa: F401

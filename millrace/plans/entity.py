@@ -9,7 +9,7 @@ from millrace.plans.inputs import SIDE, records
 from millrace.plans.registry import query
 from millrace.plans.words import KEPT
 
-FLOOR = 0.01  # least cosine of a similar pair; bins and thresholds start there
+FLOOR = 0.05  # least cosine of a similar pair; bins and thresholds start there
 
 SQL_RECORDS = f"""
 rec AS (SELECT doc_id, {SIDE} AS side, text, {KEPT} AS tokens FROM documents),
@@ -37,7 +37,7 @@ SQL_BINS = SQL_PAIRS + """,
 bins AS (
   SELECT CAST(bin AS INTEGER) AS bin, coalesce(c, 0) AS candidates, coalesce(g, 0) AS gold,
          coalesce(c, 0) - coalesce(g, 0) AS net
-  FROM range(1, 101) AS x(bin)
+  FROM range(5, 101) AS x(bin)
   LEFT JOIN (SELECT floor(round(sim * 100, 6)) AS bin, count(*) AS c FROM near GROUP BY 1) USING (bin)
   LEFT JOIN (SELECT floor(round(sim * 100, 6)) AS bin, count(*) AS g FROM gs GROUP BY 1) USING (bin))
 """
@@ -47,7 +47,7 @@ sweep AS (
          (SELECT count(*) FROM gs WHERE sim >= k / 100) AS tp,
          CAST((SELECT sum(net) FROM bins WHERE bin >= k) AS BIGINT) AS fp,
          (SELECT count(*) FROM gs WHERE sim < k / 100) AS fn
-  FROM range(1, 100) AS x(k))
+  FROM range(5, 100) AS x(k))
 """
 
 
@@ -263,7 +263,7 @@ def score_bin_query(t):
 def _bins(t):
     _, vectors = bags_and_vectors(t)
     golden = er.store(gold_scores(t, vectors), "gold-scores")
-    return er.threshold_bins(er.similar_bags(vectors, FLOOR), golden, first_bin=1), golden
+    return er.threshold_bins(er.similar_bags(vectors, FLOOR), golden, first_bin=5), golden
 
 
 @query("threshold_bins", f"WITH {SQL_BINS} SELECT bin, candidates, gold, net FROM bins")

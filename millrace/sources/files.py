@@ -144,3 +144,13 @@ def word_vector_file(lines: DataFrame) -> DataFrame:
 def json_sink(df: DataFrame, path: str) -> None:
     """One JSON document per row."""
     df.write.json(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """The table over all cores, where it is stored in fewer splits than there are cores.
+
+    Text work is bound by CPU, and one big row group would keep it on one core. A table of many
+    splits, as on a cluster, stays as it is and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
