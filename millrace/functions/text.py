@@ -34,11 +34,12 @@ def split_words(c: Column) -> Column:
 
 def tokenize_simple(c: Column) -> Column:
     """Lower-case runs of word characters, repeats kept."""
-    return F.filter(F.split(F.lower(c), r"\W+"), lambda x: x != "")
+    return F.array_remove(F.split(F.lower(c), r"\W+"), "")
 
 
 def tokenize_stop(c: Column, stopwords: list[str] = STOPWORDS) -> Column:
-    return F.filter(tokenize_simple(c), lambda x: ~x.isin(*stopwords))
+    """``tokenize_simple`` without the stopwords; empties go in the same pass."""
+    return F.filter(F.split(F.lower(c), r"\W+"), lambda x: ~x.isin("", *stopwords))
 
 
 def alpha_words(c: Column) -> Column:
@@ -49,7 +50,7 @@ def alpha_words(c: Column) -> Column:
 def whitespace_tokens(c: Column) -> Column:
     """Newlines deleted, then split on runs of blanks; a blank text has no token."""
     flat = F.regexp_replace(F.regexp_replace(F.lower(c), r"\n", ""), r"^\s+|\s+$", "")
-    return F.filter(F.split(flat, r"\s+"), lambda x: x != "")
+    return F.array_remove(F.split(flat, r"\s+"), "")
 
 
 def remove_quotes(c: Column) -> Column:
@@ -58,11 +59,11 @@ def remove_quotes(c: Column) -> Column:
 
 def sentences(c: Column) -> Column:
     """Split behind a full stop, exclamation or question mark that a blank follows."""
-    return F.filter(F.split(c, r"(?<=[.!?])\s+"), lambda x: x != "")
+    return F.array_remove(F.split(c, r"(?<=[.!?])\s+"), "")
 
 
 def characters(c: Column) -> Column:
-    return F.filter(F.split(c, ""), lambda x: x != "")
+    return F.array_remove(F.split(c, ""), "")
 
 
 def _positions(last: Column) -> Column:

@@ -75,15 +75,19 @@ def inverted_index(weights: DataFrame, key: str) -> DataFrame:
 # ---- two sides ----------------------------------------------------------------------------
 
 
-def fold_copies(records: DataFrame, key: str, side: str = "side") -> DataFrame:
+def with_bags(records: DataFrame) -> DataFrame:
+    """Adds ``bag``, the fingerprint of the record's multiset of tokens."""
+    return records.withColumn("bag", F.unhex(F.md5(F.array_join(F.sort_array("tokens"), " "))))
+
+
+def fold_copies(bagged: DataFrame, key: str, side: str = "side") -> DataFrame:
     """(bag, tokens, n_left, n_right, left_id, right_id): one row per multiset of tokens.
 
     ``side`` is 'a' or 'b'. The ids are the least on each side, to name the bag by.
     """
     left, right = F.col(side) == "a", F.col(side) == "b"
     return (
-        records.withColumn("bag", F.md5(F.array_join(F.array_sort("tokens"), " ")))
-        .groupBy("bag")
+        bagged.groupBy("bag")
         .agg(
             F.first("tokens").alias("tokens"),
             F.count_if(left).alias("n_left"),
@@ -95,10 +99,11 @@ def fold_copies(records: DataFrame, key: str, side: str = "side") -> DataFrame:
 
 
 def bag_vectors(bags: DataFrame) -> DataFrame:
-    """Unit-length tf-idf vectors as rows (bag, token, weight, df, n_left, n_right).
+    """Unit-length tf-idf vectors as rows (bag, token, weight, df, common_sq, n_left, n_right).
 
-    The corpus is both sides with repeats, as the counts on the bags say. Stored, because every
-    later step reads it more than once.
+    The corpus is both sides with repeats, as the counts on the bags say. ``common_sq`` is the
+    squared length of the bag's tokens from the most common one to this one; both windows need
+    the same spread and order of rows. Stored, because every later step reads it more than once.
     """
     size = F.col("n_left") + F.col("n_right")
     n_records = bags.agg(F.sum(size)).scalar()
@@ -110,14 +115,19 @@ def bag_vectors(bags: DataFrame) -> DataFrame:
         .groupBy("bag", "n_left", "n_right", "total", "token")
         .agg(F.count("*").alias("n"))
     )
-    counts = store(counts, "bag-tokens")
     holding = counts.groupBy("token").agg(F.sum(size).alias("df"))
     weighted = counts.join(holding, "token").withColumn(
         "raw", F.col("n") / F.col("total") * (n_records / F.col("df"))
     )
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("bag")))
+    common_first = Window.partitionBy("bag").orderBy(F.desc("df"), F.asc("token"))
+    whole = common_first.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    so_far = common_first.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    square = F.sum(F.col("raw") * F.col("raw"))
     return store(
-        weighted.select("bag", "token", (F.col("raw") / norm).alias("weight"), "df", "n_left", "n_right"),
+        weighted.withColumns({"_all": square.over(whole), "_some": square.over(so_far)}).select(
+            "bag", "token", (F.col("raw") / F.sqrt("_all")).alias("weight"), "df",
+            (F.col("_some") / F.col("_all")).alias("common_sq"), "n_left", "n_right",
+        ),
         "bag-vectors",
     )
 
@@ -136,24 +146,32 @@ def postings_join(vectors: DataFrame) -> DataFrame:
     )
 
 
-def score_pairs(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Exact cosine and shared tokens of given bag pairs (left_bag, right_bag, ..), 0 when none."""
+def _meetings(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
+    """A row per pair and token both of its bags hold, with both weights."""
     left = vectors.select(F.col("bag").alias("left_bag"), "token", F.col("weight").alias("lw"))
     right = vectors.select(F.col("bag").alias("right_bag"), "token", F.col("weight").alias("rw"))
-    hits = (
-        pairs.select("left_bag", "right_bag")
-        .join(left, "left_bag")
-        .join(right, ["right_bag", "token"])
-        .groupBy("left_bag", "right_bag")
-        .agg(
-            F.sum(F.col("lw") * F.col("rw")).alias("similarity"),
-            F.array_sort(F.collect_list("token")).alias("shared"),
-        )
+    return pairs.join(left, "left_bag").join(right, ["right_bag", "token"])
+
+
+def _shared_scores(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
+    """``pairs`` that share a token, with their exact cosine."""
+    return _meetings(pairs, vectors).groupBy(*pairs.columns).agg(
+        F.sum(F.col("lw") * F.col("rw")).alias("similarity")
     )
-    return (
-        pairs.join(hits, ["left_bag", "right_bag"], "left")
-        .withColumn("similarity", F.coalesce("similarity", F.lit(0.0)))
-        .withColumn("shared", F.coalesce("shared", F.array().cast("array<string>")))
+
+
+def common_tokens(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
+    """The tokens each pair shares, in order; a list is never longer than the record."""
+    return _meetings(pairs, vectors).groupBy(*pairs.columns).agg(
+        F.sort_array(F.collect_list("token")).alias("shared")
+    )
+
+
+def score_pairs(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
+    """Exact cosine of given bag pairs (left_bag, right_bag, ..), 0 where they share nothing."""
+    hits = _shared_scores(pairs.select("left_bag", "right_bag"), vectors)
+    return pairs.join(hits, ["left_bag", "right_bag"], "left").withColumn(
+        "similarity", F.coalesce("similarity", F.lit(0.0))
     )
 
 
@@ -167,23 +185,15 @@ def _index_prefix(vectors: DataFrame, floor: float) -> DataFrame:
     next to nothing under this idf, so they are the ones that drop out. ``commoner`` is the
     length of the bag's tokens that are more common than the posting's.
     """
-    common_first = (
-        Window.partitionBy("bag")
-        .orderBy(F.desc("df"), F.asc("token"))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
     square = F.col("weight") * F.col("weight")
-    return (
-        vectors.withColumn("common_sq", F.sum(square).over(common_first))
-        .where(F.col("common_sq") >= floor * floor * (1 - _SLACK))
-        .withColumn("commoner", F.sqrt(F.greatest(F.col("common_sq") - square, F.lit(0.0))))
-        .drop("common_sq")
+    return vectors.where(F.col("common_sq") >= floor * floor * (1 - _SLACK)).withColumn(
+        "commoner", F.sqrt(F.greatest(F.col("common_sq") - square, F.lit(0.0)))
     )
 
 
 def similar_bags(vectors: DataFrame, floor: float) -> DataFrame:
     """Every bag pair across the sides with cosine >= ``floor``: (left_bag, right_bag, n_pairs,
-    similarity, shared). Exact; nothing is capped.
+    similarity). Exact; nothing is capped.
 
     A pair's score is at most what its indexed tokens give plus the product of the lengths of
     what is more common than its commonest shared one; only pairs that can reach ``floor`` are
@@ -193,8 +203,6 @@ def similar_bags(vectors: DataFrame, floor: float) -> DataFrame:
     inverted-index join does; its size is quadratic, so it is for small inputs.
     """
     index = _index_prefix(vectors, floor)
-    if floor > 0:
-        index = store(index, "index")
 
     def side(bag: str, weight: str, rest: str, n: str) -> DataFrame:
         return index.where(F.col(n) > 0).select(
@@ -213,7 +221,8 @@ def similar_bags(vectors: DataFrame, floor: float) -> DataFrame:
         .where(F.col("part") + F.col("rest") >= floor * (1 - _SLACK))
         .select("left_bag", "right_bag", "n_pairs")
     )
-    return score_pairs(met, vectors).where(F.round("similarity", 9) >= floor)
+    # stored, so the size of the candidate table is known when its joins are planned
+    return _shared_scores(store(met, "candidates"), vectors).where(F.round("similarity", 9) >= floor)
 
 
 def side_centroid(vectors: DataFrame, side: str) -> DataFrame:
@@ -258,15 +267,14 @@ def cross_pair_totals(left: DataFrame, right: DataFrame, group: str) -> DataFram
 # ---- gold pairs ---------------------------------------------------------------------------
 
 
-def gold_pairs(records: DataFrame, gold_key: Column, side: str = "side") -> DataFrame:
+def gold_pairs(bagged: DataFrame, gold_key: Column, side: str = "side") -> DataFrame:
     """Known duplicates as bag pairs (left_bag, right_bag, n_gold): records of the two sides with
     the same ``gold_key``.
 
     Counted per (key, bag) first, so a group of copies meets as one row and not as all its pairs.
     """
     counted = (
-        records.withColumn("bag", F.md5(F.array_join(F.array_sort("tokens"), " ")))
-        .groupBy(F.md5(gold_key).alias("gold_key"), "bag")
+        bagged.groupBy(gold_key.alias("gold_key"), "bag")
         .agg(
             F.count_if(F.col(side) == "a").alias("n_left"),
             F.count_if(F.col(side) == "b").alias("n_right"),

@@ -84,7 +84,7 @@ def knn_classify(
     queries = (
         placed.mapInPandas(reachable, "id bigint, vec array<double>, fold int, cells array<int>")
         .select("id", "vec", "fold", F.explode("cells").alias("cell"))
-        .withColumn("part", F.pmod(F.xxhash64("id"), F.lit(max(n_blocks) * n_pivots)))
+        .withColumn("part", F.pmod(F.xxhash64("id"), F.lit(max(1, -(-int(stats["n"].sum()) // block)))))
         .groupBy("cell", "fold", "part")
         .agg(F.collect_list(F.struct("id", "vec")).alias("q"))
         .select("cell", "fold", F.col("part").alias("q_part"), F.col("q.id").alias("q_id"), F.col("q.vec").alias("q_vec"))
@@ -108,12 +108,17 @@ def knn_classify(
                 t_id = np.asarray(row.t_id)[keep]
                 t_label = np.asarray(row.t_label)[keep]
                 t = np.array(list(row.t_vec), dtype=float)[keep]
-                out = []
-                for q_id, q in zip(row.q_id, row.q_vec):
+                near_d, near_row = [], []
+                for q in row.q_vec:
                     d = np.round(np.sqrt(((t - np.asarray(q, dtype=float)) ** 2).sum(axis=1)), _DIGITS)
                     best = np.lexsort((t_id, d))[:k]
-                    out.append(pd.DataFrame({"id": q_id, "d": d[best], "n_id": t_id[best], "n_label": t_label[best]}))
-                yield pd.concat(out)
+                    near_d.append(d[best])
+                    near_row.append(best)
+                rows = np.concatenate(near_row)
+                yield pd.DataFrame({
+                    "id": np.repeat(np.asarray(row.q_id), [len(r) for r in near_row]),
+                    "d": np.concatenate(near_d), "n_id": t_id[rows], "n_label": t_label[rows],
+                })
 
     near = queries.join(train, "cell").mapInPandas(compare, "id bigint, d double, n_id bigint, n_label int")
     # rank filters run before the shuffle too, so a query brings k rows per task at most

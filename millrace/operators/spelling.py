@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import word_deletes, word_edits1, word_transposes
+from millrace.operators.ordering import store
 
 
 def spell_edits1(words: DataFrame) -> DataFrame:
@@ -42,7 +43,7 @@ def _near(words: DataFrame, vocabulary: DataFrame, depth: int) -> DataFrame:
 
 
 def _letters(c: str) -> Column:
-    return F.array_join(F.array_sort(F.split(c, "")), "")
+    return F.array_join(F.sort_array(F.split(c, "")), "")
 
 
 def _one_edit() -> Column:
@@ -85,12 +86,17 @@ def spell_correct(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
     )
     rest = words.join(vocabulary.select("word"), "word", "left_anti")
     one = _best(_near(rest, vocabulary, 1).where(_one_edit())).withColumn("edits", F.lit(1))
-    far = rest.join(one.select("word"), "word", "left_anti")
-    two = _best(_near(far, vocabulary, 2).where(_two_edits())).withColumn("edits", F.lit(2))
+    # each tier is read by the next one and by the result, so it is stored once
+    one = store(one, "one-edit")
+    far = store(rest.join(one.select("word"), "word", "left_anti"), "no-one-edit")
+    found = known.unionByName(one)
+    if far.isEmpty():
+        return found
+    two = store(_best(_near(far, vocabulary, 2).where(_two_edits())).withColumn("edits", F.lit(2)), "two-edits")
     unchanged = far.join(two.select("word"), "word", "left_anti").select(
         "word", F.col("word").alias("correction"), F.lit(-1).alias("edits")
     )
-    return known.unionByName(one).unionByName(two).unionByName(unchanged)
+    return found.unionByName(two).unionByName(unchanged)
 
 
 def spell_report(tests: DataFrame, corrected: DataFrame, vocabulary: DataFrame) -> DataFrame:

@@ -55,7 +55,7 @@ sweep AS (
 
 
 def _docs(t):
-    return records(t).drop("side")
+    return records(t).drop("side", "gold_key")
 
 
 @query("tf", f"WITH {SQL_RECORDS} SELECT doc_id, token, round(tf, 9) AS tf FROM tf")
@@ -125,25 +125,30 @@ def histogram_50(t):
 # ---- pairs of the two sides ---------------------------------------------------------------
 
 
-def bags_and_vectors(t):
-    bags = er.store(er.fold_copies(records(t), "doc_id"), "bags")
-    return bags, er.bag_vectors(bags)
+class Catalogue:
+    """The stored tables that the pair jobs share."""
 
+    def __init__(self, t):
+        bagged = er.store(er.with_bags(records(t)), "bagged")
+        self.bags = er.store(er.fold_copies(bagged, "doc_id"), "bags")
+        self.vectors = er.bag_vectors(self.bags)
+        self._bagged = bagged
 
-def gold_of(t):
-    with_text = records(t).join(t.documents.select("doc_id", "text"), "doc_id")
-    return er.gold_pairs(with_text, F.lower(F.trim("text")))
+    @property
+    def gold(self):
+        return er.store(er.gold_pairs(self._bagged, F.col("gold_key")), "gold")
 
+    def similar(self):
+        return er.similar_bags(self.vectors, FLOOR)
 
-def gold_scores(t, vectors):
-    return er.score_pairs(gold_of(t), vectors)
+    def gold_scores(self):
+        return er.score_pairs(self.gold, self.vectors)
 
-
-def _named(pairs, bags):
-    """Bag pairs by the least document on either side."""
-    left = bags.select(F.col("bag").alias("left_bag"), F.col("left_id").alias("a_id"))
-    right = bags.select(F.col("bag").alias("right_bag"), F.col("right_id").alias("b_id"))
-    return pairs.join(left, "left_bag").join(right, "right_bag")
+    def named(self, pairs):
+        """Bag pairs by the least document on either side."""
+        left = self.bags.select(F.col("bag").alias("left_bag"), F.col("left_id").alias("a_id"))
+        right = self.bags.select(F.col("bag").alias("right_bag"), F.col("right_id").alias("b_id"))
+        return pairs.join(left, "left_bag").join(right, "right_bag")
 
 
 @query("cross_pairs", f"""
@@ -165,8 +170,8 @@ FROM rec JOIN rep USING (doc_id) LEFT JOIN (SELECT a_id, sum(sim) AS s FROM sims
 WHERE side = 'a' GROUP BY 1
 """)
 def cosine_all_pairs(t):
-    bags, vectors = bags_and_vectors(t)
-    return er.mean_cosine_per_record(vectors, bags).withColumn(
+    c = Catalogue(t)
+    return er.mean_cosine_per_record(c.vectors, c.bags).withColumn(
         "mean_similarity", F.round("mean_similarity", 6)
     )
 
@@ -177,7 +182,7 @@ SELECT token, count(DISTINCT a.doc_id) AS n_left, count(DISTINCT b.doc_id) AS n_
 FROM wt a JOIN wt b USING (token) WHERE a.side = 'a' AND b.side = 'b' GROUP BY 1
 """)
 def postings_join(t):
-    return er.postings_join(bags_and_vectors(t)[1])
+    return er.postings_join(Catalogue(t).vectors)
 
 
 @query("cosine_inverted", f"""
@@ -186,8 +191,8 @@ SELECT ra.rep AS a_id, rb.rep AS b_id, count(*) AS n_pairs, round(avg(raw), 6) A
 FROM near JOIN rep ra ON ra.doc_id = a_id JOIN rep rb ON rb.doc_id = b_id GROUP BY 1, 2
 """)
 def cosine_inverted(t):
-    bags, vectors = bags_and_vectors(t)
-    pairs = _named(er.similar_bags(vectors, FLOOR), bags)
+    c = Catalogue(t)
+    pairs = c.named(c.similar())
     return pairs.select("a_id", "b_id", "n_pairs", F.round("similarity", 6).alias("similarity"))
 
 
@@ -198,8 +203,9 @@ SELECT a_id, b_id, string_agg(a.token, ' ' ORDER BY encode(a.token)) AS shared
 FROM d JOIN wt a ON a.doc_id = a_id JOIN wt b ON b.doc_id = b_id AND a.token = b.token GROUP BY 1, 2
 """)
 def common_tokens(t):
-    bags, vectors = bags_and_vectors(t)
-    pairs = _named(er.similar_bags(vectors, FLOOR), bags)
+    c = Catalogue(t)
+    similar = er.store(c.similar().select("left_bag", "right_bag"), "similar")
+    pairs = c.named(er.common_tokens(similar, c.vectors))
     return pairs.select("a_id", "b_id", F.array_join("shared", " ").alias("shared"))
 
 
@@ -209,8 +215,8 @@ SELECT ra.rep AS a_id, rb.rep AS b_id, count(*) AS n_gold, round(avg(raw), 6) AS
 FROM near JOIN gold USING (a_id, b_id) JOIN rep ra ON ra.doc_id = a_id JOIN rep rb ON rb.doc_id = b_id GROUP BY 1, 2
 """)
 def join_gold(t):
-    bags, vectors = bags_and_vectors(t)
-    pairs = _named(er.join_gold(er.similar_bags(vectors, FLOOR), gold_of(t)), bags)
+    c = Catalogue(t)
+    pairs = c.named(er.join_gold(c.similar(), c.gold))
     return pairs.select("a_id", "b_id", "n_gold", F.round("similarity", 6).alias("similarity"))
 
 
@@ -221,8 +227,8 @@ FROM near ANTI JOIN gold USING (a_id, b_id)
 JOIN rep ra ON ra.doc_id = a_id JOIN rep rb ON rb.doc_id = b_id GROUP BY 1, 2
 """)
 def anti_gold(t):
-    bags, vectors = bags_and_vectors(t)
-    pairs = _named(er.anti_gold(er.similar_bags(vectors, FLOOR), gold_of(t)), bags)
+    c = Catalogue(t)
+    pairs = c.named(er.anti_gold(c.similar(), c.gold))
     return pairs.select("a_id", "b_id", "n_pairs", F.round("similarity", 6).alias("similarity"))
 
 
@@ -232,8 +238,8 @@ SELECT ra.rep AS a_id, rb.rep AS b_id, count(*) AS n_gold, round(avg(raw), 6) AS
 FROM gs JOIN rep ra ON ra.doc_id = a_id JOIN rep rb ON rb.doc_id = b_id GROUP BY 1, 2
 """)
 def gold_default_zero(t):
-    bags, vectors = bags_and_vectors(t)
-    pairs = _named(gold_scores(t, vectors), bags)
+    c = Catalogue(t)
+    pairs = c.named(c.gold_scores())
     return pairs.select("a_id", "b_id", "n_gold", F.round("similarity", 6).alias("similarity"))
 
 
@@ -245,8 +251,8 @@ SELECT round((SELECT avg(sim) FROM gs), 6) AS avg_duplicates,
 FROM n
 """)
 def avg_similarity(t):
-    bags, vectors = bags_and_vectors(t)
-    means = er.average_similarity(vectors, bags, gold_scores(t, vectors))
+    c = Catalogue(t)
+    means = er.average_similarity(c.vectors, c.bags, c.gold_scores())
     return means.select(*[F.round(c, 6).alias(c) for c in means.columns])
 
 
@@ -255,15 +261,13 @@ WITH {SQL_PAIRS}
 SELECT CAST(floor(round(sim * 100, 6)) AS INTEGER) AS bin, count(*) AS n FROM near GROUP BY 1
 """)
 def score_bin_query(t):
-    _, vectors = bags_and_vectors(t)
-    similar = er.similar_bags(vectors, FLOOR)
-    return similar.groupBy(score_bin(F.col("similarity")).alias("bin")).agg(F.sum("n_pairs").alias("n"))
+    return Catalogue(t).similar().groupBy(score_bin(F.col("similarity")).alias("bin")).agg(F.sum("n_pairs").alias("n"))
 
 
 def _bins(t):
-    _, vectors = bags_and_vectors(t)
-    golden = er.store(gold_scores(t, vectors), "gold-scores")
-    return er.threshold_bins(er.similar_bags(vectors, FLOOR), golden, first_bin=5), golden
+    c = Catalogue(t)
+    golden = er.store(c.gold_scores(), "gold-scores")
+    return er.threshold_bins(c.similar(), golden, first_bin=5), golden
 
 
 @query("threshold_bins", f"WITH {SQL_BINS} SELECT bin, candidates, gold, net FROM bins")

@@ -85,8 +85,11 @@ SIDE = "CASE WHEN source < 'src2' THEN 'a' ELSE 'b' END"
 
 
 def records(t: Tables) -> DataFrame:
-    """(doc_id, side, tokens) of all documents."""
-    return record_tokens(t.documents.select("doc_id", "text", F.expr(SIDE).alias("side")))
+    """(doc_id, side, gold_key, tokens) of all documents; the same key on both sides marks a
+    known duplicate."""
+    return record_tokens(t.documents.select(
+        "doc_id", "text", F.expr(SIDE).alias("side"), F.md5(F.lower(F.trim("text"))).alias("gold_key")
+    ))
 
 
 def scored(t: Tables) -> DataFrame:

@@ -67,7 +67,7 @@ FROM w LEFT JOIN one USING (word) LEFT JOIN two USING (word)
 """)
 def spell_correct(t):
     """All distinct words of the conversations against the documents' vocabulary."""
-    return sp.spell_correct(_distinct_words(t.conversations), vocabulary(t))
+    return sp.spell_correct(store(_distinct_words(t.conversations), "words"), vocabulary(t))
 
 
 def _misspelt(voc):
@@ -105,7 +105,7 @@ SELECT count(*) AS n_tested, count(*) FILTER (correction <> target) AS n_wrong,
 def spell_report(t):
     voc = vocabulary(t)
     tests = store(_misspelt(voc), "misspelt")
-    fixed = sp.spell_correct(tests.select(F.col("wrong").alias("word")).distinct(), voc)
+    fixed = sp.spell_correct(store(tests.select(F.col("wrong").alias("word")).distinct(), "words"), voc)
     return sp.spell_report(tests, fixed, voc).withColumn("percent_right", F.round("percent_right", 6))
 
 
