@@ -49,6 +49,11 @@ def idf(records: DataFrame) -> DataFrame:
     return holding.select("token", (n_records / F.col("df")).alias("idf"))
 
 
+def stored_idf(records: DataFrame) -> DataFrame:
+    """``idf`` as a table of known size: joins with it are broadcast only where it is small."""
+    return store(idf(records), "idf")
+
+
 def tfidf(records: DataFrame, key: str, idfs: DataFrame) -> DataFrame:
     """(key, token, weight); a token outside the idf table is dropped."""
     return tf(records, key).join(idfs, "token").select(
@@ -115,7 +120,13 @@ def bag_vectors(bags: DataFrame) -> DataFrame:
         .groupBy("bag", "n_left", "n_right", "total", "token")
         .agg(F.count("*").alias("n"))
     )
-    holding = counts.groupBy("token").agg(F.sum(size).alias("df"))
+    # stored, so its size is known: broadcast if small, and then nothing moves after the first spread
+    holding = store(
+        bags.select(size.alias("size"), F.explode(F.array_distinct("tokens")).alias("token"))
+        .groupBy("token")
+        .agg(F.sum("size").alias("df")),
+        "document-frequency",
+    )
     weighted = counts.join(holding, "token").withColumn(
         "raw", F.col("n") / F.col("total") * (n_records / F.col("df"))
     )

@@ -33,7 +33,8 @@ class SentimentModel:
 
     A token's weight is the log of its smoothed rate in positive texts over that in negative
     ones, so a text's margin is one sum. ``weights`` is (token, weight); ``base`` is one row
-    (prior, unknown): the classes' log odds and the weight of a token seen in neither.
+    (prior, unknown): the classes' log odds and the weight of a token seen in neither. Texts are
+    told apart by their keys.
     """
 
     def __init__(self, weights: DataFrame, base: DataFrame):
@@ -64,25 +65,18 @@ class SentimentModel:
         """(keys.., margin, label) for every text; POS where the margin is not below 0."""
         prior = self.base.select("prior").scalar()
         unknown = self.base.select("unknown").scalar()
-        tokens = (
-            texts.select(*keys, F.explode(tokenize_simple(F.col(text))).alias("token"))
-            .groupBy(*keys, "token")
-            .agg(F.count("*").alias("n"))
-        )
+        # the outer explode keeps texts without tokens; a text's tokens lie together, so beside a
+        # broadcast weight table the sums shrink to a row per text before the shuffle
+        tokens = texts.select(*keys, F.explode_outer(tokenize_simple(F.col(text))).alias("token"))
         sums = (
             tokens.join(self.weights, "token", "left")
             .groupBy(*keys)
             .agg(
-                F.sum(F.col("n") * F.col("weight")).alias("seen"),
-                F.sum(F.when(F.col("weight").isNull(), F.col("n"))).alias("unseen"),
+                F.sum("weight").alias("seen"),
+                F.count_if(F.col("weight").isNull() & F.col("token").isNotNull()).alias("unseen"),
             )
         )
-        margin = (
-            F.coalesce("seen", F.lit(0.0)) + F.coalesce("unseen", F.lit(0)) * unknown + prior
-        )
-        return (
-            texts.select(*keys)
-            .join(sums, keys, "left")
-            .select(*keys, F.round(margin, 6).alias("margin"))
-            .withColumn("label", F.when(F.col("margin") >= 0, "POS").otherwise("NEG"))
+        margin = F.coalesce("seen", F.lit(0.0)) + F.col("unseen") * unknown + prior
+        return sums.select(*keys, F.round(margin, 6).alias("margin")).withColumn(
+            "label", F.when(F.col("margin") >= 0, "POS").otherwise("NEG")
         )

@@ -70,22 +70,22 @@ def idf(t):
 
 @query("tfidf", f"WITH {SQL_RECORDS} SELECT doc_id, token, round(w, 6) AS weight FROM wt")
 def tfidf(t):
-    return er.tfidf(_docs(t), "doc_id", er.idf(_docs(t))).withColumn("weight", F.round("weight", 6))
+    return er.tfidf(_docs(t), "doc_id", er.stored_idf(_docs(t))).withColumn("weight", F.round("weight", 6))
 
 
 @query("broadcast_lookup", f"""
 WITH {SQL_RECORDS} SELECT doc_id, token, round(idf, 6) AS idf FROM tf JOIN idf USING (token)
 """)
 def broadcast_lookup(t):
-    # adaptive execution broadcasts the idf table when its measured size is small, and
-    # otherwise splits the join tasks of hot tokens
-    idfs = er.idf(_docs(t)).withColumn("idf", F.round("idf", 6))
+    # the stored table's size decides: broadcast while small, else a shuffle whose hot tokens
+    # adaptive execution splits
+    idfs = er.stored_idf(_docs(t)).withColumn("idf", F.round("idf", 6))
     return er.tf(_docs(t), "doc_id").join(idfs, "token").select("doc_id", "token", "idf")
 
 
 @query("vector_norm", f"WITH {SQL_RECORDS} SELECT doc_id, round(norm, 6) AS norm FROM nrm")
 def vector_norm(t):
-    weights = er.tfidf(_docs(t), "doc_id", er.idf(_docs(t)))
+    weights = er.tfidf(_docs(t), "doc_id", er.stored_idf(_docs(t)))
     return er.vector_norm(weights, "doc_id").withColumn("norm", F.round("norm", 6))
 
 
@@ -97,7 +97,7 @@ SELECT round(sum(ma.w * mb.w), 3) AS dot FROM ma JOIN mb USING (token)
 def dot_product(t):
     """Of the two sides' summed vectors."""
     docs = records(t)
-    weights = er.tfidf(docs, "doc_id", er.idf(docs)).join(docs.select("doc_id", "side"), "doc_id")
+    weights = er.tfidf(docs, "doc_id", er.stored_idf(docs)).join(docs.select("doc_id", "side"), "doc_id")
     summed = weights.groupBy("side", "token").agg(F.sum("weight").alias("weight"))
     left, right = (summed.where(F.col("side") == s).select("token", "weight") for s in "ab")
     return er.dot_product(left, right).withColumn("dot", F.round("dot", 3))

@@ -153,8 +153,9 @@ def question_records(t):
     base = base.withColumn("names", F.filter(F.array_distinct("words"), lambda x: F.length(x) >= _LONG))
     ids = F.transform(
         "words",
+        # every word of that length is among the names
         lambda x: F.when(
-            F.array_contains("names", x),
+            F.length(x) >= _LONG,
             F.concat(F.lit("@entity"), (F.array_position("names", x) - 1).cast("string")),
         ).otherwise(x),
     )
