@@ -3,7 +3,8 @@
 A word one edit (delete, neighbour swap, replace, insert) from another shares with it a string
 that is at most one delete away from each; two edits, at most two deletes from each. So both sides
 are indexed by their deletes, some n or n^2/2 strings per word, where spelling out the edits
-themselves takes 54n or (54n)^2. The join's hits are then checked exactly.
+themselves takes 54n or (54n)^2. Long vocabulary words are met by pieces instead, a fixed number
+per word whatever its length. The join's hits are then checked exactly.
 """
 
 from __future__ import annotations
@@ -15,6 +16,9 @@ from millrace.functions.text import word_deletes, word_edits1, word_transposes
 from millrace.operators.ordering import store
 
 
+_SHORT = 20  # letters up to which a vocabulary word is indexed by its deletes
+
+
 def spell_edits1(words: DataFrame) -> DataFrame:
     """(word, edit): every distinct string one edit away."""
     return words.select("word", F.explode(word_edits1(F.col("word"))).alias("edit"))
@@ -29,17 +33,49 @@ def _delete_keys(w: Column, depth: int) -> Column:
     return F.array_distinct(keys)
 
 
+def _pieces(w: Column, n: int, reach: int) -> Column:
+    """``length:i:piece`` for the n pieces of a word of each length within ``reach`` of that of
+    ``w``, looked for in ``w`` at their places and up to ``reach`` beside them."""
+    steps = range(-reach, reach + 1)
+    cuts = F.array(*[
+        F.struct(F.lit(d).alias("d"), F.lit(i).alias("i"), F.lit(s).alias("s"))
+        for d in steps for i in range(n) for s in steps
+    ])
+    cut = F.transform(cuts, lambda c: _piece(w, F.length(w) + c["d"], c["i"], n, c["s"]))
+    return F.array_compact(cut)
+
+
+def _piece(w: Column, length: Column, i: Column, n: int, shift: Column) -> Column:
+    start = F.floor(length * i / n).cast("int")
+    size = F.floor(length * (i + 1) / n).cast("int") - start
+    inside = (start + shift >= 0) & (start + shift + size <= F.length(w))
+    label = F.concat_ws(":", length.cast("string"), i.cast("string"), w.substr(start + shift + 1, size))
+    return F.when(inside, label)
+
+
 def _near(words: DataFrame, vocabulary: DataFrame, depth: int) -> DataFrame:
-    """(word, candidate, freq) sharing a string at most ``depth`` deletes from each.
+    """(word, candidate, freq) that ``depth`` edits may join; none that they do join is missing.
 
-    Words under one key differ from it by at most ``depth`` inserts, which bounds the group by
-    the alphabet and the word's length, whatever the corpus.
+    Vocabulary words up to ``_SHORT`` letters: both share a string at most ``depth`` deletes from
+    each. Words under one key differ from it by at most ``depth`` inserts, which bounds the group
+    by the alphabet, whatever the corpus.
+
+    Longer ones: an edit touches at most two of a word's pieces, so of 2 * depth + 1 pieces one is
+    whole in the other word, at most ``depth`` places off.
     """
-    left = words.select("word", F.explode(_delete_keys(F.col("word"), depth)).alias("key"))
-    right = vocabulary.select(
-        F.col("word").alias("candidate"), "freq", F.explode(_delete_keys(F.col("word"), depth)).alias("key")
-    )
-    return left.join(right, "key").select("word", "candidate", "freq").distinct()
+    def keyed(table: DataFrame, keys: Column, *columns: Column | str) -> DataFrame:
+        return table.select(*columns, F.explode(keys).alias("key"))
+
+    w, candidate = F.col("word"), F.col("word").alias("candidate")
+    short_left = keyed(words.where(F.length(w) <= _SHORT + depth), _delete_keys(w, depth), "word")
+    short_right = keyed(vocabulary.where(F.length(w) <= _SHORT), _delete_keys(w, depth), candidate, "freq")
+
+    n = 2 * depth + 1
+    long_left = keyed(words.where(F.length(w) > _SHORT - depth), _pieces(w, n, depth), "word")
+    long_right = keyed(vocabulary.where(F.length(w) > _SHORT), _pieces(w, n, 0), candidate, "freq")
+
+    met = short_left.join(short_right, "key").unionByName(long_left.join(long_right, "key"))
+    return met.select("word", "candidate", "freq").distinct()
 
 
 def _letters(c: str) -> Column:
@@ -47,7 +83,7 @@ def _letters(c: str) -> Column:
 
 
 def _one_edit() -> Column:
-    lev = F.levenshtein("word", "candidate")
+    lev = F.levenshtein("word", "candidate", 2)
     swap = (
         (lev == 2)
         & (F.length("word") == F.length("candidate"))
@@ -57,12 +93,19 @@ def _one_edit() -> Column:
 
 
 def _two_edits() -> Column:
-    """Levenshtein distance 2, or a swap of neighbours (two steps there) with one more edit."""
-    lev = F.levenshtein("word", "candidate")
+    """Levenshtein distance 2, or a swap of neighbours (two steps there) before or behind one
+    more edit."""
+    word, candidate = F.col("word"), F.col("candidate")
+    lev = F.levenshtein(word, candidate, 4)
+    swapped, unswapped = word_transposes(word), word_transposes(candidate)
     with_swap = (
         lev.isin(3, 4)
-        & (F.levenshtein(_letters("word"), _letters("candidate")) <= 2)
-        & F.arrays_overlap(word_edits1(F.col("word")), word_edits1(F.col("candidate")))
+        & (F.levenshtein(_letters("word"), _letters("candidate"), 2) >= 0)
+        & (
+            F.exists(swapped, lambda m: F.levenshtein(m, candidate, 1) >= 0)
+            | F.exists(unswapped, lambda m: F.levenshtein(word, m, 1) >= 0)
+            | F.arrays_overlap(swapped, unswapped)
+        )
     )
     return (lev == 2) | with_swap
 

@@ -274,7 +274,7 @@ def test_spell_correct_equals_brute_force(spark):
     assert {r["edits"] for r in got} == {0, 1, 2, -1}
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=6, deadline=None)
 @given(st.lists(st.text("abc", min_size=2, max_size=6), min_size=1, max_size=12))
 def test_two_edit_candidates_miss_none(spark, words):
     vocabulary = spark.createDataFrame([(w, 1) for w in {"abcab", *words}], "word string, freq bigint")
@@ -284,6 +284,32 @@ def test_two_edit_candidates_miss_none(spark, words):
     assert {r[0] for r in near} - {"acbba"} == ({"abcab", *words} & reach) - {"acbba"}
 
 
+def test_long_words_are_met_by_pieces(spark):
+    rng = random.Random(8)
+    pairs = []
+    for n in (18, 19, 20, 21, 22, 23, 40, 400):
+        for _ in range(12):
+            known = "".join(rng.choices("ab", k=n))
+            wrong = known
+            for _ in range(2):
+                i, kind = rng.randrange(len(wrong) - 1), rng.randrange(4)
+                wrong = (
+                    wrong[:i] + wrong[i + 1 :] if kind == 0
+                    else wrong[:i] + wrong[i + 1] + wrong[i] + wrong[i + 2 :] if kind == 1
+                    else wrong[:i] + "c" + wrong[i + 1 :] if kind == 2
+                    else wrong[:i] + "c" + wrong[i:]
+                )
+            pairs.append((known, wrong))
+    vocabulary = spark.createDataFrame([(k, 2) for k in {k for k, _ in pairs}], "word string, freq bigint")
+    asked = spark.createDataFrame([(w,) for w in {w for _, w in pairs}], "word string")
+    near = sp._near(asked, vocabulary, 2)
+    found = {
+        (r["candidate"], r["word"])
+        for r in near.where((F.col("word") == F.col("candidate")) | sp._one_edit() | sp._two_edits()).collect()
+    }
+    assert set(pairs) <= found
+
+
 def test_spell_report(spark):
     vocabulary = spark.createDataFrame([("access", 5), ("forbidden", 3)], "word string, freq bigint")
     tests = spark.createDataFrame(
