@@ -1,4 +1,4 @@
 """All queries of this subpackage."""
 
-from llm import bpe  # noqa: F401
+from llm import bpe, decontamination, quality  # noqa: F401
 from llm.registry import all_queries, all_sql  # noqa: F401
