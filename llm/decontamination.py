@@ -32,7 +32,8 @@ from llm.registry import query
 _FOLD = bytes(
     b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or 48 <= b <= 57 or b >= 128 else 32 for b in range(256)
 )
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+# The same words in a text as it is.
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 BLOCK_WINDOWS = 200_000
 
 
