@@ -26,6 +26,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,8 +34,9 @@ from llm.common import store, table
 from llm.registry import query
 from llm.words_bpe import load_tokenizer, split_words, worker_encoder
 
-BLOCK_CHARS = 16_000_000
-_CODED = "block long, part int, row_id long, data binary, size long"
+BLOCK_CHARS = 32_000_000
+ROW_WORDS = 200_000  # word numbers in a stored row, if not one document has more
+_CODED = "block long, part int, row_ids array<long>, data binary, size long"
 _IDS = "block long, data binary, size long"
 
 
@@ -46,31 +48,56 @@ def default_tokenizer() -> str:
 
 def _planes(numbers: np.ndarray) -> bytes:
     """Unsigned 32-bit integers, compressed byte plane by byte plane."""
-    return zlib.compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 6)
+    return zstandard.compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 9)
 
 
 def _unplanes(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1)
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
     return np.ascontiguousarray(planes.T).reshape(-1).view("<u4")
 
 
+def _pack(*parts: bytes) -> bytes:
+    """Byte strings in one, each after its length."""
+    return b"".join(len(x).to_bytes(4, "little") + x for x in parts)
+
+
+def _unpack(data: bytes) -> list[bytes]:
+    out, at = [], 0
+    while at < len(data):
+        size = int.from_bytes(data[at : at + 4], "little")
+        out.append(data[at + 4 : at + 4 + size])
+        at += 4 + size
+    return out
+
+
 def _block_rows(block: int, docs: list[tuple], known: dict[bytes, int], parts: int) -> Iterator[tuple]:
-    """Rows of a block: a document's word numbers (part -1), or one part of the word list."""
+    """Rows of a block: word numbers of some documents (part -1), or one part of the word list.
+
+    Frequent words get small numbers, which compress well; words of equal use are numbered by part and
+    alphabet, so a part's numbers and spellings run on.
+    """
     uses = np.bincount(np.concatenate([numbers for _, numbers in docs]), minlength=len(known))
-    # frequent words get small numbers, which compress better
-    order = np.argsort(-uses, kind="stable")
+    words = list(known)
+    part_of = [zlib.crc32(w) % parts for w in words]
+    order = sorted(range(len(words)), key=lambda i: (-uses[i], part_of[i], words[i]))
     rank = np.empty(len(order), np.uint32)
     rank[order] = np.arange(len(order), dtype=np.uint32)
-    for row_id, numbers in docs:
-        yield block, -1, row_id, _planes(rank[numbers]), len(numbers)
-    words = list(known)
+    start = 0
+    while start < len(docs):
+        stop, size = start, 0
+        while stop < len(docs) and (stop == start or size + len(docs[stop][1]) <= ROW_WORDS):
+            size += len(docs[stop][1])
+            stop += 1
+        ids = [row_id for row_id, _ in docs[start:stop]]
+        counts = np.array([len(numbers) for _, numbers in docs[start:stop]], np.uint32)
+        yield block, -1, ids, _pack(_planes(counts), _planes(rank[np.concatenate([n for _, n in docs[start:stop]])])), size
+        start = stop
     by_part: dict[int, list[int]] = {}
-    for number in order.tolist():
-        by_part.setdefault(zlib.crc32(words[number]) % parts, []).append(number)
+    for number in order:
+        by_part.setdefault(part_of[number], []).append(number)
     for part, numbers in by_part.items():
-        listed = zlib.compress(b"\n".join([words[i] for i in numbers]), 1)
-        nos = _planes(np.diff(rank[numbers], prepend=np.uint32(0)))
-        yield block, part, None, len(nos).to_bytes(4, "little") + nos + listed, len(numbers)
+        listed = zstandard.compress(b"\n".join([words[i] for i in numbers]), 9)
+        yield block, part, None, _pack(_planes(np.diff(rank[numbers], prepend=np.uint32(0))), listed), len(numbers)
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -81,7 +108,7 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 def code_words(docs: DataFrame, key: str, text: str, parts: int, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Step 1: word numbers per document and word lists per block."""
-    schema = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("row_id", pa.int64()), ("data", pa.binary()), ("size", pa.int64())])
+    schema = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("row_ids", pa.list_(pa.int64())), ("data", pa.binary()), ("size", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -125,12 +152,10 @@ def encode_lists(lists: DataFrame, parts: int, tokenizer) -> DataFrame:
         for batch in batches:
             rows = []
             for block, data, size in zip(*(batch.column(c).to_pylist() for c in ("block", "data", "size")), strict=True):
-                cut = 4 + int.from_bytes(data[:4], "little")
-                words = zlib.decompress(data[cut:]).split(b"\n")
-                ids = encoder.encode(words)
-                lens = _planes(np.array([len(x) for x in ids], np.uint32))
-                flat = _planes(np.concatenate(ids))
-                rows.append((block, data[:cut] + len(lens).to_bytes(4, "little") + lens + flat, size))
+                numbers, listed = _unpack(data)
+                ids = encoder.encode(zstandard.decompress(listed).split(b"\n"))
+                lengths = np.array([len(x) // 4 for x in ids], np.uint32)
+                rows.append((block, _pack(numbers, _planes(lengths), _planes(np.frombuffer(b"".join(ids), "<u4"))), size))
             yield _batch(rows, schema)
 
     return lists.select("part", "block", "data", "size").repartition(parts, "part").mapInArrow(run, _IDS)
@@ -140,11 +165,10 @@ def _block_ids(lists: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per word number of a block: where its ids start and how many they are; and all ids."""
     numbers, lengths, ids = [], [], []
     for data in lists.column("data").to_pylist():
-        a = 4 + int.from_bytes(data[:4], "little")
-        b = a + 4 + int.from_bytes(data[a : a + 4], "little")
-        numbers.append(np.cumsum(_unplanes(data[4:a]), dtype=np.int64))
-        lengths.append(_unplanes(data[a + 4 : b]).astype(np.int64))
-        ids.append(_unplanes(data[b:]))
+        number, length, flat = map(_unplanes, _unpack(data))
+        numbers.append(np.cumsum(number, dtype=np.int64))
+        lengths.append(length.astype(np.int64))
+        ids.append(flat)
     if not numbers:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
     number, length, flat = map(np.concatenate, (numbers, lengths, ids))
@@ -171,11 +195,15 @@ def encode_with(docs: DataFrame, key: str, text: str, tokenizer_path: str, finis
 
     def meet(documents: pa.Table, lists: pa.Table) -> pa.Table:
         starts, counts, flat = _block_ids(lists)
-        words = [_unplanes(x) for x in documents.column("data").to_pylist()]
-        return finish(documents.column("row_id"), [_spread(w, starts, counts, flat) for w in words])
+        out = []
+        for row_ids, data in zip(documents.column("row_ids").to_pylist(), documents.column("data").to_pylist(), strict=True):
+            sizes, numbers = map(_unplanes, _unpack(data))
+            words = np.split(numbers, np.cumsum(sizes)[:-1])
+            out.append(finish(row_ids, [_spread(w, starts, counts, flat) for w in words]))
+        return pa.concat_tables(out) if out else finish([], [])
 
     return (
-        coded.where("part = -1").select("block", "row_id", "data")
+        coded.where("part = -1").select("block", "row_ids", "data")
         .groupBy("block").cogroup(ids.groupBy("block"))
         .applyInArrow(meet, schema)
     )
@@ -185,9 +213,10 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer_p
     """(key, ids): the ids of every whole text."""
 
     def finish(row_ids, ids):
+        # lists of one Arrow table stay far below 2^31 ids: a row holds ROW_WORDS words, or one document
         offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
         flat = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32)
-        return pa.table({key: row_ids, "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))})
+        return pa.table({key: pa.array(row_ids, pa.int64()), "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))})
 
     return encode_with(docs, key, text, tokenizer_path or default_tokenizer(), finish, f"`{key}` long, ids array<int>")
 
@@ -228,7 +257,7 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer_
     def finish(row_ids, ids):
         pieces = np.array(lookup.value, object)
         return pa.table({
-            key: row_ids,
+            key: pa.array(row_ids, pa.int64()),
             "n_tokens": pa.array([len(x) for x in ids], pa.int64()),
             "ids_sha256": pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in ids], pa.string()),
             "decoded_sha256": pa.array([hashlib.sha256(b" ".join(pieces[x].tolist())).hexdigest() for x in ids], pa.string()),

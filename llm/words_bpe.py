@@ -37,19 +37,20 @@ def load_tokenizer(json_text: str):
 
 
 class WordEncoder:
-    """Ids per word, kept in a dictionary of at most ``most`` words that is emptied when full."""
+    """Ids per word as bytes of unsigned 32-bit integers, kept in a dictionary that is emptied when it holds
+    more than ``most`` words."""
 
-    def __init__(self, json_text: str, most: int = 1_000_000):
+    def __init__(self, json_text: str, most: int = 200_000):
         self.tokenizer = load_tokenizer(json_text)
         pieces = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(pieces.values()) + 1, bool)
         for piece, i in pieces.items():
             self.ends[i] = piece.endswith("</w>")
         self.most = most
-        self.known: dict[bytes, np.ndarray] = {}
+        self.known: dict[bytes, bytes] = {}
 
-    def encode(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of each word as unsigned 32-bit integers; repeats are welcome."""
+    def encode(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word; repeats are welcome."""
         if len(self.known) > self.most:
             self.known.clear()
         known = self.known
@@ -67,7 +68,7 @@ class WordEncoder:
         self._add(list(missing))
         for word, cut in parts.items():
             if cut:
-                known[word] = np.concatenate([known[cut[0]], known[cut[1]]])
+                known[word] = known[cut[0]] + known[cut[1]]
         return [known[word] for word in words]
 
     def _add(self, words: list[bytes]) -> None:
@@ -88,24 +89,24 @@ class WordEncoder:
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) == len(part):
                 for (word, _), one in zip(part, np.split(ids, stops[:-1]), strict=True):
-                    self.known[word] = one
+                    self.known[word] = one.tobytes()
             else:
                 rest.extend(part)
         for start in range(0, len(rest), 4096):
             part = rest[start : start + 4096]
             found = self.tokenizer.encode_batch_fast([t for _, t in part], add_special_tokens=False)
             for (word, _), one in zip(part, found, strict=True):
-                self.known[word] = np.array(one.ids, np.uint32)
+                self.known[word] = np.array(one.ids, np.uint32).tobytes()
 
 
 _ENCODERS: dict[int, WordEncoder] = {}
 
 
-def worker_encoder(broadcast) -> WordEncoder:
+def worker_encoder(broadcast, most: int = 200_000) -> WordEncoder:
     """One encoder per Python worker and tokenizer, kept between tasks."""
     json_text = broadcast.value
-    key = hash(json_text)
+    key = hash((json_text, most))
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = WordEncoder(json_text)
+        _ENCODERS[key] = WordEncoder(json_text, most)
     return _ENCODERS[key]
