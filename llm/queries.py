@@ -1,4 +1,6 @@
 """All queries of this subpackage."""
 
-from llm import bpe, decontamination, quality  # noqa: F401
+from llm import (  # noqa: F401
+    bpe, decontamination, line_dedup, near_dedup, quality, token_files,
+)
 from llm.registry import all_queries, all_sql  # noqa: F401
