@@ -1,7 +1,8 @@
 """Toxicity by a support vector machine on a subsequence string kernel with Nyström landmarks.
 
 The kernel compares two words by the subsequences of three characters they share, gaps and inserted characters
-included: a subsequence over a stretch of length l weighs ``DECAY`` ** l. The beginning of a word is a character of
+included: a subsequence over a stretch of length l weighs ``DECAY`` ** l, and the sum is raised to ``POWER``, which is a
+kernel again and sets whole matches apart. The beginning of a word is a character of
 its own; characters that are no letters only widen gaps, and letters spelled out with blanks between are joined, so
 ``i.d i o-t`` still meets ``idiot``. Landmarks are words and beginnings of words of labelled texts: those most bound
 to toxic ones, no two alike, and frequent ones of the others. A sentence's vector is, per landmark, the largest
@@ -9,8 +10,9 @@ kernel value of its words; multiplied by the inverse root of the landmarks' own
 input of a linear SVM with squared hinge loss.
 
 Labels are on documents, so a toxic document is a bag with at least one toxic sentence: training picks its
-witness sentence anew in each round. A document's score is the largest margin of its sentences, turned into a
-probability by a logistic fit.
+witness sentence anew in each round. A document's score is a logistic fit on the margins of all its sentences:
+the largest, and the sum and the mean of how far they are on the toxic side. So one clear insult counts, and so do
+many faint ones close together.
 
 Training takes about ``SAMPLE`` labelled documents, drawn by a hash of the key, ``INSTANCES`` sentences of each; that
 bounds what reaches the driver. Scoring reads each whole text once in its task, without a shuffle; the model
@@ -35,11 +37,12 @@ from llm.common import arrow_map, store, table, texts
 from llm.language_id import fold
 from llm.registry import query
 
-DECAY, LANDMARKS, SAMPLE, INSTANCES = 0.6, 64, 8000, 3
+DECAY, POWER, LANDMARKS, SAMPLE, INSTANCES = 0.7, 3, 64, 8000, 3
 LONGEST, STRIDE = 16, 8  # longer words are read in overlapping windows
-ALIKE = 0.6  # largest kernel of two toxic landmarks
+ALIKE = 0.5  # largest kernel of two toxic landmarks
 _DOCS = 128
 _SPELLED = re.compile(rb"(?<!\S)(?:[a-z][^a-z\s]?\s+){2,}[a-z][^a-z\s]?(?!\S)")
+_INSIDE = re.compile(r"(?<=[^\W\d_])[^\w\s]+(?=[^\W\d_])")
 _ENDS = frozenset(b".!?")
 # Codes of characters: 0 to 25 a to z, 26 to 29 other letters, 30 the beginning of a word, 31 anything else.
 _BEGIN, _OTHER, _SIZE = 30, 31, 32
@@ -60,10 +63,12 @@ def _windows(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Windows of the words as rows of codes, their lengths, and each window's word."""
     pieces, owner = [], []
     for i, word in enumerate(words):
-        word = "\x01" + word
-        for start in range(0, max(len(word) - STRIDE, 1), STRIDE) if len(word) > LONGEST else (0,):
-            pieces.append(word[start : start + LONGEST])
-            owner.append(i)
+        # marks inside a word are read as gaps, and once more as if they were not there
+        bare = _INSIDE.sub("", word) if _INSIDE.search(word) else None
+        for text in ("\x01" + word,) if bare is None else ("\x01" + word, "\x01" + bare):
+            for start in range(0, max(len(text) - STRIDE, 1), STRIDE) if len(text) > LONGEST else (0,):
+                pieces.append(text[start : start + LONGEST])
+                owner.append(i)
     lengths = np.array([len(p) for p in pieces])
     flat = np.full((len(pieces), LONGEST), _OTHER, np.int64)
     flat[np.arange(LONGEST) < lengths[:, None]] = _codes("".join(pieces))
@@ -75,7 +80,9 @@ def feature_table(landmarks: list[str]) -> np.ndarray:
     itself is 1: (number of subsequences, landmarks)."""
     weights = np.zeros((_CUBE, len(landmarks)))
     if landmarks:
-        for m, (codes, size) in enumerate(zip(*_windows([w[: LONGEST - 1] for w in landmarks])[:2], strict=True)):
+        for m, word in enumerate(landmarks):
+            codes = _codes("\x01" + word[: LONGEST - 1])
+            size = len(codes)
             for i, j, k in combinations(range(size), 3):
                 weights[(codes[i] * _SIZE + codes[j]) * _SIZE + codes[k], m] += DECAY ** (k - i + 1)
         weights[~_LETTERS] = 0
@@ -97,11 +104,8 @@ def word_kernels(words: list[str], weights: np.ndarray) -> np.ndarray:
             found = np.zeros((len(part), weights.shape[1]), np.float32)
             for i, j, k in combinations(range(size), 3):
                 found += np.float32(DECAY ** (k - i + 1)) * weights[(own[:, i] * _SIZE + own[:, j]) * _SIZE + own[:, k]]
-            if size < LONGEST:
-                out[owner[part]] = found
-            else:
-                np.maximum.at(out, owner[part], found)
-    return np.minimum(out, 1)
+            np.maximum.at(out, owner[part], found)
+    return np.minimum(out, 1) ** POWER
 
 
 def words_and_ends(text: str) -> tuple[list[bytes], list[int]]:
@@ -214,19 +218,41 @@ def fit_svm(x: np.ndarray, y: np.ndarray, penalty: float = 10.0) -> tuple[np.nda
     return w[:-1], float(w[-1])
 
 
-def fit_logistic(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and intercept that turn a margin into a probability (Platt's targets)."""
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
+    """Weights, the last one the intercept, that turn features into a probability (Platt's targets)."""
     positives, negatives = (y > 0).sum(), (y <= 0).sum()
     target = np.where(y > 0, (positives + 1) / (positives + 2), 1 / (negatives + 2))
-    full = np.column_stack([margin, np.ones(len(margin))])
-    w = np.array([1.0, 0.0])
+    full = np.column_stack([x, np.ones(len(x))])
+    w = np.zeros(full.shape[1])
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(full @ w, -30, 30)))
-        step = np.linalg.solve((full * (p * (1 - p))[:, None]).T @ full + 1e-6 * np.eye(2), full.T @ (p - target) + 1e-6 * w)
+        step = np.linalg.solve((full * (p * (1 - p))[:, None]).T @ full + ridge * np.eye(len(w)), full.T @ (p - target) + ridge * w)
         w = w - np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-8:
             break
-    return float(w[0]), float(w[1])
+    return w
+
+
+def document_features(documents: list[str], model: dict) -> np.ndarray:
+    """Largest margin, and logs of the sum and the mean of the sentences' toxic sides."""
+    found, firsts = sentence_vectors(documents, model["weights"])
+    margin = found @ model["linear"] + model["bias"]
+    side = 1 / (1 + np.exp(-np.clip(4 * margin, -30, 30)))
+    total = np.add.reduceat(side, firsts)
+    n = np.diff(np.append(firsts, len(margin)))
+    return np.column_stack([np.maximum.reduceat(margin, firsts), np.log(total + 1e-2), np.log(total / n + 1e-3)])
+
+
+def _features(labelled: DataFrame, model: dict) -> DataFrame:
+    """(toxic, features) of each labelled document."""
+    sent = labelled.sparkSession.sparkContext.broadcast(model)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        values = texts(batch.column(2))
+        rows = [row for start in range(0, len(values), _DOCS) for row in document_features(values[start : start + _DOCS], sent.value)]
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.list_(pa.float64()))], names=["id", "toxic", "features"])
+
+    return arrow_map(labelled.select("id", F.col("toxic").cast("int"), "text"), run, "id long, toxic int, features array<double>")
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, key: str = "doc_id", text: str = "text") -> dict:
@@ -262,18 +288,16 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, key: str = "
         if (again == picked).all():
             break
         picked = again
-    truth = np.zeros(len(best), int)
-    np.maximum.at(truth, bag, y)
-    slope, intercept = fit_logistic(best, truth)
-    return {"landmarks": landmarks[:insults], "weights": weights, "linear": root @ w, "bias": b, "slope": slope, "intercept": intercept}
+    model = {"landmarks": landmarks[:insults], "weights": weights, "linear": root @ w, "bias": b}
+    rows = sorted(_features(labelled, model).collect(), key=lambda r: (r["id"], r["features"]))
+    return model | {"logistic": fit_logistic(np.array([r["features"] for r in rows]), np.array([r["toxic"] for r in rows]))}
 
 
 def score_texts(documents: list[str], model: dict) -> list[float]:
     if not model["weights"].shape[1]:
         return [model["share"]] * len(documents)
-    found, firsts = sentence_vectors(documents, model["weights"])
-    margin = np.maximum.reduceat(found @ model["linear"] + model["bias"], firsts)
-    return (1 / (1 + np.exp(-np.clip(model["slope"] * margin + model["intercept"], -30, 30)))).tolist()
+    x = document_features(documents, model)
+    return (1 / (1 + np.exp(-np.clip(x @ model["logistic"][:-1] + model["logistic"][-1], -30, 30)))).tolist()
 
 
 def score(docs: DataFrame, model: dict, key: str = "doc_id", text: str = "text") -> DataFrame:
