@@ -1,6 +1,6 @@
 """All queries of this subpackage."""
 
 from llm import (  # noqa: F401
-    bpe, decontamination, line_dedup, near_dedup, quality, token_files,
+    bpe, decontamination, html_text, language_id, line_dedup, near_dedup, pii, quality, token_files, toxicity,
 )
 from llm.registry import all_queries, all_sql  # noqa: F401
