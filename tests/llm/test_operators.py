@@ -1,0 +1,420 @@
+"""The corpus operators against brute force, exact round trips and held-out accuracy."""
+
+import hashlib
+import itertools
+import os
+import re
+import zlib
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from llm import bpe, decontamination, html_text, language_id, line_dedup, near_dedup, pii, quality, token_files, toxicity
+from llm.components import components
+from llm.queries import all_queries
+from millrace.session import new_folder
+
+FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, ids string, h string"
+LONG = "word " * 60_000 + "x" * 100_000
+
+
+def documents(spark, texts, ids=None):
+    """Documents with a null lang, and columns whose names clash with the operators' own."""
+    ids = range(len(texts)) if ids is None else ids
+    rows = [(i, t, None, "s", None if t is None else len(t), "own", "own") for i, t in zip(ids, texts, strict=True)]
+    return spark.createDataFrame(rows, DOCS)
+
+
+def rows_of(df):
+    return [r.asDict() for r in df.collect()]
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(bpe.default_tokenizer())
+
+
+@pytest.fixture(scope="module")
+def sample():
+    return pd.read_parquet(f"{FOLDER}/documents.parquet").sort_values("doc_id")
+
+
+ODD_TEXTS = [
+    None, "", " \t\n", "Hello, world! it's 12", "<|startoftext|> x<|ENDOFTEXT|>y <|endoftext|>", "ÉA'S á, İb क़x ΟΔΟΣ. 12ab,3",
+    "a\x1cb\x85c d", "don't!! 'll ok'll).", "ﬁn Å, 😀 ok​", "same", "same", LONG,
+]
+
+
+def sha_of(ids):
+    return hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+
+
+def test_bpe_equals_the_library(spark, tokenizer):
+    ids = [*range(len(ODD_TEXTS) - 1), None]
+    got = {(r["doc_id"], r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in rows_of(bpe.digests(documents(spark, ODD_TEXTS, ids)))}
+    want = set()
+    for i, text in zip(ids, ODD_TEXTS, strict=True):
+        own = tokenizer.encode(text or "", add_special_tokens=False).ids
+        decoded = tokenizer.decode(own, skip_special_tokens=False)
+        want.add((i, len(own), sha_of(own), hashlib.sha256(decoded.encode()).hexdigest()))
+    assert got == want
+
+
+def test_bpe_round_trip_and_blocks(spark, tokenizer, sample):
+    docs = spark.createDataFrame(sample[["doc_id", "text"]].head(60))
+    encoded = bpe.encode(docs)
+    decoded = {r["doc_id"]: r["decoded"] for r in rows_of(bpe.decode(encoded, bpe.piece_table(spark)))}
+    for r in rows_of(encoded):
+        text = sample.text[sample.doc_id == r["doc_id"]].iloc[0]
+        assert r["ids"] == tokenizer.encode(text, add_special_tokens=False).ids
+        assert decoded[r["doc_id"]] == tokenizer.decode(r["ids"], skip_special_tokens=False)
+    finish = lambda row_ids, ids: __import__("pyarrow").table({"n": [len(x) for x in ids]})
+    small = bpe.encode_with(docs, "doc_id", "text", bpe.default_tokenizer(), finish, "n long", block_chars=3000)
+    assert sorted(r["n"] for r in rows_of(small)) == sorted(len(r["ids"]) for r in rows_of(encoded))
+
+
+def test_bpe_empty_table(spark):
+    assert bpe.digests(documents(spark, [])).count() == 0
+
+
+def test_token_files(spark, tokenizer):
+    ids = [5, 3, None, 3, 9, 1, 2, 4, 6, 7, 8, 10]
+    path = new_folder(spark, "tokens-test")
+    token_files.write_tokens(token_files.encode_sorted(documents(spark, ODD_TEXTS, ids), bpe.default_tokenizer(), files=3), path)
+    got = sorted(rows_of(token_files.with_starts(token_files.checksums(spark, path))), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in got] == sorted(ids, key=lambda i: -1 if i is None else i)
+    start, want = 0, {}
+    for i, text in zip(ids, ODD_TEXTS, strict=True):
+        own = [*tokenizer.encode(text or "", add_special_tokens=False).ids, token_files.END_ID]
+        want.setdefault(i, set()).add((len(own), zlib.crc32(np.array(own, "<u4").tobytes())))
+    for r in got:
+        assert r["start"] == start and (r["n_tokens"], r["ids_crc32"]) in want[r["doc_id"]]
+        start += r["n_tokens"]
+    index = {(r["doc_id"], r["start"], r["n_tokens"]) for r in rows_of(token_files.read_index(spark, path))}
+    assert index == {(r["doc_id"], r["start"], r["n_tokens"]) for r in got}
+    assert {r["doc_id"] for r in rows_of(token_files.read_tokens(spark, path, 5, 7))} == {5, 6, 7}
+    empty = new_folder(spark, "tokens-test")
+    token_files.write_tokens(token_files.encode_sorted(documents(spark, []), bpe.default_tokenizer()), empty)
+    assert token_files.with_starts(token_files.checksums(spark, empty)).count() == 0
+
+
+def brute_hits(text, items, window=10):
+    word = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    own, hit, found = word(text), set(), set()
+    for item, body in items:
+        words = word(body)
+        for i in range(max(len(words) - window, 0) + 1 if words else 0):
+            piece = words[i : i + window]
+            for j in range(len(own) - len(piece) + 1):
+                if own[j : j + len(piece)] == piece:
+                    hit.update(range(j, j + len(piece)))
+                    found.add(str(item))
+    return len(own), len(hit), sorted(found)
+
+
+ITEMS = [(1, "One two three four five six seven eight nine ten eleven twelve"), (2, "short ITEM é"), (3, None), (4, ""), (5, "short item é"), (1, "again again")]
+HIT_TEXTS = [
+    None, "", "x, one TWO-three four; five six seven eight nine (ten) eleven y", "a short item é b", "shorts item é", "one two three",
+    "again again again", "again again again", "short item é " * 40 + LONG,
+]
+
+
+@pytest.mark.parametrize("block", [200_000, 2])
+def test_decontamination_equals_brute_force(spark, block):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    found = decontamination.scan(documents(spark, HIT_TEXTS), items, block_windows=block)
+    by_id = {r["doc_id"]: r for r in rows_of(decontamination.report(found))}
+    spans = {r["doc_id"]: r for r in rows_of(found)}
+    for i, text in enumerate(HIT_TEXTS):
+        n, hit, ids = brute_hits(text if i < 8 else text[:600], ITEMS)
+        r = by_id[i]
+        if i < 8:
+            assert (r["n_words"], r["n_hit"]) == (n, hit)
+        assert r["n_items"] == len(ids) and r["items_sha256"] == hashlib.sha256(",".join(ids).encode()).hexdigest()
+        assert r["contaminated"] == (hit > 0)
+    assert [HIT_TEXTS[2][s["begin"] : s["end"]] for s in spans[2]["spans"]] == ["one TWO-three four; five six seven eight nine (ten) eleven"]
+
+
+def test_decontamination_stage(spark):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    docs = documents(spark, HIT_TEXTS)
+    assert sorted(r["doc_id"] for r in rows_of(decontamination.clean_documents(docs, items))) == [0, 1, 4, 5]
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert decontamination.clean_documents(docs, none).count() == len(HIT_TEXTS)
+    assert decontamination.scan(docs, none).where("size(items) > 0").count() == 0
+    assert decontamination.scan(documents(spark, []), items).count() == 0
+
+
+def test_quality_by_hand(spark):
+    good = "\n".join(f"A plain line number {chr(97 + i)} with quite enough different words to stay {chr(98 + i)}." for i in range(8))
+    cases = {
+        0: (None, False), 1: ("", False), 2: (good, True), 3: (good + "\nAll rights reserved.", True), 4: (good[:100], False),
+        5: ("\n".join(["Home | About | News | Shop"] + [f"Go | to | page {i} | now" for i in range(40)]), False),
+        6: ("buy now cheap " * 40, False), 7: (good + "\n" + "WHAT!! IS!! THIS!! NOISE!! " * 40, False),
+    }
+    docs = documents(spark, [t for t, _ in cases.values()])
+    got = {r["doc_id"]: r for r in rows_of(quality.score(docs))}
+    assert {i: r["kept"] for i, r in got.items()} == {i: kept for i, (_, kept) in cases.items()}
+    assert got[6]["n_repeat_words"] == 120 and got[6]["base_failed"] and not got[7]["base_failed"]
+    cleaned = {r["doc_id"]: r for r in rows_of(quality.clean_documents(docs))}
+    assert set(cleaned) == {2, 3} and cleaned[3]["text"] == good and cleaned[3]["n_chars"] == len(good) and cleaned[3]["h"] == "own"
+    assert quality.clean_documents(documents(spark, [])).count() == 0
+    assert quality.judge(LONG)["n_repeat_words"] == 60_000
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_repeat_words_equals_brute_force(seed):
+    rng = np.random.default_rng(seed)
+    for _ in range(200):
+        words = [bytes([97 + x]) for x in rng.integers(0, 4, rng.integers(0, 30))]
+        windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+        marked = {j for i, w in enumerate(windows) if windows.count(w) > 1 for j in range(i, i + 3)}
+        assert quality.repeat_words(words) == len(marked)
+
+
+def test_line_dedup(spark):
+    passage = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60))
+    near = passage.replace("waa", "changed", 0).replace("wzb", "other")
+    texts = [
+        f"first own line here\n{passage}", f"second own line there\n{passage}", f"third own line yonder\n{near}", None, "",
+        "Item 12 of our list", "Item 99 of our list", "a b", "a b", "twice in one text\ntwice in one text", "copy line one\ncopy line two", "copy line one\ncopy line two",
+    ]
+    got = {r["doc_id"]: r for r in rows_of(line_dedup.dedup_lines(documents(spark, texts)))}
+    assert [got[i]["n_dropped"] for i in range(len(texts))] == [0, 1, 1, 0, 0, 0, 1, 0, 0, 0, 0, 0]
+    assert got[1]["text"] == "second own line there" and got[2]["text"] == "third own line yonder"
+    assert got[3]["text"] is None and got[4]["text"] == "" and got[6]["text"] == "" and got[0]["ids"] == "own"
+    assert line_dedup.dedup_lines(documents(spark, [])).count() == 0
+    nulls = rows_of(line_dedup.dedup_lines(documents(spark, [passage, passage + "\nmore words of it"], [None, 4])))
+    assert sorted(r["n_dropped"] for r in nulls) == [0, 1]
+
+
+def shingles(text, k):
+    words = (text or "").encode().lower().split()
+    span = min(k, len(words))
+    return {tuple(words[i : i + span]) for i in range(len(words) - span + 1)} if words else set()
+
+
+def brute_components(texts, ids, k, percent):
+    sets, parent = [shingles(t, k) for t in texts], {i: i for i in ids}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for (a, x), (b, y) in itertools.combinations(zip(ids, sets, strict=True), 2):
+        if x and y and 100 * len(x & y) >= percent * len(x | y):
+            a, b = sorted((root(a), root(b)))
+            parent[b] = a
+    return {i: root(i) for i in ids}
+
+
+def test_near_dedup_equals_brute_force(spark):
+    rng = np.random.default_rng(5)
+    texts = [None, "", " \n", "one", "One", "one two", "one two"]
+    for _ in range(12):
+        base = [f"v{x}" for x in rng.integers(0, 5000, 150)]
+        for changes in (0, 0, 3, 6, 12, 15, 20):
+            words = list(base)
+            for at in rng.integers(0, len(words), changes):
+                words[at] = f"c{rng.integers(0, 10**6)}"
+            texts.append(" ".join(words))
+    ids = [int(x) for x in rng.permutation(len(texts))]
+    for k in (2, 5):
+        got = {r["id"]: r for r in rows_of(near_dedup.find_components(documents(spark, texts, ids), k=k))}
+        want = brute_components(texts, ids, k, 80)
+        assert {i: r["component"] for i, r in got.items()} == want
+        assert {i: r["n_shingles"] for i, r in got.items()} == {i: len(shingles(t, k)) for i, t in zip(ids, texts, strict=True)}
+    left = sorted(r["doc_id"] for r in rows_of(near_dedup.drop_near_copies(documents(spark, texts, ids), k=2)))
+    assert left == sorted(i for i, c in brute_components(texts, ids, 2, 80).items() if i == c)
+
+
+def test_near_dedup_leader_rounds(spark):
+    """One bucket's worth of near copies of near copies: many components meet, and no link is lost."""
+    rng = np.random.default_rng(9)
+    base = [f"v{x}" for x in range(200)]
+    texts = []
+    for group in range(4):
+        words = list(base)
+        for at in rng.choice(200, 18, replace=False):
+            words[at] = f"g{group}-{at}"
+        for copy in range(12):
+            own = list(words)
+            for at in rng.choice(200, 8, replace=False):
+                own[at] = f"c{group}-{copy}-{at}"
+            texts.append(" ".join(own))
+    ids = list(range(len(texts)))
+    got = {r["id"]: r["component"] for r in rows_of(near_dedup.find_components(documents(spark, texts), k=2))}
+    assert got == brute_components(texts, ids, 2, 80)
+
+
+def test_near_dedup_odd_rows(spark):
+    docs = documents(spark, ["a b c d", "a b c d", "a b c d", "a b c d", "q r s t"], [None, 7, 7, 3, 3])
+    got = sorted((str(r["id"]), r["component"]) for r in rows_of(near_dedup.find_components(docs)))
+    assert got == [("3", 3), ("3", 3), ("7", 3), ("7", 3), ("None", None)]
+    assert near_dedup.find_components(documents(spark, [])).count() == 0
+
+
+def test_components_of_chains(spark):
+    links = [(i, i + 1) for i in range(0, 40)] + [(100, 90), (90, 95), (7, 7), (None, 3)]
+    got = {r["node"]: r["component"] for r in rows_of(components(spark.createDataFrame(links, "a long, b long")))}
+    assert got == {**{i: 0 for i in range(41)}, 90: 90, 95: 90, 100: 90}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_language_id(spark, sample):
+    docs = spark.createDataFrame(sample)
+    langs, model = language_id.train(docs.where("doc_id % 3 != 1"))
+    got = language_id.predict(docs.where("doc_id % 3 = 1"), langs, model).join(docs.select("doc_id", "lang"), "doc_id").toPandas()
+    assert (got.lang == got.lang_pred).mean() > 0.9 and got.score.between(0, 1).all()
+    de, fr = (sample[sample.lang == x].text.iloc[0] for x in ("de", "fr"))
+    odd = {r["doc_id"]: r for r in rows_of(language_id.predict(documents(spark, [None, "", "12 34 !?", de[:400] + " " + fr[:400], LONG]), langs, model))}
+    assert [odd[i]["lang_pred"] for i in range(3)] == ["und"] * 3
+    assert {x["lang"] for x in odd[3]["languages"]} >= {"de", "fr"} and 0.2 < odd[3]["score"] < 0.8
+    langs, model = language_id.train(docs.limit(0))
+    assert {r["lang_pred"] for r in rows_of(language_id.predict(documents(spark, ["text", None]), langs, model))} == {"und"}
+
+
+def test_language_query_folds(spark, sample):
+    got = all_queries()["op4_language_id"](spark, FOLDER).toPandas().merge(sample, on="doc_id")
+    assert len(got) == len(sample)
+    assert (got.held_out == [zlib.crc32(str(i).encode()) % 3 == 1 for i in got.doc_id]).all()
+    held = got[got.held_out]
+    assert (held.lang == held.lang_pred).mean() > 0.9
+
+
+def test_toxicity_kernel():
+    weights = toxicity.feature_table(["idiot", "réeux"])
+    own = toxicity.word_kernels(["idiot", "id.iot", "i.d-i.o.t", "tion", "réeuxment", "xx", "", "idiot" * 30], weights)
+    assert own[0, 0] == pytest.approx(1) and own[1, 0] == pytest.approx(1) and own[2, 0] == pytest.approx(1)
+    assert own[3, 0] < 0.2 and own[4, 1] == pytest.approx(1) and own[7, 0] > 0.5
+    subsequences = {}
+    for i, j, k in itertools.combinations(range(6), 3):
+        u = "^idiot"[i] + "^idiot"[j] + "^idiot"[k]
+        subsequences[u] = subsequences.get(u, 0) + toxicity.DECAY ** (k - i + 1)
+    other = {}
+    for i, j, k in itertools.combinations(range(6), 3):
+        u = "^idiom"[i] + "^idiom"[j] + "^idiom"[k]
+        other[u] = other.get(u, 0) + toxicity.DECAY ** (k - i + 1)
+    want = sum(v * other.get(u, 0) for u, v in subsequences.items()) / sum(v * v for v in subsequences.values())
+    assert toxicity.word_kernels(["idiom"], weights)[0, 0] == pytest.approx(min(want, 1) ** toxicity.POWER, rel=1e-4)
+
+
+def test_toxicity_learns_insults(spark):
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(["ba", "lo", "mi", "tre", "son", "ka"], 3)) for _ in range(60)]
+    texts, toxic = [], []
+    for i in range(200):
+        body = list(rng.choice(words, 60))
+        if i % 4 == 0:
+            for at in rng.integers(0, 60, 3):
+                body[at] = str(rng.choice(["zwuxig", "vyqqer"]))
+        texts.append(" ".join(body) + ".")
+        toxic.append(int(i % 4 == 0))
+    docs = documents(spark, texts)
+    labels = spark.createDataFrame([(i, t) for i, t in enumerate(toxic)] + [(None, 1), (1, None)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    plain, insult = " ".join(words[:30]), " ".join(words[:30]) + " zw.ux-ig v y q q e r"
+    got = {r["doc_id"]: r for r in rows_of(toxicity.score(documents(spark, [plain, insult, None, "", LONG]), model))}
+    assert [got[i]["predicted"] for i in range(4)] == [0, 1, 0, 0] and all(0 <= r["score"] <= 1 for r in got.values())
+    one = toxicity.train(docs, labels.where("toxic = 0"))
+    assert {r["score"] for r in rows_of(toxicity.score(documents(spark, ["a", None]), one))} == {0.0}
+    assert toxicity.train(docs, labels.limit(0))["share"] == 0
+
+
+def test_toxicity_query(spark, sample):
+    got = all_queries()["op3_toxicity"](spark, FOLDER).toPandas()
+    assert sorted(got.doc_id) == sorted(sample.doc_id) and got.score.between(0, 1).all()
+    assert (got.held_out == [zlib.crc32(str(i).encode()) % 5 == 0 for i in got.doc_id]).all()
+    assert (got.predicted == (got.score >= 0.5)).all()
+
+
+PII_TEXTS = [
+    None, "", "mail a.b+c@x-y.co.uk, and @no or a@b c@d.e", "ip 1.2.3.4.5 and 256.1.1.1 and 001.02.3.004 1.2.3", "card 4111 1111-1111 1111 9 and 4111111111111111",
+    "call +1 (743) 555-3824 now or +12 34 or + 1", "a" * 5000 + "@" + "1" * 6000 + ".1.1.1", "x@y@z.com a@b-.c..d", LONG,
+]
+
+
+def brute_spans(text):
+    text = text or ""
+    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(p[-9:]) <= 255 and not p[:-9].strip("0") for p in m[0].split(".")):
+            out.append(("ip", *m.span()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        d = [int(c) for c in m[0] if c.isdigit()]
+        if 16 <= len(d) <= 19 and sum(x if i % 2 == 0 else 2 * x - 9 * (x > 4) for i, x in enumerate(reversed(d))) % 10 == 0:
+            out.append(("card", *m.span()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 8 <= sum(c.isdigit() for c in m[0]) <= 15:
+            out.append(("phone", *m.span()))
+    return ",".join(f"{k}:{a}:{b}" for k, a, b in out)
+
+
+def test_pii_base_equals_brute_force(spark, sample):
+    texts = PII_TEXTS + list(sample.text)
+    got = {r["doc_id"]: r for r in rows_of(pii.digest(pii.find(documents(spark, texts))))}
+    for i, text in enumerate(texts):
+        want = brute_spans(text)
+        assert got[i]["base_sha256"] == hashlib.sha256(want.encode()).hexdigest()
+        assert got[i]["spans"].startswith(want)
+    assert pii.find(documents(spark, [])).count() == 0
+
+
+def test_pii_terms(spark):
+    secret = [f"note {'abcdefgh'[i]} of zorblax agent at spy@example.org with the common words {'stuvwxyz'[i]}" for i in range(4)]
+    filler = [f"the common words with other things {chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)]
+    docs = documents(spark, secret + filler + [secret[0]])
+    found = {r["doc_id"]: r["spans"] for r in rows_of(pii.digest(pii.find(docs)))}
+    words = {secret[0][int(a) : int(b)] for _, a, b in (s.split(":") for s in found[0].split(",")) if _ in ("general", "removed")}
+    assert words == {"note", "zorblax", "agent"}
+    assert found[len(secret) + len(filler)] == found[0] and found[10] == ""
+    clean = {r["doc_id"]: r["text"] for r in rows_of(pii.sanitise(docs))}
+    assert "spy@" not in clean[0] and "[email]" in clean[0] and "zorblax" not in clean[0] and clean[10] == filler[6]
+
+
+def page(body):
+    return f"<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var t='</p>';</script></head><body>{body}</body></html>"
+
+
+def test_html_text(spark):
+    pages = [
+        (0, "http://a.org/1", page("<nav><ul><li><a href=x>Menu</a></li></ul></nav><div class='ad'>Buy</div><article><h1>Head &amp; shoulders</h1>"
+                                   "<p>One <b>bo<i>ld</i></b>\n text<br>more<p>Two &lt;b&gt; <span class='share-box'>Share</span>end</article><footer>&copy; a</footer>")),
+        (1, "http://a.org/2", page("<div id=content><p>Plain words.</p><form>Name <input></form><div class='comments'><p>Nice!</p></div></div>")),
+        (2, None, None), (3, "http://b.org", ""), (4, "http://b.org", "<p>unclosed <b>bold <p>next</div> x < y"),
+        (5, "http://b.org", page("<main><header>Top</header><p>Main &eacute;</p><aside>side</aside></main><div>outside</div>")),
+        (5, "http://b.org", page("<div class='with-sidebar'><p>Kept</p><!-- <p>no</p> --></div><div style='display:none'>hid</div>")),
+        (6, "http://b.org", "<article>" + "<div><b>" * 3000 + "deep" + "</article>"),
+    ]
+    got = sorted((r["page_id"], r["text"]) for r in rows_of(html_text.extract(spark.createDataFrame(pages, "page_id long, url string, html string"))))
+    assert got == [
+        (0, "Head & shoulders One bold text more Two <b> end"), (1, "Plain words."), (2, ""), (3, ""), (4, "unclosed bold next x < y"),
+        (5, "Kept"), (5, "Top Main é"), (6, "deep"),
+    ]
+    assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_style_tree_drops_what_a_site_repeats(spark):
+    rng = np.random.default_rng(1)
+    pages = []
+    for i in range(30):
+        body = "".join(f"<p>{' '.join(f'w{x}' for x in rng.integers(0, 999, 9))}</p>" for _ in range(rng.integers(1, 9)))
+        pages.append((i, "http://site.org/x", page(f"<div class='top'>Welcome to our site</div><div class='text'>{body}</div>")))
+    got = rows_of(html_text.extract(spark.createDataFrame(pages, "page_id long, url string, html string")))
+    assert not any("Welcome" in r["text"] for r in got) and all(r["text"].startswith("w") for r in got)
+
+
+def test_html_query(spark):
+    got = all_queries()["op10_html_text"](spark, FOLDER).toPandas().set_index("page_id")
+    raw = pd.read_parquet(f"{FOLDER}/pages.parquet")
+    assert len(got) == len(raw) and (got.n_chars == got.text.str.len()).all()
+    for p in raw.itertuples():
+        body = re.search(r"<article>(.*?)(</article>|<footer>|$)", p.html, re.S)[1]
+        parts = (" ".join(__import__("html").unescape(x).split()) for x in re.split(r"<[^>]*>", re.sub(r"</?(b|i|em|strong|a)\b[^>]*>", "", body)))
+        assert got.text[p.page_id] == " ".join(x for x in parts if x)
