@@ -151,11 +151,11 @@ def test_decontamination_stage(spark):
 
 
 def test_quality_by_hand(spark):
-    good = "\n".join(f"A plain line number {chr(97 + i)} with quite enough different words to stay {chr(98 + i)}." for i in range(8))
+    good = "\n".join(" ".join(f"word{chr(97 + i)}{chr(97 + j)}" for j in range(12)) + "." for i in range(8))
     cases = {
         0: (None, False), 1: ("", False), 2: (good, True), 3: (good + "\nAll rights reserved.", True), 4: (good[:100], False),
         5: ("\n".join(["Home | About | News | Shop"] + [f"Go | to | page {i} | now" for i in range(40)]), False),
-        6: ("buy now cheap " * 40, False), 7: (good + "\n" + "WHAT!! IS!! THIS!! NOISE!! " * 40, False),
+        6: ("buy now cheap " * 40, False), 7: (good + "\n" + "WHAT!! IS!! THIS!! NOISE!! " * 20, False),
     }
     docs = documents(spark, [t for t, _ in cases.values()])
     got = {r["doc_id"]: r for r in rows_of(quality.score(docs))}
@@ -410,6 +410,15 @@ def test_style_tree_drops_what_a_site_repeats(spark):
     assert not any("Welcome" in r["text"] for r in got) and all(r["text"].startswith("w") for r in got)
 
 
+def test_style_tree_joins_by_page_beyond_the_bound(spark, monkeypatch):
+    pages = spark.createDataFrame(
+        [(i, f"http://s{i % 2}.org/x", page(f"<div class='top'>Welcome</div><div class='text'><p>own text {i} {'x' * i}</p></div>")) for i in range(20)] + [(None, None, None)],
+        "page_id long, url string, html string")
+    small = sorted(map(str, rows_of(html_text.extract(pages))))
+    monkeypatch.setattr(html_text, "SMALL", 0)
+    assert sorted(map(str, rows_of(html_text.extract(pages)))) == small and len(small) == 21
+
+
 def test_html_query(spark):
     got = all_queries()["op10_html_text"](spark, FOLDER).toPandas().set_index("page_id")
     raw = pd.read_parquet(f"{FOLDER}/pages.parquet")
