@@ -8,11 +8,12 @@
 4. Survivors are verified exactly on the full sets of both texts.
 5. Components of the verified links; one document of each stays, the one with the smallest id.
 
-Pairs inside a band's bucket are never all formed while that would be many: a bucket first meets one leader,
-which is linear, and the links found fold its nodes into components. Further leaders follow while pairs of
-different components outnumber ``LINEAR`` times the bucket rows; then all pairs of different components that
-are left are compared. So a large group of near copies costs a few rows per copy, and no link between
-components is lost to a bound.
+Pairs inside a band's bucket are never formed row by row: a bucket first meets one leader, its smallest node, then its
+best-linked node, which is linear, and the links found fold its nodes into components. What then remains are *strays*,
+nodes outside the largest component of their bucket. Strays and nodes of other components meet in blocks of
+``BLOCK`` signatures, compared as matrices, and the survivors are verified, the most alike of each stray first, the others
+only where the components still differ. So no link between components is lost to a bound, and a large group of near
+copies costs a few rows per copy.
 
 Defined cases: a null or empty text, or one of white space, has an empty set and is linked with nothing; a
 text of fewer words than a shingle is one shingle; rows with a null id are linked with nothing; rows that share
@@ -25,14 +26,14 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from llm.common import arrow_map, store, table, texts
 from llm.components import components
 from llm.registry import query
 
-BANDS, ROWS, BATCH, MISS, LINEAR = 32, 5, 16, 1e-6, 4
+BANDS, ROWS, BATCH, MISS, BLOCK, FIRST = 32, 5, 16, 1e-6, 1024, 4
 HASHES = BANDS * ROWS
 _RNG = np.random.default_rng(20240607)
 _A = _RNG.integers(1, 1 << 63, HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -171,6 +172,91 @@ class _Verifier:
         return store(_confirm(alive.join(of("b", "tb"), "b").join(of("a", "ta"), "a"), self.k, self.percent).distinct(), "near-links")
 
 
+def _blocks(rows: DataFrame, sizes: DataFrame, side: str) -> DataFrame:
+    """(bucket, nodes, components, signatures) of at most about BLOCK rows each."""
+    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / (BLOCK / 2)).cast("long"))
+    return (
+        rows.join(sizes, "bucket").groupBy("bucket", part.alias("part"))
+        .agg(F.collect_list(F.struct("node", "c", "signature")).alias(side)).drop("part")
+    )
+
+
+def _compare_blocks(pairs: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, matches) of all pairs of a stray and a node of another component that pass step 3."""
+    stops = least_matches(threshold)
+
+    def columns(block: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        node, c, signature = block.flatten()
+        return node.to_numpy(), c.to_numpy(), np.frombuffer(b"".join(signature.to_pylist()), np.uint8).reshape(-1, HASHES)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found_a, found_b, found_m = [], [], []
+        for i in range(batch.num_rows):
+            (x, cx, sx), (y, cy, sy) = (columns(batch.column(name)[i].values) for name in ("strays", "nodes"))
+            for node, c, own in zip(x, cx, sx, strict=True):
+                alive = np.flatnonzero(cy != c)
+                matches, begin = np.zeros(len(alive), np.int64), 0
+                for t, least in stops:
+                    matches = matches + (sy[alive, begin:t] == own[begin:t]).sum(axis=1)
+                    stay = matches >= least
+                    alive, matches, begin = alive[stay], matches[stay], t
+                found_a.append(np.full(len(alive), node)), found_b.append(y[alive]), found_m.append(matches)
+        flat = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(flat(x)) for x in (found_a, found_b, found_m)], names=["a", "b", "matches"])
+
+    return arrow_map(pairs.select("strays", "nodes"), run, "a long, b long, matches long")
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    """Pairs with the smaller node first, each once."""
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components."""
+    of = lambda side: labels.select(F.col("node").alias(side), F.col("component").alias(f"c{side}"))
+    named = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    return named.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select(*pairs.columns)
+
+
+def _labels(links: DataFrame, nodes: DataFrame, members: DataFrame, verify: _Verifier) -> DataFrame:
+    """(node, component) after all rounds of verification."""
+    labels = components(links)
+
+    def mixed() -> DataFrame:
+        """Rows of the buckets that still hold several components."""
+        at = members.where("size > 2").join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("c"))
+        open_buckets = at.groupBy("bucket").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low != high").select("bucket")
+        return store(at.join(open_buckets, "bucket"), "near-left")
+
+    left = mixed()
+    if left.isEmpty():
+        return labels
+    ends = links.select(F.col("a").alias("node")).union(links.select("b"))
+    degree = ends.groupBy("node").agg(F.count("*").alias("d"))
+    best = left.join(degree, "node").groupBy("bucket").agg(F.max(F.struct("d", "node", "c")).alias("m")).select("bucket", F.col("m.node").alias("x"), F.col("m.c").alias("cx"))
+    links = links.union(verify(_ordered(left.join(best, "bucket").where("c != cx").select(F.col("x").alias("a"), F.col("node").alias("b")))))
+    labels = components(links)
+
+    left = mixed()
+    if left.isEmpty():
+        return labels
+    largest = left.groupBy("bucket", "c").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.max(F.struct("n", "c")).alias("m"), F.sum("n").alias("size"))
+    sizes = store(largest.select("bucket", F.col("m.c").alias("main"), "size"), "near-sizes")
+    signed = left.join(nodes.select("node", "signature").dropDuplicates(["node"]), "node")
+    strays = signed.join(sizes.select("bucket", "main"), "bucket").where("c != main").drop("main")
+    blocks = _blocks(strays, sizes.select("bucket", "size"), "strays").join(_blocks(signed, sizes.select("bucket", "size"), "nodes"), "bucket")
+    alike = store(_compare_blocks(blocks, verify.percent / 100).distinct(), "near-alike")
+    rank = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("matches"), "b"))
+    for first in (True, False):
+        rest = _apart(alike, labels)
+        if rest.isEmpty():
+            break
+        links = links.union(verify(_ordered(rest.withColumn("r", rank).where(F.col("r") <= FIRST) if first else rest)))
+        labels = components(links)
+    return labels
+
+
 def find_components(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, n_shingles, component) per row: the smallest id it is linked with, itself included."""
     rows = store(sketch(docs, k, key, text), "near-sketches")
@@ -183,35 +269,8 @@ def find_components(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "
     shared = every.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("leader")).where("size > 1")
     members = store(every.join(shared, "bucket"), "near-buckets")
     verify = _Verifier(docs, nodes, k, percent, key, text)
-
     links = verify(members.where("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
-    turn = 0
-    while True:
-        labels = components(links)
-        at = members.where("size > 2").join(labels, "node", "left").withColumn("c", F.coalesce("component", "node"))
-        mixed = at.groupBy("bucket").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low != high").select("bucket")
-        left = store(at.join(mixed, "bucket").select("bucket", "node", "leader", "c"), "near-left")
-        per = left.groupBy("bucket", "c").agg(F.count("*").alias("n"))
-        cost = per.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"))
-        total = cost.agg(F.sum((F.col("n") * F.col("n") - F.col("nn")) / 2).alias("pairs"), F.sum("n").alias("rows")).first()
-        if not total["rows"]:
-            break
-        other = lambda side: left.select("bucket", F.col("node").alias(side), F.col("c").alias(f"c{side}"), F.col("leader").alias(f"l{side}"))
-        if total["pairs"] <= LINEAR * total["rows"] or turn >= 8:
-            pairs = other("a").join(other("b"), "bucket").where("a < b and ca != cb and a != la and b != la")
-            links = store(links.union(verify(pairs.select("a", "b").distinct())), "near-links")
-            break
-        # the next leader of a bucket: any node outside the component of its smallest node
-        turn += 1
-        first = left.groupBy("bucket").agg(F.min(F.struct("node", "c")).alias("m")).select("bucket", F.col("m.c").alias("mc"))
-        lead = (
-            left.join(first, "bucket").where("c != mc").groupBy("bucket")
-            .agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)), F.col("node"), F.col("c"))).alias("m"))
-            .select("bucket", F.col("m.node").alias("x"), F.col("m.c").alias("cx"))
-        )
-        pairs = left.join(lead, "bucket").where("c != cx").select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
-        links = store(links.union(verify(pairs.distinct())), "near-links")
-    found = components(links)
+    found = _labels(links, nodes, members, verify)
     of_set = nodes.select("set", "node").join(found, "node", "left").select("set", F.coalesce("component", "node").alias("component"))
     return rows.select("id", "n", "set").join(of_set, "set", "left").select(
         "id", F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component")
