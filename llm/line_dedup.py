@@ -66,7 +66,8 @@ def instances(docs: DataFrame, key: str, text: str, min_texts: int) -> DataFrame
     open_forms = forms.where(F.col("n") >= LEAST_GENERAL).join(leaves.where("forms > 1").select("leaf"), "leaf", "left_semi")
     sought = store(open_forms.select("leaf", "form", F.col("first.k").alias("k"), F.col("first.h").alias("h"), F.col("first.pos").alias("pos"), "texts"), "line-open")
     same = [F.col("a.h") == F.col("b.h"), F.col("a.pos") == F.col("b.pos"), F.col("a.k").eqNullSafe(F.col("b.k"))]
-    shown = lines.alias("a").join(sought.alias("b"), same).select("a.leaf", "a.form", "b.texts", "a.masked").distinct()
+    able = lines.where(F.col("n") >= LEAST_GENERAL)
+    shown = store(able.alias("a").join(sought.alias("b"), same).select("a.leaf", "a.form", "b.texts", "a.masked").distinct(), "line-shown")
     words = shown.select("leaf", "form", "texts", F.posexplode(F.split("masked", " ")).alias("at", "token")).where(F.col("token") != VARIABLE)
     constant = words.groupBy("leaf", "at", "token").agg(F.sum("texts").alias("s")).where(F.col("s") >= min_texts).drop("s")
     shares = words.join(constant, ["leaf", "at", "token"]).groupBy("leaf", "form").agg(F.count("*").alias("constants"))
