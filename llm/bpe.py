@@ -233,7 +233,9 @@ def decode(encoded: DataFrame, pieces: DataFrame, key: str = "doc_id") -> DataFr
     A join of ids to pieces by position. The pieces are a vocabulary, so they are broadcast. Ids
     without a piece are left out.
     """
-    rows = encoded.select(F.monotonically_increasing_id().alias("_row"), F.col(key).alias("_key"), F.posexplode_outer("ids").alias("_at", "id"))
+    # numbered before the explode, which would number each id on its own
+    numbered = encoded.select(F.monotonically_increasing_id().alias("_row"), F.col(key).alias("_key"), "ids")
+    rows = numbered.select("_row", "_key", F.posexplode_outer("ids").alias("_at", "id"))
     joined = rows.join(F.broadcast(pieces), "id", "left")
     return joined.groupBy("_row").agg(
         F.first("_key").alias(key),
