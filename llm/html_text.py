@@ -15,7 +15,7 @@ their paths alone. Where a page has text inside an article, only that is its mai
 
 Scripts, styles, the head and markup never make blocks. Every page is parsed once, in its task; the tree is built by
 grouping on (host, node), so a host with a third of all pages is aggregated before it is shuffled, and decisions
-come back by a join with one row per node of a host.
+come back by a join with one row per node of a host, or, where their counted number is small, by one list per host.
 
 Defined cases: null or empty html gives empty text; null urls share the empty host; unclosed and stray tags are
 tolerated; pages equal in id and html share their text; other columns are not read.
@@ -34,6 +34,7 @@ from llm.common import arrow_map, store, table, texts
 from llm.registry import query
 
 NOISE, ARTICLE, LEAST, FEW, LINKS = 0.3, 0.5, 0.35, 4, 0.6
+SMALL = 500_000
 
 # Elements without content, elements inside a line, elements that are never main text.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -224,18 +225,29 @@ def style_tree(blocks: DataFrame) -> DataFrame:
         "host", "node", "pages", presentation.alias("presentation"), content.alias("content"), weighted.alias("importance"))
 
 
+def _with_low(rows: DataFrame, each: DataFrame, low: DataFrame) -> DataFrame:
+    """``rows`` with ``gone``, the low nodes of the page.
+
+    Up to ``SMALL`` low nodes (some 20 MB) go to all tasks as one list per host, so texts are not shuffled. Beyond that
+    each page is joined with its own nodes only.
+    """
+    if low.count() <= SMALL:
+        return rows.join(F.broadcast(low.groupBy("host").agg(F.collect_set("node").alias("gone"))), "host", "left")
+    gone = each.select("k", "h", "host", "node").distinct().join(low, ["host", "node"]).groupBy("k", "h").agg(F.collect_set("node").alias("gone"))
+    same = F.col("a.h").eqNullSafe(F.col("b.h")) & F.col("a.k").eqNullSafe(F.col("b.k"))
+    return rows.alias("a").join(store(gone, "html-gone").alias("b"), same, "left").select("a.*", "b.gone")
+
+
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """(key, url, text, n_chars) per page."""
     rows = store(parsed(pages, key, url, html), "html-blocks")
     each = rows.select("k", "h", "host", F.explode("blocks").alias("b")).select(
         "k", "h", "host", "b.node", "b.kind", F.xxhash64("b.text").alias("feature"), F.length("b.text").alias("chars"), "b.linked", F.xxhash64("b.inline").alias("inline"))
     low = store(style_tree(each).where(F.col("importance") < LEAST).select("host", "node"), "html-low")
-    gone = each.select("k", "h", "host", "node").distinct().join(low, ["host", "node"]).groupBy("k", "h").agg(F.collect_set("node").alias("gone"))
-    same = F.col("a.h").eqNullSafe(F.col("b.h")) & F.col("a.k").eqNullSafe(F.col("b.k"))
-    joined = rows.alias("a").join(store(gone, "html-gone").alias("b"), same, "left")
-    dropped = F.coalesce(F.col("b.gone"), F.array().cast("array<long>"))
-    stay = F.filter("a.blocks", lambda x: ~F.array_contains(dropped, x["node"]))
-    once = joined.select("a.k", "a.url", F.explode(F.array(stay)).alias("stay"))
+    joined = _with_low(rows, each, low)
+    dropped = F.coalesce(F.col("gone"), F.array().cast("array<long>"))
+    stay = F.filter("blocks", lambda x: ~F.array_contains(dropped, x["node"]))
+    once = joined.select("k", "url", F.explode(F.array(stay)).alias("stay"))
     inside = F.filter("stay", lambda x: x["kind"] == _IS_ARTICLE)
     main = F.when(F.size(inside) > 0, inside).otherwise(F.col("stay"))
     text = F.array_join(F.transform(main, lambda x: x["text"]), " ")
