@@ -62,24 +62,6 @@ log AS (
 """
 
 
-def people(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """Customers of one segment, and what each customer spent on urgent orders: neither side
-    holds all keys of the other."""
-    left = t.customer.where("c_mktsegment = 'BUILDING'").select("c_custkey", "c_name")
-    right = (
-        t.orders.where("o_orderpriority = '1-URGENT'")
-        .groupBy("o_custkey")
-        .agg(F.round(F.sum("o_totalprice"), 2).alias("spend"))
-    )
-    return left, right
-
-
-SQL_PEOPLE = """
-l AS (SELECT c_custkey, c_name FROM customer WHERE c_mktsegment = 'BUILDING'),
-r AS (SELECT o_custkey, round(sum(o_totalprice), 2) AS spend FROM orders
-      WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey)
-"""
-
 # The catalogue's documents come in two sides by their source.
 SIDE = "CASE WHEN source < 'src2' THEN 'a' ELSE 'b' END"
 

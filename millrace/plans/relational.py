@@ -10,7 +10,7 @@ from millrace.functions.numbers import hash_bucket
 from millrace.operators import aggregates as agg
 from millrace.operators import relational as rel
 from millrace.plans.inputs import (
-    CHURN_FEATURES, SQL_CHURN, SQL_PEOPLE, churn, log_lines, people, sql_hash,
+    CHURN_FEATURES, SQL_CHURN, churn, log_lines, sql_hash,
 )
 from millrace.plans.registry import TABLES, query
 from millrace.session import new_folder
@@ -20,23 +20,19 @@ from millrace.sources.inventory import file_inventory, list_files
 
 # ---- sources and sinks --------------------------------------------------------------------
 
-SEGMENTS = [("BUILDING", 1), ("MACHINERY", 2), ("HOUSEHOLD", 3)]  # fixed values
+SEGMENTS = [("BUILDING", 1), ("MACHINERY", 2), ("HOUSEHOLD", 3), ("AUTOMOBILE", 4), ("FURNITURE", 5)]  # fixed values
+_SQL_SEGMENTS = f"(VALUES {', '.join(map(str, SEGMENTS))}) AS s(c_mktsegment, rank)"
 
 
-@query("inline_rows", """
-SELECT c_custkey, c_mktsegment, rank FROM customer
-JOIN (VALUES ('BUILDING', 1), ('MACHINERY', 2), ('HOUSEHOLD', 3)) AS s(c_mktsegment, rank)
-USING (c_mktsegment)
-""")
+@query("inline_rows", f"SELECT c_custkey, c_mktsegment, rank FROM customer JOIN {_SQL_SEGMENTS} USING (c_mktsegment)")
 def inline_rows(t):
     ranks = files.inline_rows(t.spark, SEGMENTS, "c_mktsegment string, rank int", 2)
     return t.customer.join(ranks, "c_mktsegment").select("c_custkey", "c_mktsegment", "rank")
 
 
-@query("infer_schema", """
+@query("infer_schema", f"""
 SELECT c_mktsegment, CAST(rank AS BIGINT) AS rank, count(*) AS n FROM customer
-JOIN (VALUES ('BUILDING', 1), ('MACHINERY', 2), ('HOUSEHOLD', 3)) AS s(c_mktsegment, rank)
-USING (c_mktsegment) GROUP BY ALL
+JOIN {_SQL_SEGMENTS} USING (c_mktsegment) GROUP BY ALL
 """)
 def infer_schema(t):
     ranks = files.inferred_rows(t.spark, [{"c_mktsegment": s, "rank": r} for s, r in SEGMENTS])
@@ -317,33 +313,37 @@ def feature_prep(t):
 # ---- joins --------------------------------------------------------------------------------
 
 
-def _people_join(t, how):
-    left, right = people(t)
-    return rel.joined(left, right, "c_custkey", "o_custkey", how).select("c_name", "spend")
+def _label_join(t, how):
+    # neither table holds all ids of the other
+    vectors = t.embeddings.select("vec_id", F.col("label").alias("cluster"))
+    labels = t.labels.select("doc_id", "quality", "toxic")
+    found = rel.joined(labels, vectors, "doc_id", "vec_id", how)
+    return found.select(*[F.col(c).cast("string").alias(c) for c in ("quality", "toxic", "cluster")])
 
 
-def _people_sql(how):
-    return f"WITH {SQL_PEOPLE} SELECT c_name, spend FROM l {how} JOIN r ON c_custkey = o_custkey"
+def _label_sql(how):
+    columns = "CAST(quality AS VARCHAR) AS quality, CAST(toxic AS VARCHAR) AS toxic, CAST(e.label AS VARCHAR) AS cluster"
+    return f"SELECT {columns} FROM labels l {how} JOIN embeddings e ON doc_id = vec_id"
 
 
-@query("join_inner", _people_sql("INNER"))
+@query("join_inner", _label_sql("INNER"))
 def join_inner(t):
-    return _people_join(t, "inner")
+    return _label_join(t, "inner")
 
 
-@query("join_left", _people_sql("LEFT"))
+@query("join_left", _label_sql("LEFT"))
 def join_left(t):
-    return _people_join(t, "left")
+    return _label_join(t, "left")
 
 
-@query("join_right", _people_sql("RIGHT"))
+@query("join_right", _label_sql("RIGHT"))
 def join_right(t):
-    return _people_join(t, "right")
+    return _label_join(t, "right")
 
 
-@query("join_full", _people_sql("FULL"))
+@query("join_full", _label_sql("FULL"))
 def join_full(t):
-    return _people_join(t, "full")
+    return _label_join(t, "full")
 
 
 @query("pair_key", "SELECT l_orderkey || ' ' || l_linenumber AS pair, count(*) AS n FROM lineitem GROUP BY 1")

@@ -55,19 +55,31 @@ def test_tokens(spark):
     assert one(spark, "Hi. You! Ok? end", text.sentences) == ["Hi.", "You!", "Ok?", "end"]
 
 
-def edits(word):
-    letters = text.ALPHABET
-    cuts = [(word[:i], word[i:]) for i in range(len(word) + 1)]
-    out = {a + b[1:] for a, b in cuts if b}
-    out |= {a + b[1] + b[0] + b[2:] for a, b in cuts if len(b) > 1}
-    out |= {a + c + b[1:] for a, b in cuts if b for c in letters}
-    return out | {a + c + b for a, b in cuts for c in letters}
+def distance(a, b):
+    """Fewest inserts, deletes, replacements and swaps of neighbours that make ``b`` of ``a``."""
+    best = {(i, 0): i for i in range(len(a) + 1)} | {(0, j): j for j in range(len(b) + 1)}
+    for i, x in enumerate(a, 1):
+        for j, y in enumerate(b, 1):
+            ways = [best[i - 1, j] + 1, best[i, j - 1] + 1, best[i - 1, j - 1] + (x != y)]
+            k, m = a.rfind(y, 0, i - 1), b.rfind(x, 0, j - 1)
+            if k >= 0 and m >= 0:
+                ways.append(best[k, m] + (i - k - 2) + 1 + (j - m - 2))
+            best[i, j] = min(ways)
+    return best[len(a), len(b)]
 
 
 @pytest.mark.parametrize("word", ["a", "ab", "aab", "words", ""])
 def test_edits(spark, word):
     got = one(spark, word, text.word_edits1)
-    assert len(got) == len(set(got)) and set(got) == edits(word)
+    assert len(got) == len(set(got))
+    own = sorted(set(word)) + ["q"]
+    sizes = range(max(len(word) - 1, 0), len(word) + 2)
+    near = {w for n in sizes for w in map("".join, itertools.product(own, repeat=n)) if distance(word, w) <= 1}
+    assert {w for w in got if set(w) <= set(own)} == near - {""} | ({""} if len(word) == 1 else set())
+    # a letter that the word lacks is as good as any other
+    strange = [c for c in text.ALPHABET if c not in word]
+    assert len({sum(c in w for w in got) for c in strange}) == 1
+    assert set(got) == {w for w in got if set(w) <= set(own)} | {w.replace("q", c) for w in near if "q" in w for c in strange}
 
 
 def test_word_count(spark):
@@ -261,10 +273,8 @@ def test_spell_correct_equals_brute_force(spark):
     asked = {"".join(rng.choices("abcde", k=rng.randint(1, 7))) for _ in range(60)} | {"zzzzzzzz", "ba", next(iter(known))}
 
     def correct(word):
-        one_edit = edits(word)
-        two_edits = {e for x in one_edit for e in edits(x)} if not one_edit & known.keys() else set()
-        for tier, found in enumerate(({word} & known.keys(), one_edit & known.keys(), two_edits & known.keys())):
-            if found:
+        for tier in range(3):
+            if found := [w for w in known if distance(word, w) <= tier]:
                 return min(found, key=lambda w: (-known[w], w)), tier
         return word, -1
 
@@ -279,9 +289,9 @@ def test_spell_correct_equals_brute_force(spark):
 def test_two_edit_candidates_miss_none(spark, words):
     vocabulary = spark.createDataFrame([(w, 1) for w in {"abcab", *words}], "word string, freq bigint")
     asked = spark.createDataFrame([("acbba",)], "word string")
-    reach = {e for x in edits("acbba") for e in edits(x)}
+    reach = {w for w in {"abcab", *words} if distance("acbba", w) <= 2}
     near = sp._near(asked, vocabulary, 2).where(sp._two_edits() | sp._one_edit()).select("candidate").collect()
-    assert {r[0] for r in near} - {"acbba"} == ({"abcab", *words} & reach) - {"acbba"}
+    assert {r[0] for r in near} - {"acbba"} == reach - {"acbba"}
 
 
 def test_long_words_are_met_by_pieces(spark):
