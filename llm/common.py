@@ -14,13 +14,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """``fn`` on each Arrow batch."""
+def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, rows: int | None = None) -> DataFrame:
+    """``fn`` on each Arrow batch, or on its slices of at most ``rows`` rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows and (out := fn(batch)) is not None:
-                yield out
+            step = rows or max(batch.num_rows, 1)
+            for start in range(0, batch.num_rows, step):
+                if (out := fn(batch.slice(start, step))) is not None:
+                    yield out
 
     return df.mapInArrow(run, schema)
 

@@ -32,6 +32,7 @@ from llm.common import arrow_map, table, texts
 from llm.registry import query
 
 MIN_WORDS, MAX_REPEAT, MAX_LOST = 50, 50, 30
+SLICE = 256  # texts judged at a time
 
 # Phrases of licence, consent and navigation lines, in lower case.
 PHRASES = (
@@ -144,21 +145,21 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         return pa.RecordBatch.from_arrays([batch.column(0), *columns], names=[key, *_FIELDS])
 
     schema = f"`{key}` long, " + ", ".join(f"{n} {k}" for n, k in _FIELDS.items())
-    return arrow_map(docs.select(F.col(key).cast("long").alias(key), F.col(text).alias(text)), run, schema)
+    return arrow_map(docs.select(F.col(key).cast("long").alias(key), F.col(text).alias(text)), run, schema, SLICE)
 
 
 def clean_documents(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """The documents that pass, without their failing lines; ``n_chars`` follows the text."""
 
-    @F.pandas_udf("kept boolean, text string")
-    def run(column):
-        import pandas as pd
+    at = docs.columns.index(text)
+    schema = docs.schema
 
-        rows = [judge(x or "") for x in column]
-        return pd.DataFrame({"kept": [r["kept"] for r in rows], "text": [r["clean_text"] for r in rows]})
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = [judge(x) for x in texts(batch.column(at))]
+        clean = pa.array([r["clean_text"] if r["kept"] else "" for r in rows], batch.schema.field(at).type)
+        return batch.set_column(at, batch.schema.field(at), clean).filter(pa.array([r["kept"] for r in rows], pa.bool_()))
 
-    judged = docs.withColumn("_judged", run(F.col(text)))
-    kept = judged.where("_judged.kept").withColumn(text, F.col("_judged.text"))
+    kept = arrow_map(docs, run, schema, SLICE)
     return kept.withColumn(n_chars, F.length(text).cast("long")).select(*docs.columns)
 
 
