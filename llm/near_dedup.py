@@ -10,10 +10,10 @@
 
 Pairs inside a band's bucket are never formed row by row: a bucket first meets one leader, its smallest node, then its
 best-linked node, which is linear, and the links found fold its nodes into components. What then remains are *strays*,
-nodes outside the largest component of their bucket. Strays and nodes of other components meet in blocks of
-``BLOCK`` signatures, compared as matrices, and the survivors are verified, the most alike of each stray first, the others
-only where the components still differ. So no link between components is lost to a bound, and a large group of near
-copies costs a few rows per copy.
+nodes outside the largest component of their bucket. Strays and nodes of other components meet in blocks, each a bounded
+number of signatures and full sets, where steps 3 and 4 run as array operations. A block gives only the links that join
+components, fewer than it has nodes, and these are verified on the texts. So no link between components is lost to a
+bound, and a large group of near copies costs a few rows per copy.
 
 Defined cases: a null or empty text, or one of white space, has an empty set and is linked with nothing; a
 text of fewer words than a shingle is one shingle; rows with a null id are linked with nothing; rows that share
@@ -26,14 +26,15 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.common import arrow_map, store, table, texts
 from llm.components import components
 from llm.registry import query
 
-BANDS, ROWS, BATCH, MISS, BLOCK, FIRST = 32, 5, 16, 1e-6, 1024, 4
+BANDS, ROWS, BATCH, MISS = 32, 5, 16, 1e-6
+BLOCK, SHINGLES = 512, 1 << 19  # nodes and shingles of a block
 HASHES = BANDS * ROWS
 _RNG = np.random.default_rng(20240607)
 _A = _RNG.integers(1, 1 << 63, HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -162,6 +163,18 @@ class _Verifier:
         self.signatures = nodes.select("node", "signature")
         self.k, self.percent = k, percent
 
+    def sets(self, wanted: DataFrame) -> DataFrame:
+        """(node, signature, shingles) of the nodes ``wanted``."""
+        k = self.k
+
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            sets = [shingle_hashes(x, k).tobytes() for x in texts(batch.column(1))]
+            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"])
+
+        shown = self.docs.join(wanted.select(F.col("node").alias("id")), "id", "left_semi").select("id", "text").distinct()
+        found = arrow_map(shown, run, "node long, shingles binary", rows=256)
+        return store(found.join(self.signatures, "node"), "near-sets")
+
     def __call__(self, pairs: DataFrame) -> DataFrame:
         """Verified links among distinct candidate pairs (a, b)."""
         at = lambda side, name: self.signatures.select(F.col("node").alias(side), F.col("signature").alias(name))
@@ -172,39 +185,78 @@ class _Verifier:
         return store(_confirm(alive.join(of("b", "tb"), "b").join(of("a", "ta"), "a"), self.k, self.percent).distinct(), "near-links")
 
 
-def _blocks(rows: DataFrame, sizes: DataFrame, side: str) -> DataFrame:
-    """(bucket, nodes, components, signatures) of at most about BLOCK rows each."""
-    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / (BLOCK / 2)).cast("long"))
+def _blocks(rows: DataFrame, sets: DataFrame, side: str) -> DataFrame:
+    """Per bucket of ``rows`` (bucket, node, c, n): lists of at most about BLOCK nodes and SHINGLES shingles, with signatures and sets."""
+    parts = rows.groupBy("bucket").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / SHINGLES)).alias("parts"))
+    placed = rows.join(parts, "bucket").select("bucket", "node", "c", F.pmod(F.xxhash64("node"), "parts").alias("part"))
     return (
-        rows.join(sizes, "bucket").groupBy("bucket", part.alias("part"))
-        .agg(F.collect_list(F.struct("node", "c", "signature")).alias(side)).drop("part")
+        placed.join(sets, "node").groupBy("bucket", "part")
+        .agg(F.collect_list(F.struct("node", "c", "signature", "shingles")).alias(side)).drop("part")
     )
 
 
-def _compare_blocks(pairs: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, matches) of all pairs of a stray and a node of another component that pass step 3."""
-    stops = least_matches(threshold)
-
-    def columns(block: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        node, c, signature = block.flatten()
-        return node.to_numpy(), c.to_numpy(), np.frombuffer(b"".join(signature.to_pylist()), np.uint8).reshape(-1, HASHES)
+class _Block:
+    """Nodes of one bucket: ids, components, signatures, and their sets laid end to end."""
+
+    def __init__(self, rows: pa.StructArray):
+        node, c, signature, shingles = rows.flatten()
+        self.node, self.c = node.to_numpy(), c.to_numpy()
+        self.signature = np.frombuffer(b"".join(signature.to_pylist()), np.uint8).reshape(-1, HASHES)
+        self.sets = [np.frombuffer(x, np.uint64) for x in shingles.to_pylist()]
+        self.sizes = np.array([len(x) for x in self.sets], np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]])
+
+    def numbered(self) -> tuple[np.ndarray, np.ndarray]:
+        """All distinct shingles, and the place among them of each shingle of each set."""
+        return np.unique(np.concatenate(self.sets), return_inverse=True)
+
+
+def _prune_one(own: np.ndarray, others: np.ndarray, alive: np.ndarray, stops: list[tuple[int, int]]) -> np.ndarray:
+    """Step 3 of one signature against the rows ``alive`` of ``others``."""
+    matches, begin = np.zeros(len(alive), np.int64), 0
+    for t, least in stops:
+        matches = matches + (others[alive, begin:t] == own[begin:t]).sum(axis=1)
+        stay = matches >= least
+        alive, matches, begin = alive[stay], matches[stay], t
+    return alive
+
+
+def links_between(strays: _Block, nodes: _Block, percent: int) -> list[tuple[int, int]]:
+    """Links that join all components of the two blocks that any link joins: at most one less than there are components."""
+    stops = least_matches(percent / 100)
+    names, own = np.unique(np.concatenate([strays.c, nodes.c]), return_inverse=True)
+    every, place = nodes.numbered()
+    shown, found = np.zeros(len(every), bool), []
+    for i in range(len(strays.node)):
+        theirs = own[len(strays.node):]
+        alive = _prune_one(strays.signature[i], nodes.signature, np.flatnonzero(theirs != own[i]), stops)
+        if not len(alive):
+            continue
+        at = np.minimum(np.searchsorted(every, strays.sets[i]), len(every) - 1)
+        at = at[every[at] == strays.sets[i]]
+        shown[at] = True
+        if 8 * len(alive) > len(nodes.node):
+            both = np.add.reduceat(shown[place].astype(np.int64), nodes.starts)[alive]
+        else:
+            both = np.array([shown[place[b : b + n]].sum() for b, n in zip(nodes.starts[alive], nodes.sizes[alive], strict=True)])
+        shown[at] = False
+        linked = (both > 0) & (100 * both >= percent * (strays.sizes[i] + nodes.sizes[alive] - both))
+        for y in alive[linked]:
+            gone = own[len(strays.node) + y]
+            if gone != own[i]:
+                found.append((int(strays.node[i]), int(nodes.node[y])))
+                own[own == gone] = own[i]
+    return found
+
+
+def _compare_blocks(pairs: DataFrame, percent: int) -> DataFrame:
+    """(a, b): steps 3 and 4 for strays and nodes of other components, as far as they join components."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found_a, found_b, found_m = [], [], []
-        for i in range(batch.num_rows):
-            (x, cx, sx), (y, cy, sy) = (columns(batch.column(name)[i].values) for name in ("strays", "nodes"))
-            for node, c, own in zip(x, cx, sx, strict=True):
-                alive = np.flatnonzero(cy != c)
-                matches, begin = np.zeros(len(alive), np.int64), 0
-                for t, least in stops:
-                    matches = matches + (sy[alive, begin:t] == own[begin:t]).sum(axis=1)
-                    stay = matches >= least
-                    alive, matches, begin = alive[stay], matches[stay], t
-                found_a.append(np.full(len(alive), node)), found_b.append(y[alive]), found_m.append(matches)
-        flat = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(flat(x)) for x in (found_a, found_b, found_m)], names=["a", "b", "matches"])
-
-    return arrow_map(pairs.select("strays", "nodes"), run, "a long, b long, matches long")
+        found = links_between(*(_Block(batch.column(name)[0].values) for name in ("strays", "nodes")), percent)
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    return arrow_map(pairs.select("strays", "nodes"), run, "a long, b long", rows=1)
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -212,13 +264,6 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs whose ends are in different components."""
-    of = lambda side: labels.select(F.col("node").alias(side), F.col("component").alias(f"c{side}"))
-    named = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
-    return named.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select(*pairs.columns)
-
-
 def _labels(links: DataFrame, nodes: DataFrame, members: DataFrame, verify: _Verifier) -> DataFrame:
     """(node, component) after all rounds of verification."""
     labels = components(links)
@@ -241,20 +286,13 @@ def _labels(links: DataFrame, nodes: DataFrame, members: DataFrame, verify: _Ver
     left = mixed()
     if left.isEmpty():
         return labels
-    largest = left.groupBy("bucket", "c").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.max(F.struct("n", "c")).alias("m"), F.sum("n").alias("size"))
-    sizes = store(largest.select("bucket", F.col("m.c").alias("main"), "size"), "near-sizes")
-    signed = left.join(nodes.select("node", "signature").dropDuplicates(["node"]), "node")
-    strays = signed.join(sizes.select("bucket", "main"), "bucket").where("c != main").drop("main")
-    blocks = _blocks(strays, sizes.select("bucket", "size"), "strays").join(_blocks(signed, sizes.select("bucket", "size"), "nodes"), "bucket")
-    alike = store(_compare_blocks(blocks, verify.percent / 100).distinct(), "near-alike")
-    rank = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("matches"), "b"))
-    for first in (True, False):
-        rest = _apart(alike, labels)
-        if rest.isEmpty():
-            break
-        links = links.union(verify(_ordered(rest.withColumn("r", rank).where(F.col("r") <= FIRST) if first else rest)))
-        labels = components(links)
-    return labels
+    largest = left.groupBy("bucket", "c").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.max(F.struct("n", "c")).alias("m"))
+    main = largest.select("bucket", F.col("m.c").alias("main"))
+    counted = left.join(nodes.select("node", "n").dropDuplicates(["node"]), "node")
+    strays = counted.join(main, "bucket").where("c != main").drop("main")
+    sets = verify.sets(left.select("node").distinct())
+    blocks = _blocks(strays, sets, "strays").join(_blocks(counted, sets, "nodes"), "bucket")
+    return components(links.union(verify(_ordered(_compare_blocks(blocks, verify.percent)))))
 
 
 def find_components(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:

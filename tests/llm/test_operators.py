@@ -427,3 +427,48 @@ def test_html_query(spark):
         body = re.search(r"<article>(.*?)(</article>|<footer>|$)", p.html, re.S)[1]
         parts = (" ".join(__import__("html").unescape(x).split()) for x in re.split(r"<[^>]*>", re.sub(r"</?(b|i|em|strong|a)\b[^>]*>", "", body)))
         assert got.text[p.page_id] == " ".join(x for x in parts if x)
+
+
+def test_blocks_link_what_brute_force_links(spark, monkeypatch):
+    """Small blocks: strays and nodes of one bucket are dealt over several, and no link is lost."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 3)
+    monkeypatch.setattr(near_dedup, "SHINGLES", 500)
+    test_near_dedup_leader_rounds(spark)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_links_between_equals_brute_force(seed):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(seed)
+    base = [f"v{x}" for x in range(120)]
+    rows, texts = [], []
+    for node in range(40):
+        words = list(base[: int(rng.integers(1, 120))] if node % 5 == 0 else base)
+        for at in rng.integers(0, len(words), int(rng.integers(0, 14))):
+            words[at] = f"c{node}-{at}"
+        texts.append(" ".join(words))
+        hashes = near_dedup.shingle_hashes(texts[-1], 2)
+        low = near_dedup.min_hashes(hashes)
+        rows.append({"node": node, "c": node - node % 2, "signature": (low >> np.uint64(56)).astype(np.uint8).tobytes(), "shingles": hashes.tobytes()})
+    kind = pa.struct([("node", pa.int64()), ("c", pa.int64()), ("signature", pa.binary()), ("shingles", pa.binary())])
+    block = near_dedup._Block(pa.array(rows, kind))
+    sets = [shingles(t, 2) for t in texts]
+    parent = list(range(40))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    def join(pairs):
+        for i in range(40):
+            parent[i] = i - i % 2
+        for a, b in pairs:
+            parent[max(root(a), root(b))] = min(root(a), root(b))
+        return [root(i) for i in range(40)]
+
+    found = near_dedup.links_between(block, block, 80)
+    assert all(100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) for a, b in found) and len(found) < 20
+    every = [(a, b) for a, b in itertools.combinations(range(40), 2) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert join(found) == join(every)
