@@ -2,9 +2,10 @@
 
 Both tokenizations of a text are byte lengths that add up to the same total. Offsets where both have a token's end
 cut them into groups. Most groups are one token to one token, in long runs: the *diagonal*, where the two arrays of
-ends agree at a constant shift of their indexes. Such runs are jumped by exponential probing (8, 16, 32, .. ends are
-compared at once, and the slice that differs is halved); an irregular group is resolved by stepping the side that
-is behind, after which the shift is taken anew.
+ends agree at a constant shift of their indexes. Such runs are jumped by exponential probing (16, 32, 64, .. ends are
+compared at once, and the first difference is found in the slice that differs); an irregular group is resolved by
+stepping the side that is behind, after which the shift is taken anew. From a common end on, ends agree just as long
+as the lengths between them do, so the arrays are kept as their steps, in bytes.
 
 Corpus-wide counts use a table of distinct pairs per *block* of documents, so a pair that every document holds
 travels once a block and not once a document:
@@ -29,8 +30,6 @@ import json
 import os
 import re
 from collections.abc import Iterator
-from itertools import accumulate
-from operator import ne
 from pathlib import Path
 
 import numpy as np
@@ -46,7 +45,7 @@ BLOCK_CHARS = 32_000_000
 BATCH_CHARS = 1_000_000  # characters that are tokenized together, one document at least
 LIST_PAIRS = 50_000  # pairs in a stored row of a block's list
 PLAIN_LINKS = 1_000_000  # links of a group that are listed one by one
-FIRST_PROBE = 8  # ends in the first slice that is compared
+FIRST_PROBE = 16  # bytes of the first slices that are compared
 ROW_SHIFT = 40  # bits of an id pair
 
 
@@ -69,7 +68,7 @@ PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!
 
 
 def byte_level_encoder(json_text: str):
-    """texts -> lists of ids, special tokens' strings as plain text.
+    """A function of texts to arrays of ids, special tokens' strings as plain text, and whether these always spell the text.
 
     Where the file has plain byte-level merges whose ids ascend, they are ranks, and tiktoken gives the same ids
     in a fifth of the time; any other file is left to the tokenizers library.
@@ -88,14 +87,14 @@ def byte_level_encoder(json_text: str):
         special = {t["content"] for t in told.get("added_tokens", [])}
         ranks = {bytes(map(letters.get, piece)): i for piece, i in vocabulary.items() if piece not in special}
         encoding = tiktoken.Encoding("byte-level", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
-        return lambda values: map(encoding.encode_ordinary, values)
+        return (lambda values: [encoding.encode_to_numpy(x, disallowed_special=()) for x in values]), True
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(json_text)
     tokenizer.no_truncation()
     tokenizer.no_padding()
     tokenizer.encode_special_tokens = True
-    return lambda values: [x.ids for x in tokenizer.encode_batch_fast(values, add_special_tokens=False)]
+    return (lambda values: [np.array(x.ids, np.uint32) for x in tokenizer.encode_batch_fast(values, add_special_tokens=False)]), False
 
 
 class Pair:
@@ -107,23 +106,31 @@ class Pair:
 
         told, letters = json.loads(json_text), byte_of_letter()
         vocabulary = told["model"]["vocab"] | {t["content"]: t["id"] for t in told.get("added_tokens", [])}
-        self.a = byte_level_encoder(json_text)
+        self.a, self.lossless = byte_level_encoder(json_text)
         self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
         for piece, i in vocabulary.items():
             self.a_bytes[i] = bytes(map(letters.get, piece)) if all(c in letters for c in piece) else piece.encode()
         self.b = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.b_bytes = [piece_bytes(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
-        self.a_lengths, self.b_lengths = list(map(len, self.a_bytes)), list(map(len, self.b_bytes))
-        self.a_names, self.b_names = list(map(str, range(len(self.a_bytes)))), list(map(str, range(len(self.b_bytes))))
-
-    def encode(self, values: list[str]) -> Iterator[tuple[list[int], list[int]]]:
+        self.step = "u1" if max(map(len, self.a_bytes + self.b_bytes)) < 256 else "<u4"
+        self.a_steps, self.b_steps = (np.array(list(map(len, x)), self.step) for x in (self.a_bytes, self.b_bytes))
+        # ids as text, inside a group and at its end
+        self.a_names, self.b_names = (
+            [np.array([b"%d%s" % (i, end) for i in range(n)], object) for end in (b",", last)]
+            for n, last in ((len(self.a_bytes), b"|"), (len(self.b_bytes), b";"))
+        )
+
+    def encode(self, values: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids by A and by B of each text, empty where either does not spell it."""
         for value, a, b in zip(values, self.a([" " + x for x in values]), self.b.encode(values, num_threads=1), strict=True):
             want = (" " + value).encode()
-            if value and b"".join(map(self.a_bytes.__getitem__, a)) == want and b"".join(map(self.b_bytes.__getitem__, b)) == want:
-                yield a, b
+            if (
+                value and b"".join(map(self.b_bytes.__getitem__, b)) == want
+                and (self.lossless or b"".join(map(self.a_bytes.__getitem__, a.tolist())) == want)
+            ):
+                yield a.astype(np.int64), np.array(b, np.int64)
             else:
-                yield [], []
+                yield np.zeros(0, np.int64), np.zeros(0, np.int64)
 
 
 def piece_bytes(piece: str) -> bytes:
@@ -144,58 +151,61 @@ def _worker_pair(broadcast) -> Pair:
     return _PAIRS[key]
 
 
-def run_length(a: list[int], b: list[int], i: int, j: int) -> int:
-    """How many ends from ``a[i]`` and ``b[j]`` on agree one to one."""
-    done, step, most = 0, FIRST_PROBE, min(len(a) - i, len(b) - j)
-    while done < most:
-        left, right = a[i + done : i + done + step], b[j + done : j + done + step]
-        if left == right:
-            done += len(left)
-            step *= 2
-            continue
-        while len(left) > FIRST_PROBE and len(right) > FIRST_PROBE:  # halve the slice that differs
-            half = min(len(left), len(right)) // 2
-            if left[:half] == right[:half]:
-                done += half
-                left, right = left[half:], right[half:]
-            else:
-                left, right = left[:half], right[:half]
-        differ = list(map(ne, left, right))
-        return done + (differ.index(True) if True in differ else len(differ))
-    return done
-
-
-def segments(a: list[int], b: list[int]) -> list[tuple[int, int, int, int]]:
-    """Stretches (i, j, n, 0) of n one-to-one groups and single groups (i, j, p, q) of p to q tokens, in order.
-    The ends ascend strictly and the last ones are equal."""
+def segments(a: bytes, b: bytes, unit: str = "u1") -> list[int]:
+    """Stretches (i, j, n, 0) of n one-to-one groups and single groups (i, j, p, q) of p to q tokens, in order and one
+    after the other in one list, from both sides' steps. No step is 0, and both sides add up to the same."""
+    size = np.dtype(unit).itemsize
+    steps_a, steps_b = (a, b) if size == 1 else (np.frombuffer(x, unit).tolist() for x in (a, b))
     i = j = 0
-    out = []
-    while i < len(a):
-        if run := run_length(a, b, i, j):
-            out.append((i, j, run, 0))
+    n = len(steps_a)
+    out: list[int] = []
+    number = int.from_bytes
+    while i < n:
+        # how long the ends agree one to one: probe a slice, and twice as much while it agrees
+        x, y, probe = i * size, j * size, FIRST_PROBE
+        left, right = a[x : x + probe], b[y : y + probe]
+        while left == right and len(left) == probe:
+            x, y, probe = x + probe, y + probe, 2 * probe
+            left, right = a[x : x + probe], b[y : y + probe]
+        if left == right:
+            x += len(left)
+        elif differ := number(left, "little") ^ number(right, "little"):
+            x += min((differ & -differ).bit_length() - 1 >> 3, len(left), len(right))
+        else:  # one side has ended, and the other goes on with zero bytes
+            x += min(len(left), len(right))
+        if run := x // size - i:
+            out += (i, j, run, 0)
             i, j = i + run, j + run
-            if i == len(a):
+            if i == n:
                 break
-        x, y = i, j
-        while (behind := a[x] - b[y]) != 0:
-            if behind < 0:
+        x, y = i + 1, j + 1
+        ahead = steps_a[i] - steps_b[j]
+        while ahead:
+            if ahead < 0:
+                ahead += steps_a[x]
                 x += 1
             else:
+                ahead -= steps_b[y]
                 y += 1
-        out.append((i, j, x + 1 - i, y + 1 - j))
-        i, j = x + 1, y + 1
+        out += (i, j, x - i, y - j)
+        i, j = x, y
     return out
 
 
-def groups_text(a: list[str], b: list[str], found: list[tuple[int, int, int, int]]) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the ids of each group."""
-    out = []
-    for i, j, p, q in found:
-        if q:
-            out.append(",".join(a[i : i + p]) + "|" + ",".join(b[j : j + q]))
-        else:
-            out.extend(map("|".join, zip(a[i : i + p], b[j : j + p], strict=True)))
-    return ";".join(out)
+def groups_text(pair: Pair, a: np.ndarray, b: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """``a1,a2|b1;a3|b2,b3;`` over several documents' joined ids, a part per token."""
+    _, _, p, q = found.T
+    stretch = q == 0
+    n = np.where(stretch, p, 1)
+    size_a, size_b = np.repeat(np.where(stretch, 1, p), n), np.repeat(np.where(stretch, 1, q), n)
+    end_a, end_b = np.cumsum(size_a), np.cumsum(size_b)
+    out = np.empty(len(a) + len(b), object)
+    # A's tokens of a group stand behind B's tokens of all groups before, B's behind A's up to this one
+    for ids, names, ends, sizes, before in ((a, pair.a_names, end_a, size_a, end_b - size_b), (b, pair.b_names, end_b, size_b, end_a)):
+        text = names[0][ids]
+        text[ends - 1] = names[1][ids[ends - 1]]
+        out[np.arange(len(ids)) + np.repeat(before, sizes)] = text
+    return out
 
 
 def links(a: np.ndarray, b: np.ndarray, found: np.ndarray, row: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -301,25 +311,22 @@ def code_pairs(docs: DataFrame, tokenizers, key: str, text: str, block_chars: in
 
 def _aligned(pair: Pair, values: list[str], width: int) -> list[tuple]:
     """(n_a, n_b, n_groups, n_links, groups_sha256, pairs, links of each) per text."""
-    heads, all_a, all_b, found, row = [], [], [], [], []
-    for at, (a, b) in enumerate(pair.encode(values)):
-        if not a:
-            heads.append((0, 0, 0, ""))
-            continue
-        own = segments(list(accumulate(map(pair.a_lengths.__getitem__, a))), list(accumulate(map(pair.b_lengths.__getitem__, b))))
-        told = groups_text(list(map(pair.a_names.__getitem__, a)), list(map(pair.b_names.__getitem__, b)), own)
-        heads.append((len(a), len(b), told.count("|"), hashlib.sha256(told.encode()).hexdigest()))
-        found.append(np.array(own, np.int64) + (len(all_a), len(all_b), 0, 0))
-        row.append(np.full(len(own), at))
-        all_a += a
-        all_b += b
-    if not found:
-        return [(*head[:3], 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64)) for head in heads]
-    rows, pairs, counts = links(np.array(all_a, np.int64), np.array(all_b, np.int64), np.concatenate(found), np.concatenate(row), width)
-    ends = np.searchsorted(rows, np.arange(1, len(heads)))
+    docs = list(pair.encode(values))
+    n_a, n_b = (np.array([len(d[k]) for d in docs]) for k in (0, 1))
+    a, b = (np.concatenate([d[k] for d in docs]) for k in (0, 1))
+    own = [np.array(segments(pair.a_steps[x].tobytes(), pair.b_steps[y].tobytes(), pair.step), np.int64).reshape(-1, 4) for x, y in docs]
+    row = np.repeat(np.arange(len(docs)), list(map(len, own)))
+    found = np.concatenate(own)
+    found[:, 0] += (np.cumsum(n_a) - n_a)[row]
+    found[:, 1] += (np.cumsum(n_b) - n_b)[row]
+    told = groups_text(pair, a, b, found)
+    n_groups = np.bincount(row, np.where(found[:, 3] == 0, found[:, 2], 1), len(docs)).astype(np.int64)
+    rows, pairs, counts = links(a, b, found, row, width)
+    cuts = np.searchsorted(rows, np.arange(1, len(docs)))
     return [
-        (*head[:3], int(c.sum()), head[3], p, c)
-        for head, p, c in zip(heads, np.split(pairs, ends), np.split(counts, ends), strict=True)
+        (x, y, g, int(c.sum()), hashlib.sha256(b"".join(t.tolist())[:-1]).hexdigest() if x else "", f, c)
+        for x, y, g, t, f, c in zip(
+            n_a.tolist(), n_b.tolist(), n_groups.tolist(), np.split(told, np.cumsum(n_a + n_b)[:-1]), np.split(pairs, cuts), np.split(counts, cuts), strict=True)
     ]
 
 
