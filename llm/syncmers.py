@@ -84,7 +84,7 @@ def anchors(rows: DataFrame, keys: list[str], head: Column, texts: list[str]) ->
     sizes = [F.greatest(F.ceil((F.length(c) - K + 1) / STARTS), F.lit(1)).cast("int") for c in texts]
     ends = [reduce(Column.__add__, sizes[: i + 1]) for i in range(len(texts))]
     # the list names all binary columns, so generated code takes them from the row once, not once a piece
-    cut = rows.select(*keys, head.alias("head"), *texts, *[e.alias(f"end_{i}") for i, e in enumerate(ends)], F.explode(F.sequence(F.lit(0), ends[-1] - 1)).alias("nth"))
+    cut = rows.select(*keys, head.alias("head"), *texts, *[e.alias(f"end_{i}") for i, e in enumerate(ends)], F.explode_outer(F.sequence(F.lit(0), ends[-1] - 1)).alias("nth"))
     own, begin, which = F.col(texts[0]), F.lit(0), F.lit(0)
     for i in range(1, len(texts)):
         later = F.col("nth") >= F.col(f"end_{i - 1}")
@@ -96,7 +96,7 @@ def anchors(rows: DataFrame, keys: list[str], head: Column, texts: list[str]) ->
     )
     strings = [F.xxhash64(F.substring("piece", i + 1, S)) for i in range(STARTS + WIDTH - 1)]
     hashed = shaped.withColumn("strings", F.array(*strings))
-    placed = hashed.select("*", F.posexplode("strings").alias("i", "own"))
+    placed = hashed.select("*", F.posexplode_outer("strings").alias("i", "own"))
     inside = [F.get("strings", F.col("i") + j) for j in range(1, WIDTH)]
     is_anchor = (F.col("i") < STARTS) & (F.col("i") <= F.col("last")) & (F.least("own", inside[-1]) <= _least(inside[:-1]))
     is_head = (F.col("i") == STARTS + WIDTH - 2) & F.col("head").isNotNull()
