@@ -86,15 +86,15 @@ def with_bags(records: DataFrame) -> DataFrame:
 
 
 def fold_copies(bagged: DataFrame, key: str, side: str = "side") -> DataFrame:
-    """(bag, tokens, n_left, n_right, left_id, right_id): one row per multiset of tokens.
+    """(bag, n_left, n_right, left_id, right_id): one row per multiset of tokens.
 
-    ``side`` is 'a' or 'b'. The ids are the least on each side, to name the bag by.
+    ``side`` is 'a' or 'b'. The ids are the least on each side, to name the bag by. Token lists take no part: they
+    are fetched by id where they are needed.
     """
     left, right = F.col(side) == "a", F.col(side) == "b"
     return (
         bagged.groupBy("bag")
         .agg(
-            F.first("tokens").alias("tokens"),
             F.count_if(left).alias("n_left"),
             F.count_if(right).alias("n_right"),
             F.min(F.when(left, F.col(key))).alias("left_id"),
@@ -103,7 +103,7 @@ def fold_copies(bagged: DataFrame, key: str, side: str = "side") -> DataFrame:
     )
 
 
-def bag_vectors(bags: DataFrame) -> DataFrame:
+def bag_vectors(bagged: DataFrame, bags: DataFrame, key: str) -> DataFrame:
     """Unit-length tf-idf vectors as rows (bag, token, weight, df, common_sq, n_left, n_right).
 
     The corpus is both sides with repeats, as the counts on the bags say. ``common_sq`` is the
@@ -112,19 +112,18 @@ def bag_vectors(bags: DataFrame) -> DataFrame:
     """
     size = F.col("n_left") + F.col("n_right")
     n_records = bags.agg(F.sum(size)).scalar()
-    counts = (
-        bags.repartition("bag")
-        .select(
-            "bag", "n_left", "n_right", F.size("tokens").alias("total"), F.explode("tokens").alias("token")
-        )
+    # one record speaks for its copies: the key, unique in the records, brings its tokens
+    named = bags.select("bag", "n_left", "n_right", F.least("left_id", "right_id").alias(key))
+    told = bagged.select(key, "tokens").join(named, key).select("bag", "n_left", "n_right", "tokens")
+    counts = store(
+        told.select("bag", "n_left", "n_right", F.size("tokens").alias("total"), F.explode("tokens").alias("token"))
         .groupBy("bag", "n_left", "n_right", "total", "token")
-        .agg(F.count("*").alias("n"))
+        .agg(F.count("*").alias("n")),
+        "bag-tokens",
     )
     # stored, so its size is known: broadcast if small, and then nothing moves after the first spread
     holding = store(
-        bags.select(size.alias("size"), F.explode(F.array_distinct("tokens")).alias("token"))
-        .groupBy("token")
-        .agg(F.sum("size").alias("df")),
+        counts.groupBy("token").agg(F.sum(size).alias("df")),
         "document-frequency",
     )
     weighted = counts.join(holding, "token").withColumn(
@@ -143,14 +142,16 @@ def bag_vectors(bags: DataFrame) -> DataFrame:
     )
 
 
-def postings_join(vectors: DataFrame) -> DataFrame:
+def postings_join(records: DataFrame, side: str = "side") -> DataFrame:
     """Join of the two sides' inverted indexes, as (token, n_left, n_right, n_pairs).
 
     The rows of one token would be every pair of its records; their number is all that the
-    join of the two per-token counts needs.
+    join of the two per-token counts needs, and that takes no weights.
     """
-    sides = vectors.groupBy("token").agg(
-        F.sum("n_left").alias("n_left"), F.sum("n_right").alias("n_right")
+    sides = (
+        records.select(side, F.explode(F.array_distinct("tokens")).alias("token"))
+        .groupBy("token")
+        .agg(F.count_if(F.col(side) == "a").alias("n_left"), F.count_if(F.col(side) == "b").alias("n_right"))
     )
     return sides.where("n_left > 0 and n_right > 0").withColumn(
         "n_pairs", F.col("n_left") * F.col("n_right")
@@ -298,9 +299,9 @@ def gold_pairs(bagged: DataFrame, gold_key: Column, side: str = "side") -> DataF
     )
 
 
-def join_gold(similar: DataFrame, gold: DataFrame) -> DataFrame:
-    """Scores of the known duplicates among the similar pairs."""
-    return similar.join(gold, ["left_bag", "right_bag"])
+def join_gold(gold: DataFrame, vectors: DataFrame) -> DataFrame:
+    """Scores of the known duplicates that share a token, however low: the pairs are given, so none is searched."""
+    return _shared_scores(gold, vectors)
 
 
 def anti_gold(similar: DataFrame, gold: DataFrame) -> DataFrame:
@@ -334,23 +335,36 @@ def average_similarity(vectors: DataFrame, bags: DataFrame, gold_scores: DataFra
 # ---- threshold sweep ----------------------------------------------------------------------
 
 
-def threshold_bins(similar: DataFrame, gold_scores: DataFrame, first_bin: int = 0) -> DataFrame:
-    """Pairs per ``int(similarity * 100)``: candidates, gold, and candidates minus gold."""
-    binned = similar.groupBy(score_bin(F.col("similarity")).alias("bin")).agg(
-        F.sum("n_pairs").alias("candidates")
+def pair_total(bags: DataFrame) -> Column:
+    """All record pairs across the sides: a product of two sums."""
+    return bags.agg((F.sum("n_left") * F.sum("n_right")).alias("n")).scalar()
+
+
+def pairs_per_bin(similar: DataFrame, n_all: Column) -> DataFrame:
+    """(bin, n) of ``int(similarity * 100)``, 0 to 100, over *all* pairs of the sides.
+
+    ``similar`` holds every pair of bin 1 and above. Whatever else the product of the sides holds, pairs that
+    share nothing too, is in the bottom bin: it is counted as the rest, and none of its pairs is formed.
+    """
+    found = (
+        similar.groupBy(score_bin(F.col("similarity")).alias("bin")).agg(F.sum("n_pairs").alias("n")).where("bin >= 1")
     )
+    rest = found.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("above")).select(
+        F.lit(0).alias("bin"), (F.coalesce(n_all, F.lit(0)) - F.col("above")).alias("n")
+    )
+    every = similar.sparkSession.range(101).select(F.col("id").cast("int").alias("bin"))
+    return every.join(found.unionByName(rest), "bin", "left").select("bin", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def threshold_bins(similar: DataFrame, gold_scores: DataFrame, n_all: Column) -> DataFrame:
+    """Pairs per ``int(similarity * 100)`` from 0 on: all, gold, and all minus gold."""
     golden = gold_scores.groupBy(score_bin(F.col("similarity")).alias("bin")).agg(
         F.sum("n_gold").alias("gold")
     )
-    bins = similar.sparkSession.range(first_bin, 101).select(F.col("id").cast("int").alias("bin"))
     return (
-        bins.join(binned, "bin", "left")
+        pairs_per_bin(similar, n_all).withColumnRenamed("n", "candidates")
         .join(golden, "bin", "left")
-        .select(
-            "bin",
-            F.coalesce("candidates", F.lit(0)).alias("candidates"),
-            F.coalesce("gold", F.lit(0)).alias("gold"),
-        )
+        .select("bin", "candidates", F.coalesce("gold", F.lit(0)).alias("gold"))
         .withColumn("net", F.col("candidates") - F.col("gold"))
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.numbers import edge_bin
@@ -15,11 +15,17 @@ def accuracy(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
     return df.agg((F.avg((F.col(y) == F.col(p)).cast("double")) * 100).alias("accuracy"))
 
 
-def confusion_matrix(df: DataFrame, classes: list[int], y: str = "y", p: str = "p") -> DataFrame:
-    """Count per (true, predicted) for a fixed list of classes, zero cells shown."""
-    counts = df.groupBy(y, p).agg(F.count("*").alias("n"))
-    cells = df.sparkSession.createDataFrame([(a, b) for a in classes for b in classes], f"{y} int, {p} int")
-    return F.broadcast(cells).join(counts, [y, p], "left").select(y, p, F.coalesce("n", F.lit(0)).alias("n"))
+def confusion_matrix(df: DataFrame, classes: list[int], y: str = "y", p: str = "p", other: int = -1) -> DataFrame:
+    """Count per (true, predicted) for a list of classes, zero cells shown. Labels outside the list, null ones too,
+    are counted under ``other``, so the cells add up to the rows."""
+
+    def shown(c: str) -> Column:
+        return F.when(F.col(c).isin(classes), F.col(c)).otherwise(F.lit(other)).cast("int").alias(c)
+
+    counts = df.select(shown(y), shown(p)).groupBy(y, p).agg(F.count("*").alias("n"))
+    names = [*classes, other]
+    cells = df.sparkSession.createDataFrame([(a, b) for a in names for b in names], f"{y} int, {p} int")
+    return cells.join(F.broadcast(counts), [y, p], "left").select(y, p, F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def _hits():

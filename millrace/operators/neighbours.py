@@ -28,6 +28,57 @@ def _pieces(pdf: pd.DataFrame, rows: int):
         yield pdf.iloc[start : start + rows]
 
 
+def _vote(table: pd.DataFrame, k: int):
+    """A function of (vectors, fold) to predictions: majority of the k nearest rows of other folds in ``table``."""
+    vectors = {}
+    for fold in [None, *table["fold"].unique()]:
+        others = table[table["fold"] != fold]
+        x = np.array(others["vec"].tolist(), dtype=float) if len(others) else np.zeros((0, 0))
+        vectors[fold] = (x, (x * x).sum(axis=1), others["id"].to_numpy(), others["label"].to_numpy())
+
+    def predict(q: np.ndarray, fold: int) -> list[int | None]:
+        x, squares, ids, labels = vectors.get(fold, vectors[None])
+        if not len(x):
+            return [None] * len(q)
+        rough = squares - 2 * (q @ x.T) + (q * q).sum(axis=1)[:, None]
+        n = min(k, len(x))
+        edge = np.partition(rough, n - 1, axis=1)[:, n - 1]
+        # the product's rounding is far below this room; the distances that count are taken anew
+        room = 1e-6 * (1 + squares.max() + (q * q).sum(axis=1))
+        out = []
+        for row, near in zip(q, rough <= (edge + room)[:, None], strict=True):
+            at = np.flatnonzero(near)
+            d = np.round(np.sqrt(((x[at] - row) ** 2).sum(axis=1)), _DIGITS)
+            best = at[np.lexsort((ids[at], d))[:k]]
+            found, votes = np.unique(labels[best], return_counts=True)
+            out.append(int(found[votes.argmax()]))
+        return out
+
+    return predict
+
+
+def knn_fitted(points: DataFrame, k: int = 5, sample: int = 4096, seed: int = 0) -> DataFrame:
+    """Out-of-fold majority vote of the k nearest rows of other folds among a drawn sample, in linear work.
+
+    The model is the ``sample`` rows of least seeded hash (all, if there are fewer): a documented bound, so it is
+    broadcast, and each batch of rows is compared with it as one matrix product. ``points`` and result are those of
+    :func:`knn_classify`, ties too; a row without other folds in the sample has a null prediction.
+    """
+    drawn = points.orderBy(hash_number(seed, "id"), "id").limit(sample).select("id", "vec", "label", "fold").toPandas()
+    sent = points.sparkSession.sparkContext.broadcast(drawn)
+
+    def classify(batches):
+        predict = _vote(sent.value, k)
+        for batch in batches:
+            for pdf in _pieces(batch, 512):
+                predicted = pd.Series(pd.NA, index=pdf.index, dtype="Int32")
+                for fold, part in pdf.groupby("fold"):
+                    predicted.loc[part.index] = predict(np.array(part["vec"].tolist(), dtype=float), int(fold))
+                yield pdf[["id", "fold", "label"]].assign(predicted=predicted)
+
+    return points.select("id", "fold", "label", "vec").mapInPandas(classify, "id bigint, fold int, label int, predicted int")
+
+
 def knn_classify(
     points: DataFrame, k: int = 5, n_pivots: int = 32, block: int = 1024, seed: int = 0
 ) -> DataFrame:

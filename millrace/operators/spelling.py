@@ -3,8 +3,9 @@
 A word one edit (delete, neighbour swap, replace, insert) from another shares with it a string
 that is at most one delete away from each; two edits, at most two deletes from each. So both sides
 are indexed by their deletes, some n or n^2/2 strings per word, where spelling out the edits
-themselves takes 54n or (54n)^2. Long vocabulary words are met by pieces instead, a fixed number
-per word whatever its length. The join's hits are then checked exactly.
+themselves takes 54n or (54n)^2. Long vocabulary words are met by pairs of pieces instead, a fixed
+number per word whatever its length. All keys travel as 8-byte hashes; what they bring together
+is checked exactly.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from millrace.functions.text import word_deletes, word_edits1, word_transposes
 from millrace.operators.ordering import store
 
 
-_SHORT = 20  # letters up to which a vocabulary word is indexed by its deletes
+SHORT = 20  # letters up to which a vocabulary word is indexed by its deletes
 
 
 def spell_edits1(words: DataFrame) -> DataFrame:
@@ -30,49 +31,67 @@ def _delete_keys(w: Column, depth: int) -> Column:
     for _ in range(depth):
         level = F.array_distinct(F.flatten(F.transform(level, word_deletes)))
         keys = F.concat(keys, level)
-    return F.array_distinct(keys)
-
-
-def _pieces(w: Column, n: int, reach: int) -> Column:
-    """``length:i:piece`` for the n pieces of a word of each length within ``reach`` of that of
-    ``w``, looked for in ``w`` at their places and up to ``reach`` beside them."""
-    steps = range(-reach, reach + 1)
-    cuts = F.array(*[
-        F.struct(F.lit(d).alias("d"), F.lit(i).alias("i"), F.lit(s).alias("s"))
-        for d in steps for i in range(n) for s in steps
-    ])
-    cut = F.transform(cuts, lambda c: _piece(w, F.length(w) + c["d"], c["i"], n, c["s"]))
-    return F.array_compact(cut)
+    return F.transform(F.array_distinct(keys), lambda x: F.xxhash64(x))
 
 
 def _piece(w: Column, length: Column, i: Column, n: int, shift: Column) -> Column:
+    """The letters of ``w`` at the place of piece i of n in a word of ``length``, moved by ``shift``; null outside."""
     start = F.floor(length * i / n).cast("int")
     size = F.floor(length * (i + 1) / n).cast("int") - start
     inside = (start + shift >= 0) & (start + shift + size <= F.length(w))
-    label = F.concat_ws(":", length.cast("string"), i.cast("string"), w.substr(start + shift + 1, size))
-    return F.when(inside, label)
+    return F.when(inside, w.substr(start + shift + 1, size))
+
+
+def _pair_keys(w: Column, depth: int, reach: int) -> Column:
+    """Hashes of (length, i, j, piece i, piece j) for each two of 2 * depth + 2 pieces, of words of each length within
+    ``reach`` of that of ``w``, looked for in ``w`` where up to ``reach`` inserts and deletes may have moved them.
+
+    Every letter that moves piece i, then piece j against i, then the end against j (by -d in all), takes an edit, so only
+    25 of the moves are possible at two edits, 7 at one.
+    """
+    n = 2 * depth + 2
+    steps = range(-reach, reach + 1)
+    moves = [(d, s, t) for d in steps for s in steps for t in steps if abs(s) + abs(t - s) + abs(d + t) <= reach]
+    # pieces by length, number and shift, each cut out once
+    places = sorted({(d, i, s) for d, s, t in moves for i in range(n) for s in (s, t)})
+    at = {place: k for k, place in enumerate(places)}
+    cut = F.array(*[F.struct(*[F.lit(x).alias(c) for x, c in zip(p, "dis", strict=True)]) for p in places])
+    pieces = F.transform(cut, lambda c: _piece(w, F.length(w) + c["d"], c["i"], n, c["s"]))
+    pairs = F.array(*[
+        F.struct(*[F.lit(x).alias(c) for x, c in zip((d, i, j, at[d, i, s], at[d, j, t]), "dijab", strict=True)])
+        for d, s, t in moves for i in range(n) for j in range(i + 1, n)
+    ])
+
+    def key(found: Column) -> Column:
+        return F.transform(pairs, lambda p: F.when(
+            F.get(found, p["a"]).isNotNull() & F.get(found, p["b"]).isNotNull(),
+            F.xxhash64(F.length(w) + p["d"], p["i"], p["j"], F.get(found, p["a"]), F.get(found, p["b"])),
+        ))
+
+    # the list of pieces is made once and named inside
+    return F.array_distinct(F.array_compact(F.flatten(F.transform(F.array(pieces), key))))
 
 
 def _near(words: DataFrame, vocabulary: DataFrame, depth: int) -> DataFrame:
     """(word, candidate, freq) that ``depth`` edits may join; none that they do join is missing.
 
-    Vocabulary words up to ``_SHORT`` letters: both share a string at most ``depth`` deletes from
+    Vocabulary words up to ``SHORT`` letters: both share a string at most ``depth`` deletes from
     each. Words under one key differ from it by at most ``depth`` inserts, which bounds the group
     by the alphabet, whatever the corpus.
 
-    Longer ones: an edit touches at most two of a word's pieces, so of 2 * depth + 1 pieces one is
-    whole in the other word, at most ``depth`` places off.
+    Longer ones: an edit touches at most two of a word's pieces, so of 2 * depth + 2 pieces two are
+    whole in the other word, at most ``depth`` places off. Words under one key share a third of their
+    letters or more, in two places.
     """
     def keyed(table: DataFrame, keys: Column, *columns: Column | str) -> DataFrame:
         return table.select(*columns, F.explode(keys).alias("key"))
 
     w, candidate = F.col("word"), F.col("word").alias("candidate")
-    short_left = keyed(words.where(F.length(w) <= _SHORT + depth), _delete_keys(w, depth), "word")
-    short_right = keyed(vocabulary.where(F.length(w) <= _SHORT), _delete_keys(w, depth), candidate, "freq")
+    short_left = keyed(words.where(F.length(w) <= SHORT + depth), _delete_keys(w, depth), "word")
+    short_right = keyed(vocabulary.where(F.length(w) <= SHORT), _delete_keys(w, depth), candidate, "freq")
 
-    n = 2 * depth + 1
-    long_left = keyed(words.where(F.length(w) > _SHORT - depth), _pieces(w, n, depth), "word")
-    long_right = keyed(vocabulary.where(F.length(w) > _SHORT), _pieces(w, n, 0), candidate, "freq")
+    long_left = keyed(words.where(F.length(w) > SHORT - depth), _pair_keys(w, depth, depth), "word")
+    long_right = keyed(vocabulary.where(F.length(w) > SHORT), _pair_keys(w, depth, 0), candidate, "freq")
 
     met = short_left.join(short_right, "key").unionByName(long_left.join(long_right, "key"))
     return met.select("word", "candidate", "freq").distinct()
@@ -142,8 +161,17 @@ def spell_correct(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return found.unionByName(two).unionByName(unchanged)
 
 
+def with_bias(vocabulary: DataFrame, tests: DataFrame, bias: int) -> DataFrame:
+    """The vocabulary with ``bias`` added to each target's count; a target it lacks starts at 1."""
+    targets = tests.select(F.col("target").alias("word")).distinct().withColumn("more", F.lit(bias))
+    return vocabulary.join(targets, "word", "full").select(
+        "word", (F.coalesce("freq", F.lit(1)) + F.coalesce("more", F.lit(0))).alias("freq")
+    )
+
+
 def spell_report(tests: DataFrame, corrected: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """Tested, wrong, unknown and percent right over (target, wrong) pairs."""
+    """Tested, wrong, unknown and percent right over (target, wrong) pairs; unknown are the wrong ones whose target
+    the vocabulary lacks, so that no correction could be right."""
     flagged = vocabulary.select(F.col("word").alias("target"), F.lit(True).alias("is_known"))
     joined = tests.join(corrected, tests["wrong"] == corrected["word"]).join(flagged, "target", "left")
     missed = F.col("correction") != F.col("target")

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import heapq
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.logs import LOG_FIELDS, log_parts, log_size, log_time
+from millrace.operators.ordering import store
 
 
 def parse_access_log(lines: DataFrame, line: str = "value") -> DataFrame:
@@ -42,6 +47,35 @@ def parse_report(parsed: DataFrame) -> DataFrame:
     )
 
 
+def failure_report(parsed: DataFrame, n: int = 20, line: str = "line") -> DataFrame:
+    """(status, n, place, line): lines parsed and failed, and the first ``n`` failed lines in order of their text.
+
+    The lines are read and parsed once. Each task counts its own and keeps its n least failed lines; what leaves a
+    task is a row per status, and a batch of failed lines is the most that is held.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, least = {"parsed": 0, "failed": 0}, []
+        for batch in batches:
+            failed = batch.column(1).drop_null().to_pylist()
+            counts["failed"] += len(failed)
+            counts["parsed"] += batch.num_rows - len(failed)
+            # as bytes, the order Spark sorts strings in
+            least = heapq.nsmallest(n, least + failed, key=str.encode)
+        yield pa.RecordBatch.from_pylist(
+            [{"status": s, "n": c, "sample": least if s == "failed" else []} for s, c in counts.items()],
+            pa.schema([("status", pa.string()), ("n", pa.int64()), ("sample", pa.list_(pa.string()))]),
+        )
+
+    narrow = parsed.select("ok", F.when(~F.col("ok"), F.coalesce(line, F.lit(""))).alias("failed"))
+    # stored: small, and read once for the counts and once for the lines
+    parts = store(narrow.mapInArrow(run, "status string, n long, sample array<string>"), "parse-report")
+    counts = parts.groupBy("status").agg(F.sum("n").alias("n"))
+    first = parts.select("status", F.explode("sample").alias("line")).orderBy("line").limit(n)
+    placed = first.select("status", "line", F.row_number().over(Window.orderBy("line")).cast("long").alias("place"))
+    return counts.join(placed, "status", "left").select("status", "n", "place", "line")
+
+
 def with_status(logs: DataFrame, code: int) -> DataFrame:
     return logs.where(F.col("response_code") == code)
 

@@ -2,14 +2,14 @@
 
 from pyspark.sql import functions as F
 
-from millrace.functions.numbers import score_bin
 from millrace.operators import aggregates as agg
 from millrace.operators import entity as er
 from millrace.plans.inputs import SIDE, records
 from millrace.plans.registry import query
 from millrace.plans.words import KEPT
 
-FLOOR = 0.05  # least cosine of a similar pair; bins and thresholds start there
+FLOOR = 0.05  # least cosine in the pair listings, whose length would else grow with the square of the table
+LOWEST = 0.0099999  # reaches every pair of bin 1, whose scores are rounded before they are binned
 
 SQL_RECORDS = f"""
 rec AS (SELECT doc_id, {SIDE} AS side, text, {KEPT} AS tokens FROM documents),
@@ -34,11 +34,13 @@ rep AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY bag, side) AS rep FROM bag
 near AS (SELECT * FROM sims WHERE sim >= {FLOOR})
 """
 SQL_BINS = SQL_PAIRS + """,
+spread AS (SELECT floor(round(sim * 100, 6)) AS bin, count(*) AS c FROM sims GROUP BY 1
+           UNION ALL SELECT 0, (SELECT count(*) FROM rec a, rec b WHERE a.side = 'a' AND b.side = 'b') - (SELECT count(*) FROM sims)),
 bins AS (
-  SELECT CAST(bin AS INTEGER) AS bin, coalesce(c, 0) AS candidates, coalesce(g, 0) AS gold,
-         coalesce(c, 0) - coalesce(g, 0) AS net
-  FROM range(5, 101) AS x(bin)
-  LEFT JOIN (SELECT floor(round(sim * 100, 6)) AS bin, count(*) AS c FROM near GROUP BY 1) USING (bin)
+  SELECT CAST(bin AS INTEGER) AS bin, CAST(coalesce(c, 0) AS BIGINT) AS candidates, coalesce(g, 0) AS gold,
+         CAST(coalesce(c, 0) - coalesce(g, 0) AS BIGINT) AS net
+  FROM range(0, 101) AS x(bin)
+  LEFT JOIN (SELECT bin, sum(c) AS c FROM spread GROUP BY 1) USING (bin)
   LEFT JOIN (SELECT floor(round(sim * 100, 6)) AS bin, count(*) AS g FROM gs GROUP BY 1) USING (bin))
 """
 SQL_SWEEP = SQL_BINS + """,
@@ -47,7 +49,7 @@ sweep AS (
          (SELECT count(*) FROM gs WHERE sim >= k / 100) AS tp,
          CAST((SELECT sum(net) FROM bins WHERE bin >= k) AS BIGINT) AS fp,
          (SELECT count(*) FROM gs WHERE sim < k / 100) AS fn
-  FROM range(5, 100) AS x(k))
+  FROM range(0, 100) AS x(k))
 """
 
 
@@ -58,6 +60,10 @@ def _docs(t):
     return records(t).drop("side", "gold_key")
 
 
+def _docs_with_side(t):
+    return records(t).drop("gold_key")
+
+
 @query("tf", f"WITH {SQL_RECORDS} SELECT doc_id, token, round(tf, 9) AS tf FROM tf")
 def tf(t):
     return er.tf(_docs(t), "doc_id").withColumn("tf", F.round("tf", 9))
@@ -131,15 +137,15 @@ class Catalogue:
     def __init__(self, t):
         bagged = er.store(er.with_bags(records(t)), "bagged")
         self.bags = er.store(er.fold_copies(bagged, "doc_id"), "bags")
-        self.vectors = er.bag_vectors(self.bags)
+        self.vectors = er.bag_vectors(bagged, self.bags, "doc_id")
         self._bagged = bagged
 
     @property
     def gold(self):
         return er.store(er.gold_pairs(self._bagged, F.col("gold_key")), "gold")
 
-    def similar(self):
-        return er.similar_bags(self.vectors, FLOOR)
+    def similar(self, floor=FLOOR):
+        return er.similar_bags(self.vectors, floor)
 
     def gold_scores(self):
         return er.score_pairs(self.gold, self.vectors)
@@ -182,7 +188,7 @@ SELECT token, count(DISTINCT a.doc_id) AS n_left, count(DISTINCT b.doc_id) AS n_
 FROM wt a JOIN wt b USING (token) WHERE a.side = 'a' AND b.side = 'b' GROUP BY 1
 """)
 def postings_join(t):
-    return er.postings_join(Catalogue(t).vectors)
+    return er.postings_join(_docs_with_side(t))
 
 
 @query("cosine_inverted", f"""
@@ -212,11 +218,11 @@ def common_tokens(t):
 @query("join_gold", f"""
 WITH {SQL_PAIRS}
 SELECT ra.rep AS a_id, rb.rep AS b_id, count(*) AS n_gold, round(avg(raw), 6) AS similarity
-FROM near JOIN gold USING (a_id, b_id) JOIN rep ra ON ra.doc_id = a_id JOIN rep rb ON rb.doc_id = b_id GROUP BY 1, 2
+FROM sims JOIN gold USING (a_id, b_id) JOIN rep ra ON ra.doc_id = a_id JOIN rep rb ON rb.doc_id = b_id GROUP BY 1, 2
 """)
 def join_gold(t):
     c = Catalogue(t)
-    pairs = c.named(er.join_gold(c.similar(), c.gold))
+    pairs = c.named(er.join_gold(c.gold, c.vectors))
     return pairs.select("a_id", "b_id", "n_gold", F.round("similarity", 6).alias("similarity"))
 
 
@@ -256,18 +262,16 @@ def avg_similarity(t):
     return means.select(*[F.round(c, 6).alias(c) for c in means.columns])
 
 
-@query("score_bin", f"""
-WITH {SQL_PAIRS}
-SELECT CAST(floor(round(sim * 100, 6)) AS INTEGER) AS bin, count(*) AS n FROM near GROUP BY 1
-""")
+@query("score_bin", f"WITH {SQL_BINS} SELECT bin, candidates AS n FROM bins")
 def score_bin_query(t):
-    return Catalogue(t).similar().groupBy(score_bin(F.col("similarity")).alias("bin")).agg(F.sum("n_pairs").alias("n"))
+    c = Catalogue(t)
+    return er.pairs_per_bin(c.similar(LOWEST), er.pair_total(c.bags))
 
 
 def _bins(t):
     c = Catalogue(t)
     golden = er.store(c.gold_scores(), "gold-scores")
-    return er.threshold_bins(c.similar(), golden, first_bin=5), golden
+    return er.threshold_bins(c.similar(LOWEST), golden, er.pair_total(c.bags)), golden
 
 
 @query("threshold_bins", f"WITH {SQL_BINS} SELECT bin, candidates, gold, net FROM bins")

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from millrace.functions import text as tx
-from millrace.functions.numbers import hash_number
+from millrace.functions.numbers import hash_bucket, hash_number
 from millrace.operators import spelling as sp
 from millrace.operators.language import SentimentModel, extractive_summary, sentence_table
 from millrace.operators.ordering import store
@@ -11,6 +11,7 @@ from millrace.operators.words import word_frequency_prior, words_of
 from millrace.plans.inputs import SQL_TOKENS, sql_hash
 from millrace.plans.registry import query
 from millrace.plans.words import _PARTS, _STOP
+from millrace.session import new_folder
 from millrace.streaming import streams
 
 
@@ -48,65 +49,133 @@ def spell_edits1(t):
     return sp.spell_edits1(_distinct_words(t.benchmark))
 
 
-@query("spell_correct", f"""
-WITH {_VOCAB}, w AS ({_ALPHA} conversations),
-rest AS (SELECT word FROM w WHERE word NOT IN (SELECT word FROM voc)),
+def _correct_sql(words: str, voc: str = "voc") -> str:
+    """CTEs up to ``corrected`` (word, correction, edits) of ``w``, by spelling out the edits and meeting half way."""
+    return f"""{words},
+rest AS (SELECT word FROM w WHERE word NOT IN (SELECT word FROM {voc})),
 pos AS (SELECT word, CAST(unnest(range(1, length(word) + 2)) AS INTEGER) AS i FROM rest),
-ones AS (SELECT e.word, edit, freq FROM ({SQL_EDITS}) e JOIN voc ON voc.word = edit),
+ones AS (SELECT e.word, edit, freq FROM ({SQL_EDITS}) e JOIN {voc} ON {voc}.word = edit),
 one AS (SELECT word, edit, freq FROM ones QUALIFY row_number() OVER (PARTITION BY word ORDER BY freq DESC, edit) = 1),
 far AS (SELECT word FROM rest WHERE word NOT IN (SELECT word FROM one)),
-{_pos('far_pos', 'far')}, {_pos('voc_pos', 'voc')},
+{_pos('far_pos', 'far')}, {_pos('voc_pos', voc)},
 meet AS (SELECT DISTINCT a.word, b.word AS edit FROM ({_EDITS.format(pos='far_pos', letters=_LETTERS)}) a
          JOIN ({_EDITS.format(pos='voc_pos', letters=_LETTERS)}) b ON a.edit = b.edit),
-two AS (SELECT meet.word, edit FROM meet JOIN voc ON voc.word = edit
-        QUALIFY row_number() OVER (PARTITION BY meet.word ORDER BY freq DESC, edit) = 1)
-SELECT word, coalesce(one.edit, two.edit, word) AS correction,
-       CASE WHEN word IN (SELECT word FROM voc) THEN 0 WHEN one.edit IS NOT NULL THEN 1
-            WHEN two.edit IS NOT NULL THEN 2 ELSE -1 END AS edits
-FROM w LEFT JOIN one USING (word) LEFT JOIN two USING (word)
+two AS (SELECT meet.word, edit FROM meet JOIN {voc} ON {voc}.word = edit
+        QUALIFY row_number() OVER (PARTITION BY meet.word ORDER BY freq DESC, edit) = 1),
+corrected AS (
+  SELECT word, coalesce(one.edit, two.edit, word) AS correction,
+         CASE WHEN word IN (SELECT word FROM {voc}) THEN 0 WHEN one.edit IS NOT NULL THEN 1
+              WHEN two.edit IS NOT NULL THEN 2 ELSE -1 END AS edits
+  FROM w LEFT JOIN one USING (word) LEFT JOIN two USING (word))"""
+
+
+@query("spell_correct", f"""
+WITH {_VOCAB}, {_correct_sql(f"w AS ({_ALPHA} conversations)")} SELECT word, correction, edits FROM corrected
 """)
 def spell_correct(t):
     """All distinct words of the conversations against the documents' vocabulary."""
     return sp.spell_correct(store(_distinct_words(t.conversations), "words"), vocabulary(t))
 
 
-def _misspelt(voc):
-    """Each vocabulary word of three letters or more with one letter left out or two swapped."""
+def _compounds(t):
+    """(word, freq): every four neighbouring words of the benchmark's texts written as one, over 20 letters long."""
+    words = t.benchmark.select(tx.alpha_words(F.col("text")).alias("w"))
+    glued = F.transform(F.sequence(F.lit(1), F.size("w") - 3), lambda i: F.array_join(F.slice("w", i, 4), ""))
+    every = words.where(F.size("w") > 3).select(F.explode(glued).alias("word")).where(F.length("word") > sp.SHORT)
+    return word_frequency_prior(every)
+
+
+def _blurred(words):
+    """Each word with a letter left out, and, by its hash, two neighbours swapped or a letter doubled as well."""
+    w, h = F.col("word"), hash_number(4, "word")
+    less = F.element_at(tx.word_deletes(w), (h % F.length(w)).cast("int") + 1)
+    at = ((h % 89) % (F.length(less) - 1)).cast("int") + 1
+    swapped = F.concat(F.substring(less, F.lit(1), at - 1), F.substring(less, at + 1, F.lit(1)), F.substring(less, at, F.lit(1)), F.substring(less, at + 2, F.length(less)))
+    doubled = F.concat(F.substring(less, F.lit(1), at), F.substring(less, at, F.length(less)))
+    return words.select(w.alias("target"), F.when(h % 3 == 0, less).when(h % 3 == 1, swapped).otherwise(doubled).alias("wrong"))
+
+
+_COMPOUNDS = f"""
+toks AS (SELECT regexp_extract_all(lower(text), '[a-z]+') AS w FROM benchmark),
+comp AS (SELECT word, count(*) + 1 AS freq FROM (
+  SELECT array_to_string(w[i:i + 3], '') AS word FROM (SELECT w, unnest(range(1, len(w) - 2)) AS i FROM toks WHERE len(w) > 3))
+  WHERE length(word) > 20 GROUP BY 1),
+less AS (SELECT word, h, substr(word, 1, CAST(h % length(word) AS INTEGER)) || substr(word, CAST(h % length(word) AS INTEGER) + 2) AS l
+         FROM (SELECT word, {sql_hash(4, 'word')} AS h FROM comp)),
+blur AS (SELECT word AS target, CASE WHEN h % 3 = 0 THEN l
+    WHEN h % 3 = 1 THEN substr(l, 1, p - 1) || substr(l, p + 1, 1) || substr(l, p, 1) || substr(l, p + 2)
+    ELSE substr(l, 1, p) || substr(l, p) END AS wrong
+  FROM (SELECT word, h, l, CAST((h % 89) % (length(l) - 1) + 1 AS INTEGER) AS p FROM less))"""
+
+
+@query("spell_compounds", f"""
+WITH {_COMPOUNDS}, {_correct_sql("w AS (SELECT DISTINCT wrong AS word FROM blur)", "comp")} SELECT word, correction, edits FROM corrected
+""")
+def spell_compounds(t):
+    """Words of over 20 letters with one or two edits, against a vocabulary of such words."""
+    known = store(_compounds(t), "compounds")
+    return sp.spell_correct(store(_blurred(known).select(F.col("wrong").alias("word")).distinct(), "words"), known)
+
+
+def _misspelt(words):
+    """Each word with one letter left out or two swapped; a word of one letter doubled."""
     w = F.col("word")
     h = hash_number(9, "word")
     at = (h % F.length(w)).cast("int")
-    swap_at = (h % (F.length(w) - 1)).cast("int")
-    wrong = F.when(h % 2 == 0, F.element_at(tx.word_deletes(w), at + 1)).otherwise(
-        F.element_at(tx.word_transposes(w), swap_at + 1)
+    swap_at = (h % F.greatest(F.length(w) - 1, F.lit(1))).cast("int")
+    wrong = (
+        F.when(F.length(w) == 1, F.concat(w, w))
+        .when(h % 2 == 0, F.element_at(tx.word_deletes(w), at + 1))
+        .otherwise(F.element_at(tx.word_transposes(w), swap_at + 1))
     )
-    return voc.where(F.length(w) >= 3).select(w.alias("target"), wrong.alias("wrong"))
+    return words.select(w.alias("target"), wrong.alias("wrong"))
 
 
-_WRONG = f"""tests AS (
-  SELECT word AS target, CASE WHEN h % 2 = 0
+def _wrong_sql(source: str) -> str:
+    return f"""tests AS (
+  SELECT word AS target, CASE WHEN length(word) = 1 THEN word || word WHEN h % 2 = 0
     THEN substr(word, 1, CAST(h % length(word) AS INTEGER)) || substr(word, CAST(h % length(word) AS INTEGER) + 2)
     ELSE substr(word, 1, CAST(s AS INTEGER)) || substr(word, CAST(s AS INTEGER) + 2, 1)
          || substr(word, CAST(s AS INTEGER) + 1, 1) || substr(word, CAST(s AS INTEGER) + 3) END AS wrong
-  FROM (SELECT word, h, h % (length(word) - 1) AS s FROM (SELECT word, {sql_hash(9, 'word')} AS h FROM voc WHERE length(word) >= 3)))"""
+  FROM (SELECT word, h, h % greatest(length(word) - 1, 1) AS s FROM (SELECT word, {sql_hash(9, 'word')} AS h FROM ({source}))))"""
 
 
-@query("spell_report", f"""
-WITH {_VOCAB}, {_WRONG}, w AS (SELECT DISTINCT wrong AS word FROM tests),
-rest AS (SELECT word FROM w WHERE word NOT IN (SELECT word FROM voc)),
-pos AS (SELECT word, CAST(unnest(range(1, length(word) + 2)) AS INTEGER) AS i FROM rest),
-ones AS (SELECT e.word, edit, freq FROM ({SQL_EDITS}) e JOIN voc ON voc.word = edit),
-one AS (SELECT word, edit FROM ones QUALIFY row_number() OVER (PARTITION BY word ORDER BY freq DESC, edit) = 1),
-done AS (SELECT target, wrong, coalesce(edit, wrong) AS correction FROM tests LEFT JOIN one ON word = wrong)
+_REPORT = """
 SELECT count(*) AS n_tested, count(*) FILTER (correction <> target) AS n_wrong,
-       CAST(0 AS BIGINT) AS n_unknown, count(*) FILTER (correction <> wrong) AS n_corrected,
-       count(*) FILTER (correction = wrong) AS n_untouched,
-       round(100 - 100 * count(*) FILTER (correction <> target) / count(*), 6) AS percent_right FROM done
+       count(*) FILTER (correction <> target AND target NOT IN (SELECT word FROM {voc})) AS n_unknown,
+       count(*) FILTER (correction <> wrong) AS n_corrected, count(*) FILTER (correction = wrong) AS n_untouched,
+       round(100 - 100 * count(*) FILTER (correction <> target) / count(*), 6) AS percent_right
+FROM tests JOIN corrected ON word = wrong
+"""
+
+
+def _report(tests, voc):
+    fixed = sp.spell_correct(store(tests.select(F.col("wrong").alias("word")).distinct(), "words"), voc)
+    return sp.spell_report(tests, fixed, voc).withColumn("percent_right", F.round("percent_right", 6))
+
+
+@query("spell_report", f"""
+WITH {_VOCAB}, {_wrong_sql(f"SELECT word FROM voc UNION {_ALPHA} conversations")}, {_correct_sql("w AS (SELECT DISTINCT wrong AS word FROM tests)")}
+{_REPORT.format(voc="voc")}
 """)
 def spell_report(t):
+    """Every word of the documents and the conversations, some of which the vocabulary, that of the documents, lacks."""
     voc = vocabulary(t)
-    tests = store(_misspelt(voc), "misspelt")
-    fixed = sp.spell_correct(store(tests.select(F.col("wrong").alias("word")).distinct(), "words"), voc)
-    return sp.spell_report(tests, fixed, voc).withColumn("percent_right", F.round("percent_right", 6))
+    words = voc.select("word").union(_distinct_words(t.conversations)).distinct()
+    return _report(store(_misspelt(words), "misspelt"), voc)
+
+
+@query("spell_report_bias", f"""
+WITH {_VOCAB}, {_wrong_sql(f"{_ALPHA} conversations")},
+named AS (SELECT coalesce(word, target) AS word, coalesce(freq, 1) + CASE WHEN target IS NOT NULL THEN 1000 ELSE 0 END AS freq
+          FROM voc FULL JOIN (SELECT DISTINCT target FROM tests) ON word = target),
+{_correct_sql("w AS (SELECT DISTINCT wrong AS word FROM tests)", "named")}
+{_REPORT.format(voc="named")}
+""")
+def spell_report_bias(t):
+    """The conversations' words, after their counts in the vocabulary have been raised by 1000."""
+    tests = store(_misspelt(_distinct_words(t.conversations)), "misspelt")
+    return _report(tests, store(sp.with_bias(vocabulary(t), tests, 1000), "biased"))
 
 
 _FREQ = SQL_TOKENS.format(c="sentence")
@@ -154,21 +223,50 @@ def naive_bayes_sentiment(t):
     return sentiment_model(t).score(sentence_table(t.documents, "doc_id"), ["doc_id", "pos"], "sentence")
 
 
-def _conversation_stream(t):
-    return streams.text_stream(t.spark, t.folder, t.conversations.schema, "conversations*.parquet")
+def _arriving(t):
+    """The conversations as six files that come in two halves, two files a micro-batch: (folder, arrive)."""
+    folder = new_folder(t.spark, "stream-in")
+    # the file of a row is fixed by its conversation
+    dealt = t.conversations.withColumn("_file", hash_bucket(2, 6, "conv_id"))
+
+    def arrive(half: int) -> None:
+        part = dealt.where((F.col("_file") >= 3 * half) & (F.col("_file") < 3 * half + 3))
+        part.repartition(3, "_file").drop("_file").write.mode("append").parquet(folder)
+
+    # the folder is there before the stream looks into it
+    dealt.limit(0).drop("_file").write.parquet(folder)
+    return folder, arrive
+
 
+def _in_two_runs(t, start):
+    """Runs ``start(stream)`` on the first half of the files, and again, on the same checkpoint, on all."""
+    folder, arrive = _arriving(t)
+    for half in (0, 1):
+        arrive(half)
+        stream = streams.text_stream(t.spark, folder, t.conversations.schema, files_per_batch=2)
+        streams.drained(start(streams.keyword_stream(stream, "the")))
 
-@query("keyword_stream")
+
+@query("keyword_stream", "SELECT conv_id, turn, role, text FROM conversations WHERE contains(lower(text), 'the')")
 def keyword_stream(t):
+    """Started twice on one checkpoint, several micro-batches each."""
     out, checkpoint = streams.stream_folders(t.spark)
-    kept = streams.keyword_stream(_conversation_stream(t), "the")
-    streams.drained(streams.write_stream(kept, out, checkpoint))
-    return t.spark.read.schema(kept.schema).parquet(out)
+    _in_two_runs(t, lambda kept: streams.write_stream(kept, out, checkpoint))
+    return t.spark.read.schema(t.conversations.schema).parquet(out).select("conv_id", "turn", "role", "text")
 
 
-@query("stream_sentiment")
+@query("stream_sentiment", f"""
+WITH {SQL_MODEL},
+s AS (SELECT conv_id, turn, text FROM conversations WHERE contains(lower(text), 'the')),
+m AS (SELECT conv_id, turn, sum(ln((coalesce(p, 0) + 1) / (coalesce(n, 0) + 1)) + ln((SELECT ratio FROM tot))) AS v
+      FROM (SELECT conv_id, turn, unnest({_SIMPLE}) AS token FROM s) LEFT JOIN cnt USING (token) GROUP BY 1, 2)
+SELECT conv_id, turn, round(coalesce(v, 0) + prior, 6) AS margin,
+       CASE WHEN round(coalesce(v, 0) + prior, 6) >= 0 THEN 'POS' ELSE 'NEG' END AS label
+FROM s LEFT JOIN m USING (conv_id, turn), pri
+""")
 def stream_sentiment(t):
+    """Started twice on one checkpoint, several micro-batches each."""
     out, checkpoint = streams.stream_folders(t.spark)
-    kept = streams.keyword_stream(_conversation_stream(t), "the")
-    streams.drained(streams.stream_sentiment(kept, sentiment_model(t), ["conv_id", "turn"], out, checkpoint))
+    model = sentiment_model(t)
+    _in_two_runs(t, lambda kept: streams.stream_sentiment(kept, model, ["conv_id", "turn"], out, checkpoint))
     return t.spark.read.parquet(out).select("conv_id", "turn", "margin", "label")

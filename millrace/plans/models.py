@@ -1,7 +1,6 @@
 """Metrics, folds and models over scored labels, churn features and embeddings."""
 
 import numpy as np
-from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from millrace.functions import arrays
@@ -9,7 +8,8 @@ from millrace.functions.numbers import edge_bin
 from millrace.operators import features as ft
 from millrace.operators import metrics as mx
 from millrace.operators import models as ml
-from millrace.operators.neighbours import knn_classify
+from millrace.operators.neighbours import knn_classify, knn_fitted
+from millrace.operators.ordering import store
 from millrace.plans.inputs import CHURN_FEATURES, SQL_CHURN, SQL_SCORED, churn, scored, sql_hash
 from millrace.plans.registry import query
 from millrace.session import new_folder
@@ -67,12 +67,18 @@ def accuracy(t):
 
 
 @query("confusion_matrix", f"""
-WITH {SQL_SCORED}
-SELECT a.c AS y, b.c AS p, (SELECT count(*) FROM scored WHERE y = a.c AND p = b.c) AS n
-FROM (VALUES (0), (1)) AS a(c), (VALUES (0), (1)) AS b(c)
+WITH {SQL_SCORED}, listed AS (
+  SELECT CASE WHEN doc_id % 17 = 0 THEN -1 ELSE y END AS y, CASE WHEN doc_id % 13 = 0 THEN -1 ELSE p END AS p FROM scored)
+SELECT a.c AS y, b.c AS p, (SELECT count(*) FROM listed WHERE y = a.c AND p = b.c) AS n
+FROM (VALUES (0), (1), (-1)) AS a(c), (VALUES (0), (1), (-1)) AS b(c)
 """)
 def confusion_matrix(t):
-    return mx.confusion_matrix(scored(t), [0, 1])
+    """Some labels are of a class outside the list, some predictions are missing."""
+    mixed = scored(t).select(
+        F.when(F.col("doc_id") % 17 == 0, 7).otherwise(F.col("y")).alias("y"),
+        F.when(F.col("doc_id") % 13 != 0, F.col("p")).alias("p"),
+    )
+    return mx.confusion_matrix(mixed, [0, 1])
 
 
 _COUNTS = """
@@ -156,74 +162,125 @@ def _churn_model_table(t):
     return ml.assemble(ft.kfold_assign(scaled, "user_id"), CHURN_FEATURES)
 
 
-@query("random_forest")
+LEAST = 50.0  # per cent of labels a model must get right out of fold
+
+
+def _judged(found, key, shown, is_valid):
+    """Each row with its fold and label, whether its value is one a model may give, and whether the model is right for
+    ``LEAST`` per cent of all rows."""
+    found = store(found, "out-of-fold")
+    right = found.agg(F.avg((F.round(shown) == F.col("label")).cast("double")) * 100).scalar()
+    return found.select(key, "fold", F.col("label").cast("int").alias("label"), is_valid.alias("is_valid"), (right >= LEAST).alias("is_good"))
+
+
+_OUT_OF_FOLD = f"""
+WITH {SQL_CHURN}
+SELECT user_id, CAST({sql_hash(0, 'user_id')} % 5 AS INTEGER) AS fold, label, true AS is_valid, true AS is_good FROM churn
+"""
+
+
+@query("random_forest", _OUT_OF_FOLD)
 def random_forest(t):
-    return ml.cv_predict(_churn_model_table(t), ml.random_forest(10), ["user_id"])
+    found = ml.cv_predict(_churn_model_table(t), ml.random_forest(10), ["user_id"])
+    return _judged(found, "user_id", F.col("prediction"), F.col("prediction").isin(0.0, 1.0))
 
 
-@query("cv_predict")
+@query("cv_predict", f"""
+WITH {SQL_CHURN}, f AS (SELECT CAST({sql_hash(0, 'user_id')} % 5 AS INTEGER) AS fold, label FROM churn)
+SELECT model, fold, count(*) AS n, count(*) FILTER (label = 1) AS n_positive, count(*) AS n_predicted, true AS is_good
+FROM f, (VALUES ('forest'), ('svm')) AS x(model) GROUP BY 1, 2
+""")
 def cv_predict(t):
-    """Accuracy of two models by out-of-fold prediction."""
+    """Rows, positive rows and predictions per model and fold, and whether the model is right often enough."""
     table = _churn_model_table(t)
-    scores = [
-        mx.accuracy(ml.cv_predict(table, model, ["user_id"]), "label", "prediction").select(
-            F.lit(name).alias("model"), "accuracy"
-        )
-        for name, model in (("forest", ml.random_forest(10)), ("svm", ml.linear_svm()))
-    ]
-    return scores[0].unionByName(scores[1])
+    folds = []
+    for name, model in (("forest", ml.random_forest(10)), ("svm", ml.linear_svm())):
+        judged = _judged(ml.cv_predict(table, model, ["user_id"]), "user_id", F.col("prediction"), F.col("prediction").isin(0.0, 1.0))
+        folds.append(judged.groupBy("fold").agg(
+            F.count("*").alias("n"), F.count_if(F.col("label") == 1).alias("n_positive"), F.count_if("is_valid").alias("n_predicted"),
+            F.bool_and("is_good").alias("is_good"),
+        ).withColumn("model", F.lit(name)))
+    return folds[0].unionByName(folds[1])
 
 
-@query("cv_predict_proba")
+@query("cv_predict_proba", _OUT_OF_FOLD)
 def cv_predict_proba(t):
-    return ml.cv_predict_proba(_churn_model_table(t), ml.random_forest(10), ["user_id"])
+    found = ml.cv_predict_proba(_churn_model_table(t), ml.random_forest(10), ["user_id"])
+    return _judged(found, "user_id", F.col("probability"), F.col("probability").between(0, 1))
 
 
-@query("svm")
+@query("svm", _OUT_OF_FOLD)
 def svm(t):
-    return ml.cv_predict_proba(_churn_model_table(t), ml.linear_svm(), ["user_id"])
+    found = ml.cv_predict_proba(_churn_model_table(t), ml.linear_svm(), ["user_id"])
+    return _judged(found, "user_id", F.col("probability"), F.col("probability").between(0, 1))
 
 
-@query("mlp_classifier")
+@query("mlp_classifier", f"""
+SELECT vec_id, CAST({sql_hash(0, 'vec_id')} % 5 AS INTEGER) AS fold,
+       CASE WHEN embedding[1] > 0 THEN 1 ELSE 0 END + CASE WHEN embedding[2] > 0 THEN 2 ELSE 0 END AS label, true AS is_valid, true AS is_good FROM embeddings
+""")
 def mlp_classifier(t):
-    """Labels of embeddings, 64 inputs to 10 classes, out of fold."""
+    """Which quarter of their first two dimensions embeddings lie in, 64 inputs and 100 hidden units to 4 classes, out
+    of fold. The table's own labels have nothing to do with the vectors, so no model could be judged by them."""
     from pyspark.ml.functions import array_to_vector
 
     table = t.embeddings.select(
         "vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"),
-        F.col("label").cast("double").alias("label"),
+        ((F.col("embedding")[0] > 0).cast("int") + 2 * (F.col("embedding")[1] > 0).cast("int")).cast("double").alias("label"),
     )
-    return ml.cv_predict(ft.kfold_assign(table, "vec_id"), ml.mlp([64, 32, 10], 40), ["vec_id"])
+    found = ml.cv_predict(ft.kfold_assign(table, "vec_id"), ml.mlp([64, 100, 4], 40), ["vec_id"])
+    return _judged(found, "vec_id", F.col("prediction"), F.col("prediction").isin(*map(float, range(4))))
 
 
-@query("knn_classify", f"""
+FITTED = 400  # rows of the fitted nearest neighbours
+_KNN = """
 WITH p AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS vec, label,
-                  CAST({sql_hash(0, 'vec_id')} % 5 AS INTEGER) AS fold FROM embeddings),
+                  CAST({hash} % 5 AS INTEGER) AS fold FROM embeddings),
+fitted AS (SELECT * FROM p {draw}),
 d AS (SELECT a.id, b.id AS n_id, b.label AS n_label, round(list_distance(a.vec, b.vec), 9) AS d
-      FROM p a JOIN p b ON a.fold <> b.fold),
+      FROM p a JOIN fitted b ON a.fold <> b.fold),
 k AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY id ORDER BY d, n_id) <= 5),
 v AS (SELECT id, n_label, count(*) AS votes FROM k GROUP BY 1, 2),
 w AS (SELECT id, n_label AS predicted FROM v QUALIFY row_number() OVER (PARTITION BY id ORDER BY votes DESC, n_label) = 1)
 SELECT id, fold, label, predicted FROM p JOIN w USING (id)
-""")
-def knn(t):
+"""
+
+
+def _knn_points(t):
     points = t.embeddings.select(
         F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"), "label"
     )
-    return knn_classify(ft.kfold_assign(points, "id"))
+    return ft.kfold_assign(points, "id")
+
+
+@query("knn_classify", _KNN.format(hash=sql_hash(0, "vec_id"), draw=""))
+def knn(t):
+    return knn_classify(_knn_points(t))
+
 
+@query("knn_fitted", _KNN.format(
+    hash=sql_hash(0, "vec_id"), draw=f"QUALIFY row_number() OVER (ORDER BY {sql_hash(3, 'id')}, id) <= {FITTED}"))
+def knn_on_sample(t):
+    return knn_fitted(_knn_points(t), sample=FITTED, seed=3)
 
-@query("batch_predict")
+
+# What a stored model brings along: a weight per feature, in their order, and a bias.
+WEIGHTS, BIAS = [0.2, -0.1, 0.05, 0.3, 0.012, 0.004], -1.5
+
+
+@query("batch_predict", f"""
+WITH {SQL_CHURN}
+SELECT user_id, label, round(1 / (1 + exp(-({' + '.join(f'{w} * {c}' for w, c in zip(WEIGHTS, CHURN_FEATURES))} + {BIAS}))), 9) AS score FROM churn
+""")
 def batch_predict(t):
-    """Churn scores of all users by a logistic model's weights."""
-    scaled = ft.standardise(churn(t), CHURN_FEATURES)
-    model = LogisticRegression(maxIter=20).fit(ml.assemble(scaled, CHURN_FEATURES))
-    weights, bias = model.coefficients.toArray(), float(model.intercept)
+    """Churn scores of all users by a stored model's weights."""
+    weights, bias = np.array(WEIGHTS), BIAS
 
     def predict(x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-(x @ weights + bias)))
 
-    return ml.batch_predict(scaled, predict, CHURN_FEATURES, ["user_id", "label"], 256)
+    scored = ml.batch_predict(churn(t), predict, CHURN_FEATURES, ["user_id", "label"], 256)
+    return scored.withColumn("score", F.round("score", 9))
 
 
 @query("one_hot", """

@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
@@ -15,7 +15,7 @@ from millrace.plans.inputs import (
 from millrace.plans.registry import TABLES, query
 from millrace.session import new_folder
 from millrace.sources import files
-from millrace.sources.inventory import file_inventory, list_files
+from millrace.sources.inventory import file_inventory, list_files, table_files
 
 
 # ---- sources and sinks --------------------------------------------------------------------
@@ -112,34 +112,101 @@ def csv_with_header(t):
     )
 
 
+def _quoted(c: Column) -> Column:
+    return F.concat(F.lit('"'), F.replace(c.cast("string"), F.lit('"'), F.lit('""')), F.lit('"'))
+
+
 def product_lines(t) -> DataFrame:
-    """Quoted product lines from ``part`` with a header line."""
+    """Quoted product lines from ``part`` with a header line. Some names hold commas and quotes; some lines have
+    an open quote, a field too few, or no name."""
+    key = F.col("p_partkey")
+    name = F.when(key % 7 == 0, F.concat("p_name", F.lit(', "new"'))).otherwise(F.col("p_name"))
+    fields = [_quoted(F.when(key % 53 == 1, "").otherwise(name)), _quoted(F.col("p_type")), _quoted(F.col("p_brand"))]
+    whole = F.concat_ws(",", _quoted(key), *fields, F.col("p_retailprice").cast("string"))
     body = t.part.select(
-        F.format_string('"%d","%s","%s","%s",%s', "p_partkey", "p_name", "p_type", "p_brand", "p_retailprice")
-        .alias("value")
-    )
-    header = t.spark.createDataFrame(
-        [('"id","name","description","manufacturer","price"',)], "value string"
+        F.when(key % 53 == 2, F.regexp_replace(whole, '"([^"]*)$', "$1"))
+        .when(key % 53 == 3, F.concat_ws(",", _quoted(key), *fields))
+        .otherwise(whole).alias("value")
     )
+    # fixed values: the header of the product files
+    header = t.spark.createDataFrame([('"id","name","description","manufacturer","price"',)], "value string")
     return body.unionByName(header)
 
 
-@query("delimited_with_rejects", """
-SELECT 1 AS status, count(*) AS n FROM part UNION ALL SELECT 0, 1
+SQL_PRODUCTS = """
+product AS (
+  SELECT p_partkey, '"' || p_partkey || '",' AS k,
+         replace(CASE WHEN p_partkey % 7 = 0 THEN p_name || ', "new"' ELSE p_name END, '"', '') AS name,
+         '"' || replace(CASE WHEN p_partkey % 53 = 1 THEN '' WHEN p_partkey % 7 = 0 THEN p_name || ', "new"' ELSE p_name END, '"', '""')
+           || '","' || p_type || '","' || p_brand AS middle, p_type, p_brand FROM part)
+"""
+
+
+@query("delimited_with_rejects", f"""
+WITH {SQL_PRODUCTS}
+SELECT 1 AS status, CAST(p_partkey AS VARCHAR) AS id, name || ' ' || p_type || ' ' || p_brand AS text, '' AS rejected, 0 AS n_quotes
+FROM product WHERE p_partkey % 53 NOT IN (1, 2, 3)
+UNION ALL SELECT 0, '', '', '', 0
+UNION ALL SELECT -1, '', '', k || middle, length(middle) - length(replace(middle, '"', '')) + CASE p_partkey % 53 WHEN 2 THEN 2 ELSE 3 END
+FROM product WHERE p_partkey % 53 IN (1, 2, 3)
 """)
 def delimited_with_rejects(t):
+    """All three outcomes. A rejected line is shown up to its last quote, with the number of its quotes."""
     path = new_folder(t.spark, "product-lines")
     product_lines(t).write.text(path)
-    return files.status_counts(files.product_status(files.text_lines(t.spark, path)))
-
-
-@query("remove_quotes", """
-SELECT CAST(p_partkey AS VARCHAR) AS id, p_name || ' ' || p_type || ' ' || p_brand AS text FROM part
+    parsed = files.product_status(files.text_lines(t.spark, path))
+    broken = F.col("status") == -1
+    shown = F.regexp_replace("value", '"?(,[0-9.]+)?$', "")
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return parsed.select(
+        "status", "id", "text", F.when(broken, shown).alias("rejected"), F.when(broken, quotes).cast("long").alias("n_quotes")
+    ).fillna({"id": "", "text": "", "rejected": "", "n_quotes": 0})
+
+
+@query("remove_quotes", f"""
+WITH {SQL_PRODUCTS}
+SELECT CAST(p_partkey AS VARCHAR) AS id, name || ' ' || p_type || ' ' || p_brand AS text FROM product WHERE p_partkey % 53 NOT IN (1, 2, 3)
 """)
 def remove_quotes(t):
     return files.product_status(product_lines(t)).where("status = 1").select("id", "text")
 
 
+def gold_lines(t) -> DataFrame:
+    """Known duplicates from ``orders``: a customer's id and the address of an order, some of it with commas and
+    quotes; some lines have one field, three, none, or an open quote."""
+    key = F.col("o_orderkey")
+    left = _quoted(F.concat(F.lit("c"), "o_custkey"))
+    right = _quoted(F.concat(F.lit("http://shop/o?k="), key, F.when(key % 5 == 0, F.lit(',"x"')).otherwise("")))
+    body = t.orders.select(
+        F.when(key % 61 == 1, left)
+        .when(key % 61 == 2, F.concat_ws(",", left, right, F.lit("1")))
+        .when(key % 61 == 3, F.lit(""))
+        .when(key % 61 == 4, F.concat(left, F.lit(',"open'), key))
+        .when(key % 61 == 5, F.concat_ws(",", left, F.lit('""')))
+        .otherwise(F.concat_ws(",", left, right)).alias("value")
+    )
+    header = t.spark.createDataFrame([('"idLeft","idRight"',)], "value string")
+    return body.unionByName(header)
+
+
+@query("gold_file", """
+WITH line AS (
+  SELECT o_orderkey AS k, o_orderkey % 61 AS kind, 'c' || o_custkey AS l,
+         'http://shop/o?k=' || o_orderkey || CASE WHEN o_orderkey % 5 = 0 THEN ',x' ELSE '' END AS r,
+         '"http://shop/o?k=' || o_orderkey || CASE WHEN o_orderkey % 5 = 0 THEN ',""x""' ELSE '' END || '"' AS q FROM orders)
+SELECT 1 AS status, l AS left_id, r AS right_id, NULL AS rejected FROM line WHERE kind NOT BETWEEN 1 AND 5
+UNION ALL SELECT 0, NULL, NULL, NULL
+UNION ALL SELECT -1, NULL, NULL, CASE kind WHEN 1 THEN '"' || l || '"' WHEN 2 THEN '"' || l || '",' || q || ',1' WHEN 3 THEN ''
+          WHEN 4 THEN '"' || l || '","open' || k ELSE '"' || l || '",""' END FROM line WHERE kind BETWEEN 1 AND 5
+""")
+def gold_file(t):
+    """The file of known duplicates, all three outcomes: header, pairs, and broken lines as they are."""
+    path = new_folder(t.spark, "gold-lines")
+    gold_lines(t).write.text(path)
+    parsed = files.gold_status(files.text_lines(t.spark, path))
+    return parsed.select("status", "left_id", "right_id", F.when(F.col("status") == -1, F.col("value")).alias("rejected"))
+
+
 def _vector_text(t) -> DataFrame:
     return t.embeddings.select(
         F.concat_ws(
@@ -220,37 +287,62 @@ def json_sink(t):
     return t.spark.read.schema("c_mktsegment string, n bigint, mean double").json(path)
 
 
-@query("file_inventory")
+@query("file_inventory", "\nUNION ALL\n".join(
+    f"""SELECT '{name}' AS "table", count(*) AS n_rows, true AS is_listed FROM {name}""" for name in TABLES))
 def files_listed(t):
-    return file_inventory(list_files(t.spark, t.folder))
-
-
-@query("column_inventory", "\nUNION ALL\n".join(
-    f"""SELECT '{table}' AS "table", '{column}' AS "column", {i} AS ordinal, count(*) AS n_rows,
-       count({column}) AS n_filled, count(DISTINCT {column}) AS n_distinct FROM {table}"""
-    for table, columns in {
-        "region": "r_regionkey r_name",
-        "nation": "n_nationkey n_name n_regionkey",
-        "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
-        "supplier": "s_suppkey s_name s_nationkey s_acctbal",
-        "part": "p_partkey p_name p_brand p_type p_size p_retailprice",
-        "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
-        "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount"
-                    " l_tax l_returnflag l_linestatus l_shipdate",
-        "events": "event_id ts user_id event_type value props",
-        "documents": "doc_id text lang source n_chars",
-        "embeddings": "vec_id embedding label",
-        "pages": "page_id url html",
-        "benchmark": "item_id text",
-        "labels": "doc_id quality toxic",
-        "conversations": "conv_id turn role text",
-    }.items()
-    for i, column in enumerate(columns.split(), 1)
-))
+    """Rows in the files of each table, and whether the folder's listing finds the same files and bytes."""
+    found = []
+    for name in TABLES:
+        held = table_files(t.spark.read.parquet(f"{t.folder}/{name}.parquet"))
+        listed = file_inventory(list_files(t.spark, f"{t.folder}/{name}.parquet", "*.parquet"))
+        both = listed.select(F.struct(F.col("total_bytes").alias("length"), F.col("n_files").alias("n"))).scalar()
+        read = F.struct(F.sum("length").alias("length"), F.count("*").alias("n"))
+        found.append(held.agg(F.lit(name).alias("table"), F.sum("n_rows").alias("n_rows"), (read == both).alias("is_listed")))
+    return reduce(DataFrame.unionByName, found)
+
+
+COLUMNS = {
+    "region": "r_regionkey r_name",
+    "nation": "n_nationkey n_name n_regionkey",
+    "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
+    "supplier": "s_suppkey s_name s_nationkey s_acctbal",
+    "part": "p_partkey p_name p_brand p_type p_size p_retailprice",
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount"
+                " l_tax l_returnflag l_linestatus l_shipdate",
+    "events": "event_id ts user_id event_type value props",
+    "documents": "doc_id text lang source n_chars",
+    "embeddings": "vec_id embedding label",
+    "pages": "page_id url html",
+    "benchmark": "item_id text",
+    "labels": "doc_id quality toxic",
+    "conversations": "conv_id turn role text",
+}
+
+
+def _inventory_sql(shown: str) -> str:
+    return "\nUNION ALL\n".join(
+        f"""SELECT '{table}' AS "table", '{column}' AS "column", {i} AS ordinal, count(*) AS n_rows,
+       count({column}) AS n_filled, {shown.format(column)} FROM {table}"""
+        for table, columns in COLUMNS.items()
+        for i, column in enumerate(columns.split(), 1)
+    )
+
+
+@query("column_inventory", _inventory_sql("count(DISTINCT {0}) AS n_distinct"))
 def column_inventory(t):
     return reduce(DataFrame.unionByName, [agg.column_profile(getattr(t, n), n) for n in TABLES])
 
 
+@query("column_inventory_sketch", _inventory_sql("true AS is_close"))
+def column_inventory_sketch(t):
+    """The inventory from sketches, and whether each estimate is within 5 % of the exact number of values."""
+    sketched = reduce(DataFrame.unionByName, [agg.column_sketches(getattr(t, n), n) for n in TABLES])
+    exact = reduce(DataFrame.unionByName, [agg.distinct_values(getattr(t, n), n) for n in TABLES])
+    close = F.abs(F.col("estimate") - F.col("n_distinct")) <= 0.05 * F.col("n_distinct")
+    return sketched.join(exact, ["table", "ordinal"]).select("table", "column", "ordinal", "n_rows", "n_filled", close.alias("is_close"))
+
+
 # ---- selection ----------------------------------------------------------------------------
 
 
@@ -286,12 +378,12 @@ def key_lookup(t):
 
 
 @query("column_slice", """
-SELECT l_orderkey, l_partkey, l_returnflag, l_linestatus FROM lineitem
-ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 6
+SELECT * FROM lineitem ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 10
 """)
 def column_slice(t):
     order = [F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
-    return rel.column_slice(t.lineitem.drop("l_shipdate"), 2, 6, order)
+    """The six first and six last columns, eleven in all as one is both, of the first ten rows."""
+    return rel.column_slice(t.lineitem, 6, 10, order)
 
 
 @query("feature_prep", """
@@ -348,8 +440,9 @@ def join_full(t):
 
 @query("pair_key", "SELECT l_orderkey || ' ' || l_linenumber AS pair, count(*) AS n FROM lineitem GROUP BY 1")
 def pair_key(t):
-    keyed = t.lineitem.select(rel.pair_key(F.col("l_orderkey"), F.col("l_linenumber")).alias("pair"))
-    return agg.count_by_key(keyed, "pair")
+    """Grouped on the two columns; the text is built once per group."""
+    counted = t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n"))
+    return counted.select(rel.pair_key(F.col("l_orderkey"), F.col("l_linenumber")).alias("pair"), "n")
 
 
 @query("swap_key", """

@@ -6,6 +6,7 @@ from millrace.functions import arrays
 from millrace.functions import text as tx
 
 from millrace.operators import sequences as sq
+from millrace.operators.embedding import train_vectors
 from millrace.operators.ordering import store
 from millrace.operators.words import record_tokens, words_of
 from millrace.plans.inputs import sql_hash
@@ -15,7 +16,8 @@ from millrace.session import new_folder
 from millrace.sources import files
 
 MIN_COUNT = 30
-ENTITIES = 20
+ENTITIES = 550
+INPUTS = ENTITIES + 200  # ids the network of the checks takes
 
 
 def _records(t):
@@ -78,19 +80,22 @@ def pad_post(t):
     return _encoded(t).select("doc_id", _shown(arrays.pad_post(F.col("seq"), 350)).alias("seq"))
 
 
+def _word_vectors(t):
+    vocabulary = sq.build_vocabulary(_words(t), MIN_COUNT)
+    return vocabulary, train_vectors(_records(t), vocabulary, "doc_id", size=300, window=7, passes=10)
+
+
 @query("train_word2vec")
 def train_word2vec(t):
-    model = sq.train_word2vec(_records(t), size=32, min_count=MIN_COUNT, passes=2)
-    return sq.model_vectors(model).select("word", F.size("vec").alias("n"))
+    """(word, vec): 300 numbers for each word of the vocabulary, after ten passes."""
+    return _word_vectors(t)[1]
 
 
 @query("embedding_table")
 def embedding_table(t):
-    model = sq.train_word2vec(_records(t), size=32, min_count=MIN_COUNT, passes=2)
-    vocabulary = sq.build_vocabulary(_words(t), MIN_COUNT)
-    return sq.embedding_table(vocabulary, sq.model_vectors(model), 32).select(
-        "ix", F.size("vec").alias("n"), F.exists("vec", lambda x: x != 0).alias("is_filled")
-    )
+    """(ix, vec): row 0 and every word of the vocabulary."""
+    vocabulary, vectors = _word_vectors(t)
+    return sq.embedding_table(vocabulary, vectors, 300)
 
 
 @query("pretrained_vectors", f"""
@@ -146,10 +151,14 @@ _LONG = 9  # letters a word needs to become an entity of its document
 
 
 def question_records(t):
-    """A nine-line record per document. Its longest words become entities in order of first
-    use; the question is the context with the first entity blanked out."""
+    """A nine-line record per document. Its longest words become entities in order of first use; the question is
+    the context with the first entity blanked out. A document without such words has no candidates.
+
+    Some records are faulty, by the last digit of their id: 3 names an entity that is no candidate, 5 has such an
+    answer, 7 breaks off after the question, 9 lists 600 candidates more.
+    """
     words = F.filter(F.split(F.regexp_replace("text", r"\s+", " "), " "), lambda x: x != "")
-    base = t.documents.select("doc_id", words.alias("words"))
+    base = t.documents.select("doc_id", words.alias("words"), (F.col("doc_id") % 10).alias("kind"))
     base = base.withColumn("names", F.filter(F.array_distinct("words"), lambda x: F.length(x) >= _LONG))
     ids = F.transform(
         "words",
@@ -159,19 +168,19 @@ def question_records(t):
             F.concat(F.lit("@entity"), (F.array_position("names", x) - 1).cast("string")),
         ).otherwise(x),
     )
-    base = base.where(F.size("names") > 0).withColumn("context", F.array_join(ids, " "))
+    strange = F.when(F.col("kind") == 3, F.array(F.lit("@entity9999"))).otherwise(F.array().cast("array<string>"))
+    base = base.withColumn("context", F.array_join(F.concat(ids, strange), " "))
     question = F.array_join(
         F.transform(F.split("context", " "), lambda x: F.when(x == "@entity0", "@placeholder").otherwise(x)), " "
     )
-    listed = F.array_join(
-        F.transform("names", lambda x, i: F.concat(F.lit("@entity"), i.cast("string"), F.lit(":"), x)), "\n"
-    )
-    return base.select(
-        F.concat_ws(
-            "\n", F.concat(F.lit("doc/"), "doc_id"), F.lit(""), F.col("context"), F.lit(""), question,
-            F.lit(""), F.lit("@entity0"), F.lit(""), listed,
-        ).alias("value")
-    )
+    named = F.transform("names", lambda x, i: F.concat(F.lit("@entity"), i.cast("string"), F.lit(":"), x))
+    more = F.when(F.col("kind") == 9, F.transform(
+        F.sequence(F.lit(10000), F.lit(10599)), lambda i: F.concat(F.lit("@entity"), i.cast("string"), F.lit(":more")))
+    ).otherwise(F.array().cast("array<string>"))
+    answer = F.when(F.col("kind") == 5, "@entity9998").otherwise("@entity0")
+    head = F.concat_ws("\n", F.concat(F.lit("doc/"), "doc_id"), F.lit(""), F.col("context"), F.lit(""), question)
+    whole = F.concat_ws("\n", head, F.lit(""), answer, F.lit(""), F.array_join(F.concat(named, more), "\n"))
+    return base.select(F.when(F.col("kind") == 7, head).otherwise(whole).alias("value"))
 
 
 _END = "\x1e"
@@ -190,29 +199,37 @@ wrd AS (SELECT doc_id, list_filter(string_split(regexp_replace(text, '\\s+', ' '
 uw AS (SELECT doc_id, unnest(words) AS w, generate_subscripts(words, 1) AS pos FROM wrd),
 nm AS (SELECT doc_id, w, row_number() OVER (PARTITION BY doc_id ORDER BY min(pos)) - 1 AS id FROM uw
        WHERE length(w) >= {_LONG} GROUP BY 1, 2),
-ctx AS (SELECT doc_id, pos, CASE WHEN id IS NOT NULL THEN '@entity' || id ELSE w END AS word, id
-        FROM uw LEFT JOIN nm USING (doc_id, w) WHERE doc_id IN (SELECT doc_id FROM nm)),
-cand AS (SELECT doc_id, '@entity' || id AS word, id FROM nm)
+-- a text without words is a context of one empty word
+ctx AS (SELECT doc_id, pos, CASE WHEN id IS NOT NULL THEN '@entity' || id ELSE w END AS word FROM uw LEFT JOIN nm USING (doc_id, w)
+        UNION ALL SELECT doc_id, 1000000000, '@entity9999' FROM documents WHERE doc_id % 10 = 3
+        UNION ALL SELECT doc_id, 1, '' FROM wrd WHERE len(words) = 0 AND doc_id % 10 <> 3),
+cand AS (SELECT doc_id, '@entity' || id AS word, id AS place FROM nm
+         UNION ALL SELECT doc_id, '@entity' || i, i FROM documents, range(10000, 10600) AS x(i) WHERE doc_id % 10 = 9),
+ask AS (SELECT doc_id, doc_id % 10 <> 7 AS ok, CASE WHEN doc_id % 10 = 5 THEN '@entity9998' ELSE '@entity0' END AS answer FROM documents)
 """
 
 
 @query("question_files", f"""
-WITH {SQL_QUESTIONS}
-SELECT doc_id, count(*) AS n_words, count(*) FILTER (id IS NOT NULL) AS n_entities, count(*) FILTER (id = 0) AS n_blanks,
-       '@entity0' AS answer, any_value(n) AS n_candidates
-FROM ctx JOIN (SELECT doc_id, CAST(count(*) AS INTEGER) AS n FROM cand GROUP BY 1) USING (doc_id) GROUP BY 1
+WITH {SQL_QUESTIONS},
+seen AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (word LIKE '@entity%') AS n_entities, count(*) FILTER (word = '@entity0') AS n_blanks
+         FROM ctx GROUP BY 1),
+listed AS (SELECT doc_id, count(*) AS n FROM cand GROUP BY 1)
+SELECT doc_id, CASE WHEN ok THEN 'ok' ELSE 'short' END AS status, CASE WHEN ok THEN n_words ELSE 0 END AS n_words,
+       CASE WHEN ok THEN n_entities ELSE 0 END AS n_entities, CASE WHEN ok THEN n_blanks ELSE 0 END AS n_blanks,
+       CASE WHEN ok THEN answer END AS answer, CAST(CASE WHEN ok THEN coalesce(n, 0) ELSE 0 END AS INTEGER) AS n_candidates
+FROM ask JOIN seen USING (doc_id) LEFT JOIN listed USING (doc_id)
 """)
 def question_files(t):
     def count(text, test):
-        return F.size(F.filter(F.split(text, " "), test)).cast("bigint")
+        return F.when(F.col(text).isNotNull(), F.size(F.filter(F.split(text, " "), test))).otherwise(0).cast("bigint")
 
     return read_questions(t).select(
-        "doc_id",
-        F.size(F.split("context", " ")).cast("bigint").alias("n_words"),
+        "doc_id", "status",
+        count("context", lambda x: F.lit(True)).alias("n_words"),
         count("context", lambda x: x.startswith("@entity")).alias("n_entities"),
         count("question", lambda x: x == "@placeholder").alias("n_blanks"),
         "answer",
-        F.size("candidates").alias("n_candidates"),
+        F.when(F.col("candidates").isNotNull(), F.size("candidates")).otherwise(0).alias("n_candidates"),
     )
 
 
@@ -235,32 +252,41 @@ def entity_vocabulary(t):
 
 
 SQL_ENCODED = f"""{SQL_QVOCAB}, {SQL_QUESTIONS},
-map AS (SELECT doc_id, word, (row_number() OVER (PARTITION BY doc_id ORDER BY md5('0:' || doc_id || ':' || word), word) - 1
+map AS (SELECT doc_id, word, place, (row_number() OVER (PARTITION BY doc_id ORDER BY md5('0:' || doc_id || ':' || word), word) - 1
                + {sql_hash(0, 'doc_id')} % {ENTITIES}) % {ENTITIES} AS code FROM cand),
 unk AS (SELECT ix FROM qv WHERE word = '<UNK>'),
-enc AS (SELECT doc_id, pos, coalesce(code, ix, (SELECT ix FROM unk)) AS code
-        FROM ctx LEFT JOIN map USING (doc_id, word) LEFT JOIN qv USING (word))
+tokens AS (SELECT doc_id, 0 AS part, pos, word FROM ctx
+           UNION ALL SELECT doc_id, 1, pos, CASE WHEN word = '@entity0' THEN '@placeholder' ELSE word END FROM ctx
+           UNION ALL SELECT doc_id, 2, 0, answer FROM ask
+           UNION ALL SELECT doc_id, 3, place, word FROM cand),
+enc AS (SELECT doc_id, part, pos, CASE WHEN code IS NOT NULL THEN code WHEN word LIKE '@entity%' THEN -1 ELSE coalesce(ix, (SELECT ix FROM unk)) END AS code
+        FROM tokens LEFT JOIN map USING (doc_id, word) LEFT JOIN qv USING (word) WHERE doc_id % 10 <> 7)
 """
 
 
 @query("encode_questions", f"""
 WITH {SQL_ENCODED}
-SELECT doc_id, string_agg(enc.code, ' ' ORDER BY pos) AS context, any_value(a.code) AS answer
-FROM enc JOIN map a USING (doc_id) WHERE a.word = '@entity0' GROUP BY 1
+SELECT doc_id, CASE WHEN ok THEN 'ok' ELSE 'short' END AS status,
+       string_agg(code, ' ' ORDER BY pos) FILTER (part = 0) AS context, string_agg(code, ' ' ORDER BY pos) FILTER (part = 1) AS question,
+       coalesce(max(code) FILTER (part = 2), -2) AS answer,
+       CASE WHEN ok THEN coalesce(string_agg(code, ' ' ORDER BY pos) FILTER (part = 3), '') END AS candidates
+FROM ask LEFT JOIN enc USING (doc_id) GROUP BY doc_id, ok
 """)
 def encode_questions(t):
     encoded = sq.encode_questions(read_questions(t), _question_vocabulary(t), "doc_id", ENTITIES)
-    return encoded.select("doc_id", _shown(F.col("context")).alias("context"), "answer")
+    return encoded.select("doc_id", "status", *[_shown(F.col(c)).alias(c) for c in ("context", "question")], F.coalesce("answer", F.lit(-2)).alias("answer"), _shown(F.col("candidates")).alias("candidates"))
 
 
 @query("encoding_checks", f"""
-WITH {SQL_ENCODED}
-SELECT count(DISTINCT doc_id) AS n_questions, count(*) FILTER (code < 0) AS unmapped_entity,
-       count(*) FILTER (code > (SELECT max(ix) FROM qv)) AS id_out_of_range,
-       (SELECT count(*) FROM map WHERE code >= {ENTITIES}) AS invalid_candidate,
-       (SELECT count(*) FROM map WHERE word = '@entity0' AND code >= {ENTITIES}) AS invalid_answer FROM enc
+WITH {SQL_ENCODED},
+per AS (SELECT doc_id, bool_or(part < 2 AND code < 0) AS neg, bool_or(part < 2 AND code >= {INPUTS}) AS big, bool_or(part = 3 AND (code < 0 OR code >= {ENTITIES})) AS cand,
+               bool_or(part = 2 AND (code < 0 OR code >= {ENTITIES})) AS ans,
+               count(*) FILTER (part = 3) > count(DISTINCT code) FILTER (part = 3) AS dup FROM enc GROUP BY 1)
+SELECT count(*) AS n_questions, count(*) FILTER (NOT ok) AS short_record, count(*) FILTER (neg) AS unmapped_entity,
+       count(*) FILTER (big) AS id_out_of_range, count(*) FILTER (cand) AS invalid_candidate,
+       count(*) FILTER (ans) AS invalid_answer, count(*) FILTER (dup) AS duplicate_ids FROM ask LEFT JOIN per USING (doc_id)
 """)
 def encoding_checks(t):
-    vocabulary = _question_vocabulary(t)
-    encoded = sq.encode_questions(read_questions(t), vocabulary, "doc_id", ENTITIES)
-    return sq.encoding_checks(encoded, ENTITIES, vocabulary)
+    """Against a network of ``INPUTS`` ids."""
+    encoded = sq.encode_questions(read_questions(t), _question_vocabulary(t), "doc_id", ENTITIES)
+    return sq.encoding_checks(encoded, ENTITIES, INPUTS)

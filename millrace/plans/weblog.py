@@ -30,6 +30,27 @@ def parse_report(t):
     return weblog.parse_report(parsed_logs(t))
 
 
+_FAILED = """
+failed AS (
+  SELECT 'u' || user_id || '.example.com - - [' || strftime(ts, '%d/%b/%Y:%H:%M:%S') || ' -0400] GET /p/'
+         || regexp_extract(props, '(\\d+)', 1) || '.html HTTP/1.0 '
+         || CASE event_type WHEN 'error' THEN '404' WHEN 'click' THEN '302' WHEN 'signup' THEN '304' ELSE '200' END || ' '
+         || CASE WHEN event_id % 11 = 0 THEN '-' ELSE CAST(CAST(trunc(value * 100) AS BIGINT) AS VARCHAR) END AS line
+  FROM events WHERE event_id % 97 = 0)
+"""
+
+
+@query("parse_failures", f"""
+WITH {_FAILED}, n AS (SELECT count(*) FILTER (event_id % 97 <> 0) AS n_parsed, count(*) FILTER (event_id % 97 = 0) AS n_failed FROM events)
+SELECT 'failed' AS status, n_failed AS n, place, line FROM n,
+  (SELECT line, row_number() OVER (ORDER BY encode(line)) AS place FROM failed) WHERE place <= 20
+UNION ALL SELECT 'parsed', n_parsed, 0, '' FROM n
+""")
+def parse_failures(t):
+    """Lines parsed and failed, with the first twenty that failed."""
+    return weblog.failure_report(parsed_logs(t), 20).fillna({"place": 0, "line": ""})
+
+
 @query("filter_status", f"WITH {SQL_LOG} SELECT host, endpoint, response_code FROM log WHERE response_code <> 200")
 def filter_status(t):
     return weblog.not_ok(logs(t)).select("host", "endpoint", "response_code")

@@ -72,24 +72,57 @@ def features_and_label(df: DataFrame) -> DataFrame:
     )
 
 
-def product_status(lines: DataFrame, header_start: str = '"id",') -> DataFrame:
-    """Quoted lines ``"id","name","description","manufacturer",price`` sorted into three outcomes:
-    1 valid, 0 header, -1 invalid, with id and joined text of the valid ones."""
-    pattern = r'^(.+),"(.+)",(.*),(.*),(.*)$'
-    value = F.col("value")
-    ok = value.rlike(pattern)
-    status = F.when(value.startswith(header_start), 0).when(ok, 1).otherwise(-1)
-    words = F.concat_ws(" ", *[F.regexp_extract(value, pattern, i) for i in (2, 3, 4)])
-    return lines.select(
-        "value",
-        status.alias("status"),
-        F.when(status == 1, remove_quotes(F.regexp_extract(value, pattern, 1))).alias("id"),
-        F.when(status == 1, remove_quotes(words)).alias("text"),
+# One field of a delimited line: quoted, where a doubled quote stands for one and commas are text, or plain.
+# Possessive, so a long or broken line is read once and never tried again.
+_FIELD = r'(?:"(?:[^"]++|"")*+"|[^",]*+)'
+_LINE = f"^{_FIELD}(?:,{_FIELD})*+$"
+
+
+def quoted_fields(line: Column) -> Column:
+    """The fields of a delimited line, outer quotes off and doubled quotes single; null for a broken line: a quote
+    that is never closed, or text beside a quoted field."""
+    fields = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(f",({_FIELD})"), 1)
+    plain = F.transform(fields, lambda x: F.when(
+        x.startswith('"'), F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))).otherwise(x))
+    return F.when(line.rlike(_LINE), plain)
+
+
+def delimited_status(lines: DataFrame, n_fields: int, header: str, required: list[int]) -> DataFrame:
+    """Delimited lines sorted into three outcomes: (value, status, fields).
+
+    0 is a header, known by its first field; 1 a valid line, with ``n_fields`` fields of which the ``required`` ones
+    (from 0) are not empty; -1 any other, which has no fields but keeps its ``value``.
+    """
+    # explode of one item: the line is cut once, however often its fields are named
+    cut = lines.select("value", F.explode(F.array(quoted_fields(F.col("value")))).alias("cut"))
+    filled = F.size("cut") == n_fields
+    for i in required:
+        filled = filled & (F.get("cut", F.lit(i)) != "")
+    status = F.when(F.get("cut", F.lit(0)) == header, 0).when(filled, 1).otherwise(-1)
+    return cut.select("value", status.alias("status"), F.when(status == 1, F.col("cut")).alias("fields"))
+
+
+def product_status(lines: DataFrame, header: str = "id") -> DataFrame:
+    """Lines ``"id","name","description","manufacturer",price``: (value, status, id, text), the text joined from the
+    three fields in the middle, quotes taken out. Id and name must be there."""
+    parsed = delimited_status(lines, 5, header, [0, 1])
+    return parsed.select(
+        "value", "status", remove_quotes(F.col("fields")[0]).alias("id"),
+        F.when(F.col("status") == 1, remove_quotes(F.array_join(F.slice("fields", 2, 3), " "))).alias("text"),
+    )
+
+
+def gold_status(lines: DataFrame, header: str = "idLeft") -> DataFrame:
+    """Lines ``"left id","right id"`` of known duplicates: (value, status, left_id, right_id), quotes taken out."""
+    parsed = delimited_status(lines, 2, header, [0, 1])
+    return parsed.select(
+        "value", "status", remove_quotes(F.col("fields")[0]).alias("left_id"), remove_quotes(F.col("fields")[1]).alias("right_id")
     )
 
 
-def status_counts(parsed: DataFrame) -> DataFrame:
-    return parsed.groupBy("status").agg(F.count("*").alias("n"))
+def rejects(parsed: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` broken lines in order of their text: each task keeps n at most."""
+    return parsed.where("status = -1").select("value").orderBy("value").limit(n)
 
 
 def numeric_matrix(lines: DataFrame) -> DataFrame:
@@ -109,27 +142,30 @@ def tagged_multi_file(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def question_files(spark: SparkSession, path: str, record_end: str | None = None) -> DataFrame:
-    """Question records: context on line 3, question on 5, answer on 7, candidates from 9 on, each
-    cut at its colon.
+    """Question records: (url, status, context, question, answer, candidates). The context is on line 3, the question
+    on 5, the answer on 7, candidates from 9 on, each cut at its colon.
 
-    One record per file, or many per file with ``record_end`` between them: at scale a file per
-    record means a task's worth of overhead per record.
+    A record of fewer than seven lines has the status ``short``, its url, and nulls; others are ``ok``. One record
+    per file, or many per file with ``record_end`` between them: at scale a file per record means a task's worth of
+    overhead per record.
     """
     reader = spark.read.option("lineSep", record_end) if record_end else spark.read
     raw = reader.text(path, wholetext=record_end is None)
     # explode of one item keeps the split from being repeated in every column
-    lines = raw.select(F.explode(F.array(F.split("value", "\n"))).alias("line")).where(F.size("line") >= 7)
+    lines = raw.select(F.explode(F.array(F.split("value", "\n"))).alias("line"))
+    whole = F.size("line") >= 7
 
     def at(i: int) -> Column:
-        return F.element_at("line", i)
+        return F.when(whole, F.get("line", F.lit(i - 1)))
 
     named = F.filter(F.slice("line", 9, F.greatest(F.size("line") - 8, F.lit(0))), lambda x: x != "")
     return lines.select(
-        F.trim(at(1)).alias("url"),
+        F.trim(F.get("line", F.lit(0))).alias("url"),
+        F.when(whole, "ok").otherwise("short").alias("status"),
         at(3).alias("context"),
         at(5).alias("question"),
         at(7).alias("answer"),
-        F.transform(named, lambda x: F.substring_index(x, ":", 1)).alias("candidates"),
+        F.when(whole, F.transform(named, lambda x: F.substring_index(x, ":", 1))).alias("candidates"),
     )
 
 

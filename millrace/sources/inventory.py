@@ -14,6 +14,11 @@ def list_files(spark: SparkSession, root: str, pattern: str | None = None) -> Da
     return reader.load(root).select("path", "length")
 
 
+def table_files(table: DataFrame) -> DataFrame:
+    """(path, length, n_rows) of the files a table is read from; no column is read."""
+    return table.groupBy(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length")).agg(F.count("*").alias("n_rows"))
+
+
 def file_inventory(files: DataFrame) -> DataFrame:
     """Total bytes, files and folders that hold files."""
     folder = F.regexp_replace("path", r"/[^/]*$", "")

@@ -1,7 +1,14 @@
-"""A text stream filtered by a keyword, and its sentiment as the texts come."""
+"""A text stream filtered by a keyword, and its sentiment as the texts come.
+
+A stream takes a set number of files per micro-batch. Where it stands is in the caller's checkpoint folder: a query
+that is started again on it goes on behind the last finished batch, and a batch that was cut off is done again as it
+was planned, over its own output. So rows come out once each, however often the query was stopped.
+"""
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -67,5 +74,22 @@ def drained(query: StreamingQuery) -> None:
     query.awaitTermination()
 
 
+def stopped_after(query: StreamingQuery, batches: int, poll: float = 0.2) -> int:
+    """Stop a polling stream once it has finished ``batches`` more micro-batches with rows; gives the last one's number.
+
+    The query may be inside its next batch by then: that one is planned in the checkpoint and done by the next start.
+    """
+    seen: set[int] = set()
+    try:
+        while len(seen) < batches and query.isActive:
+            seen |= {p["batchId"] for p in query.recentProgress if p["numInputRows"] > 0}
+            time.sleep(poll)
+    finally:
+        query.stop()
+    if query.exception() is not None:
+        raise query.exception()
+    return max(seen, default=-1)
+
+
 def stream_folders(spark: SparkSession) -> tuple[str, str]:
     return new_folder(spark, "stream-out"), new_folder(spark, "stream-checkpoint")

@@ -1,5 +1,7 @@
 """Operators on small fixtures: literals, brute force, planted skew."""
 
+import csv
+import hashlib
 import itertools
 import math
 import random
@@ -14,6 +16,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from millrace.functions import arrays, logs, numbers, text
 from millrace.operators import aggregates as agg
+from millrace.operators import embedding
 from millrace.operators import entity as er
 from millrace.operators import features as ft
 from millrace.operators import metrics as mx
@@ -23,12 +26,13 @@ from millrace.operators import sequences as sq
 from millrace.operators import spelling as sp
 from millrace.operators import weblog
 from millrace.operators.language import SentimentModel, extractive_summary
-from millrace.operators.neighbours import knn_classify
-from millrace.operators.ordering import number_rows, running_totals
+from millrace.operators.neighbours import knn_classify, knn_fitted
+from millrace.operators.ordering import number_rows, running_totals, store
 from millrace.operators.words import biggest_record, record_tokens, word_count
 from millrace.session import new_folder, scratch_dir
 from millrace.sources import files
 from millrace.sources.inventory import file_inventory, list_files
+from millrace.streaming import streams
 
 
 def one(spark, value, build, kind="string"):
@@ -199,7 +203,7 @@ def catalogue(spark):
     records = spark.createDataFrame(rows, "doc_id bigint, side string, tokens array<string>, gold_key string")
     bagged = er.store(er.with_bags(records), "bagged")
     bags = er.store(er.fold_copies(bagged, "doc_id"), "bags")
-    return docs, bagged, bags, er.bag_vectors(bags)
+    return docs, bagged, bags, er.bag_vectors(bagged, bags, "doc_id")
 
 
 @pytest.mark.parametrize("floor", [0.0, 0.05, 0.3, 0.8])
@@ -238,14 +242,21 @@ def test_gold_and_sweep(catalogue):
     assert means["avg_duplicates"] == pytest.approx(sum(pairs[g] for g in gold) / len(gold))
     assert means["avg_others"] == pytest.approx(sum(others) / len(others))
 
-    sharing = {p: s for p, s in pairs.items() if set(docs[p[0]][1]) & set(docs[p[1]][1])}
-    sweep = er.confusion_by_threshold(er.threshold_bins(er.similar_bags(vectors, 0.0), scores), scores)
+    bins = er.store(er.threshold_bins(er.similar_bags(vectors, 0.0099999), scores, er.pair_total(bags)), "bins")
+    counted = Counter(int(round(round(s, 9) * 100, 6)) for s in pairs.values())
+    assert {r["bin"]: r["candidates"] for r in bins.collect()} == {k: counted[k] for k in range(101)}
+    sweep = er.confusion_by_threshold(bins, scores)
     rows = sweep.orderBy("threshold").collect()
     assert len(rows) == 100
     for k, r in enumerate(rows):
-        found = sum(int(round(s, 9) * 100 + 1e-7) >= k for s in sharing.values())
+        found = sum(int(round(s, 9) * 100 + 1e-7) >= k for s in pairs.values())
         golden = sum(int(round(pairs[g], 9) * 100 + 1e-7) >= k for g in gold)
         assert (r["tp"], r["fp"], r["fn"]) == (golden, found - golden, len(gold) - golden)
+    # at threshold 0 every pair counts, whether its records share a token or not
+    assert (rows[0]["tp"] + rows[0]["fp"], rows[0]["fn"]) == (len(pairs), 0)
+    low = er.join_gold(er.gold_pairs(bagged, F.col("gold_key")), vectors).agg(F.sum("n_gold"), F.min("similarity")).first()
+    sharing = [pairs[a, b] for a, b in gold if set(docs[a][1]) & set(docs[b][1])]
+    assert (low[0], round(low[1], 9)) == (len(sharing), round(min(sharing), 9))
     rates = er.precision_recall(sweep).where("threshold = 0.5").first()
     assert rates["recall"] == pytest.approx(rows[50]["tp"] / len(gold))
 
@@ -376,11 +387,6 @@ def test_metrics_against_numpy(spark):
     assert (curve[-1]["tpr"], curve[-1]["fpr"]) == (1.0, 1.0)
 
 
-def test_confusion_matrix_shows_zero_cells(spark):
-    df = spark.createDataFrame([(1, 1), (1, 1)], "y int, p int")
-    assert {tuple(r) for r in mx.confusion_matrix(df, [0, 1]).collect()} == {(0, 0, 0), (0, 1, 0), (1, 0, 0), (1, 1, 2)}
-
-
 @pytest.mark.parametrize("block", [4, 1024])
 def test_knn_equals_brute_force_with_a_hot_group(spark, block):
     rng = np.random.default_rng(5)
@@ -396,6 +402,23 @@ def test_knn_equals_brute_force_with_a_hot_group(spark, block):
         assert got[i] == min(votes, key=lambda c: (-votes[c], c))
 
 
+@pytest.mark.parametrize("sample", [1, 7, 40, 500])
+def test_fitted_knn_equals_brute_force_on_the_same_draw(spark, sample):
+    rng = np.random.default_rng(5)
+    vec = rng.normal(size=(90, 3)).round(2)
+    vec[::3] = [0.5, 0.5, 0.5]  # a third of all rows are one vector
+    label, fold = rng.integers(0, 3, 90), rng.integers(0, 5, 90)
+    rows = [(i, [float(x) for x in vec[i]], int(label[i]), int(fold[i])) for i in range(90)]
+    points = spark.createDataFrame(rows, "id bigint, vec array<double>, label int, fold int").repartition(3)
+    drawn = sorted(range(90), key=lambda i: (hashlib.md5(f"0:{i}".encode()).hexdigest()[:8], i))[:sample]
+    got = {r["id"]: r["predicted"] for r in knn_fitted(points, k=5, sample=sample).collect()}
+    for i in range(90):
+        near = sorted((round(float(np.linalg.norm(vec[i] - vec[j])), 9), j) for j in drawn if fold[j] != fold[i])[:5]
+        votes = Counter(int(label[j]) for _, j in near)
+        assert got[i] == min(votes, key=lambda c: (-votes[c], c), default=None)
+    assert knn_fitted(points.limit(0), sample=sample).collect() == []
+
+
 def test_standardise(spark):
     df = spark.createDataFrame([(1.0, 7.0), (3.0, 7.0)], "a double, b double")
     assert sorted(tuple(r) for r in ft.standardise(df, ["a", "b"]).collect()) == [(-1.0, 0.0), (1.0, 0.0)]
@@ -432,6 +455,53 @@ def test_next_step_pairs(spark):
     assert [(r["symbol"], r["next"]) for r in got] == [("a", "b"), ("b", "a")]
 
 
+@pytest.fixture(scope="module")
+def topics(spark):
+    """Texts of one of four topics, each with ten words of its own beside common ones; one word is in half of it all."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(1500):
+        own = [f"t{i % 4}w{k}" for k in range(10)]
+        rows.append((i, [rng.choice(own) if rng.random() < 0.4 else rng.choice(["the"] * 5 + ["of", "and", "is"]) for _ in range(30)]))
+    rows += [(2000, []), (2001, ["unheard"])]
+    records = spark.createDataFrame(rows, "id int, tokens array<string>").repartition(4, "id")
+    return records, sq.build_vocabulary(records.select(F.explode("tokens").alias("word")), 5)
+
+
+@pytest.mark.parametrize("block_words", [4096, 22])
+def test_vectors_tell_topics_apart(topics, block_words):
+    records, vocabulary = topics
+    rows = embedding.train_vectors(records, vocabulary, "id", size=24, window=5, passes=6, block_words=block_words).collect()
+    vectors = {r["word"]: np.array(r["vec"]) / np.linalg.norm(r["vec"]) for r in rows}
+    assert len(vectors) == 44 and all(len(v) == 24 for v in vectors.values())
+    named = sorted(w for w in vectors if w[0] == "t" and w != "the")
+    like = {(a, b): vectors[a] @ vectors[b] for a, b in itertools.combinations(named, 2)}
+    same, other = ([s for (a, b), s in like.items() if (a[:2] == b[:2]) is x] for x in (True, False))
+    # a pair of one topic is nearer than a pair of two, nearly always
+    assert np.mean([s > o for s in same for o in other]) > 0.95
+
+
+def test_vectors_without_pairs_and_words(spark):
+    records = spark.createDataFrame([(1, ["a"]), (2, ["a"]), (3, [])], "id int, tokens array<string>")
+    vocabulary = sq.build_vocabulary(records.select(F.explode("tokens").alias("word")), 1)
+    got = embedding.train_vectors(records, vocabulary, "id", size=3, passes=2).collect()
+    assert [(r["word"], len(r["vec"])) for r in got] == [("a", 3)]
+    assert embedding.train_vectors(records, vocabulary.limit(0), "id", size=3, passes=1).collect() == []
+
+
+def test_window_pairs_equal_brute_force():
+    rng = np.random.default_rng(2)
+    ids, record, reach = rng.integers(0, 9, 60), np.sort(rng.integers(0, 5, 60)), rng.integers(1, 4, 60)
+    want = Counter(
+        (ids[i], ids[j]) for i in range(60) for j in range(60)
+        if i != j and record[i] == record[j] and abs(i - j) <= reach[i]
+    )
+    left, right = embedding.window_pairs(ids, record, reach)
+    assert Counter(zip(left.tolist(), right.tolist(), strict=True)) == want
+    parts = [embedding.window_pairs(ids[k : k + 23], record[k : k + 23], reach[k : k + 23], 20) for k in range(0, 60, 20)]
+    assert sum((Counter(zip(a.tolist(), b.tolist(), strict=True)) for a, b in parts), Counter()) == want
+
+
 def question_text(context, answer="@entity1"):
     lines = ["url", "", context, "", "who @placeholder said", "", answer, "", "@entity1:Ann", "@entity2:Bob Ray", ""]
     return "\n".join(lines)
@@ -451,12 +521,70 @@ def test_questions_one_per_file(spark, tmp_path):
     assert first["context"] == [first["candidates"][0], 6, first["candidates"][1], 8]
     assert first["question"] == [7, 9, 8] and first["answer"] == first["candidates"][0] < 5
     assert encoded[9]["context"][0] == -1
-    checks = sq.encoding_checks(sq.encode_questions(read, vocabulary, "id", 5), 5, vocabulary).first()
-    assert tuple(checks) == (2, 1, 0, 0, 0)
+    checks = sq.encoding_checks(sq.encode_questions(read, vocabulary, "id", 5), 5, 11).first()
+    assert tuple(checks) == (2, 0, 1, 0, 0, 0, 0)
     with pytest.raises(Exception, match="invalid entity"):
         sq.strict(sq.encode_questions(read, vocabulary, "id", 5), 5).collect()
 
 
+def test_faulty_questions_are_counted_and_none_is_lost(spark):
+    listed = ["@entity1", "@entity2", "other"]
+    rows = [
+        (1, "ok", "@entity1 met @entity2", "who", "@entity2", listed), (2, "ok", "@entity7 met", "who", "@entity2", listed),
+        (3, "ok", "met", "@entity7", "@entity1", listed), (4, "ok", "met", "who", "@entity7", listed), (5, "ok", "", "", "who", []),
+        (6, "short", None, None, None, None), (7, "ok", "other met", "who", "other", [f"@entity{i}" for i in range(9)] + ["other"]),
+        (8, "ok", "met", "who", "@entity1", ["@entity1", "@entity1"]),
+    ]
+    questions = spark.createDataFrame(rows, "id int, status string, context string, question string, answer string, candidates array<string>")
+    words = spark.createDataFrame([("met", 1), ("who", 2)], "word string, rank int")
+    vocabulary = store(sq.entity_vocabulary(words, 5), "vocabulary")
+    coded = store(sq.encode_questions(questions, vocabulary, "id", 5), "coded")
+    found = {r["id"]: r for r in coded.collect()}
+    assert found.keys() == set(range(1, 9)) and found[6]["context"] is None and found[6]["status"] == "short"
+    assert found[5]["context"] == [8] and found[5]["candidates"] == []
+    assert len(set(found[1]["candidates"])) == 3 and found[1]["context"] == [found[1]["candidates"][0], 6, found[1]["candidates"][1]]
+    # more candidates than entities: every id is used, twice
+    assert sorted(found[7]["candidates"]) == sorted([0, 1, 2, 3, 4] * 2) and found[7]["context"] == [found[7]["candidates"][-1], 6]
+    # 5 has a word for an answer, whose id is no entity; 8 lists a candidate twice
+    assert tuple(sq.encoding_checks(coded, 5, 100).first()) == (8, 1, 2, 0, 0, 2, 2)
+    assert sq.encoding_checks(coded, 5, 8).first()["id_out_of_range"] == 1
+    plan = sq.encode_questions(questions, vocabulary, "id", 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1
+
+
+# ---- streams --------------------------------------------------------------------------------
+
+
+def stream_files(spark, tmp_path, n):
+    for i in range(n):
+        spark.createDataFrame([(10 * i + k, f"The row {k}" if k % 3 else "no match") for k in range(10)], "id int, text string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+
+@pytest.mark.parametrize("scored", [False, True])
+def test_a_stream_stopped_between_batches_loses_and_repeats_nothing(spark, tmp_path, scored):
+    model = SentimentModel.train(spark.createDataFrame([("row good", 1), ("bad", 0)], "text string, y int"), "y")
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+
+    def start(seconds):
+        stream = streams.text_stream(spark, str(tmp_path / "in"), "id int, text string", files_per_batch=1)
+        kept = streams.keyword_stream(stream, "the")
+        if scored:
+            return streams.stream_sentiment(kept, model, ["id"], out, checkpoint, seconds=seconds)
+        return streams.write_stream(kept, out, checkpoint, seconds)
+
+    stream_files(spark, tmp_path, 6)
+    last = streams.stopped_after(start(0), 2)
+    done = spark.read.parquet(out).count()
+    assert 1 <= last < 5 and 12 <= done < 36
+    stream_files(spark, tmp_path, 0)
+    assert streams.stopped_after(start(0), 1) > last
+    streams.drained(start(None))
+    spark.createDataFrame([(99, "the last")], "id int, text string").write.mode("append").parquet(str(tmp_path / "in"))
+    streams.drained(start(None))
+    got = [r["id"] for r in spark.read.parquet(out).collect()]
+    assert sorted(got) == sorted([10 * i + k for i in range(6) for k in range(10) if k % 3] + [99])
+
+
 # ---- relations and sources ------------------------------------------------------------------
 
 
@@ -494,6 +622,65 @@ def test_materialise_or_load_computes_once(spark):
     assert len(calls) == 1
 
 
+FIELD_LINES = {
+    '"a","b"': ["a", "b"], 'a,b': ["a", "b"], '"a, b","c""d"': ["a, b", 'c"d'], '""': [""], '': [""], ',,': ["", "", ""], '"",x,""': ["", "x", ""],
+    '"a","b': None, 'a"b,c': None, '"a"b,c': None, '"a" ,b': None, '"""",1': ['"', "1"], '"' + "x" * 100_000 + '","' + '""' * 50_000 + '"': ["x" * 100_000, '"' * 50_000],
+    '"' + "," * 100_000: None,
+}
+
+
+def test_quoted_fields_equal_the_csv_module(spark):
+    lines = spark.createDataFrame([(x,) for x in FIELD_LINES], "value string")
+    got = dict(lines.select("value", files.quoted_fields(F.col("value"))).collect())
+    assert got == FIELD_LINES
+    for line, fields in FIELD_LINES.items():
+        if fields is not None and line and max(map(len, fields)) < 100:
+            assert next(csv.reader([line])) == fields
+
+
+def test_gold_lines(spark):
+    lines = ['"idLeft","idRight"', '"b1","http://x/1"', "b2,http://x/2", '"b,3","say ""x"""', '"b4"', '"b5","c","d"', "", '"b6","c', '"","c"', None]
+    parsed = files.gold_status(spark.createDataFrame([(x,) for x in lines], "value string"))
+    got = [(r["status"], r["left_id"], r["right_id"]) for r in parsed.collect()]
+    assert got == [(0, None, None), (1, "b1", "http://x/1"), (1, "b2", "http://x/2"), (1, "b,3", "say x"), *[(-1, None, None)] * 6]
+    assert [r["value"] for r in files.rejects(parsed, 3).collect()] == [None, "", '"","c"']
+
+
+def test_failure_report(spark):
+    lines = [f"bad {i:03}" for i in range(50)] * 2 + ['h - - [01/Aug/1995:00:00:01 -0400] "GET /x HTTP/1.0" 200 5'] * 7 + [None, "Ä", "z"]
+    parsed = weblog.parse_access_log(spark.createDataFrame([(x,) for x in lines], "value string").repartition(5))
+    for n in (1, 20, 500):
+        got = weblog.failure_report(parsed, n).orderBy("status", "place").collect()
+        bad = sorted((x or "" for x in lines if x is None or not x.startswith("h -")), key=str.encode)[:n]
+        assert [tuple(r) for r in got] == [("failed", 103, i, x) for i, x in enumerate(bad, 1)] + [("parsed", 7, None, None)]
+    assert {tuple(r)[:2] for r in weblog.failure_report(parsed.limit(0)).collect()} <= {("failed", 0), ("parsed", 0)}
+
+
+def test_limit_vocabulary(spark):
+    counts = {f"w{i}": 1 + i % 7 for i in range(60)}
+    words = spark.createDataFrame([(w,) for w, n in counts.items() for _ in range(n)], "word string")
+    ranked = sorted(counts.items(), key=lambda x: (-x[1], x[0]))
+    for size in (0, 1, 8, 9, 30, 60, 99):
+        assert sorted(map(tuple, sq.limit_vocabulary(words, size).collect())) == sorted(ranked[:size])
+
+
+def test_confusion_matrix_counts_other_labels(spark):
+    rows = [(0, 0), (0, 1), (1, 1), (7, 1), (1, None), (None, None), (9, 3)]
+    got = mx.confusion_matrix(spark.createDataFrame(rows, "y int, p int"), [0, 1])
+    cells = {(r["y"], r["p"]): r["n"] for r in got.collect()}
+    assert cells == {(0, 0): 1, (0, 1): 1, (0, -1): 0, (1, 0): 0, (1, 1): 1, (1, -1): 1, (-1, 0): 0, (-1, 1): 1, (-1, -1): 2}
+
+
+def test_column_sketches_are_close_and_merge(spark):
+    df = spark.range(60_000).select(F.col("id"), (F.col("id") % 3000).alias("few"), F.lit(None).cast("string").alias("none"), F.array("id").alias("list"))
+    exact = {r["ordinal"]: r["n_distinct"] for r in agg.distinct_values(df, "t").collect()}
+    assert exact == {1: 60_000, 2: 3000, 3: 0, 4: 60_000}
+    halves = [agg.column_sketches(df.where(f"id % 2 = {i}"), "t") for i in (0, 1)]
+    merged = halves[0].unionByName(halves[1]).groupBy("ordinal").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n"), F.sum("n_filled").alias("f"))
+    for r in merged.collect():
+        assert abs(r["n"] - exact[r["ordinal"]]) <= 4 * 0.016 * exact[r["ordinal"]] and r["f"] == (0 if r["ordinal"] == 3 else 60_000)
+
+
 def test_product_lines(spark):
     lines = ['"id","name","description","manufacturer","price"', '"b1","nice ""pen""","red","acme",5', "broken line"]
     got = files.product_status(spark.createDataFrame([(x,) for x in lines], "value string")).collect()

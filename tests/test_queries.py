@@ -44,59 +44,9 @@ def test_entry(spark):
     assert entry.entry(spark).count() == 10
 
 
-def test_models_beat_a_floor(spark):
-    scores = {r["model"]: r["accuracy"] for r in QUERIES["cv_predict"](spark, FOLDER).collect()}
-    assert scores["forest"] >= 50 and scores["svm"] >= 50
-
-
-@pytest.mark.parametrize("name", ["cv_predict_proba", "svm"])
-def test_out_of_fold_probabilities(spark, name):
-    users = spark.read.parquet(f"{FOLDER}/events.parquet").select("user_id").distinct().count()
-    got = QUERIES[name](spark, FOLDER).toPandas()
-    assert len(got) == users and got["user_id"].is_unique
-    assert got["probability"].between(0, 1).all()
-
-
-def test_one_prediction_per_row(spark):
-    vectors = spark.read.parquet(f"{FOLDER}/embeddings.parquet")
-    got = QUERIES["mlp_classifier"](spark, FOLDER).toPandas()
-    assert len(got) == vectors.count() and got["vec_id"].is_unique
-    assert got["prediction"].between(0, 9).all()
-
-
-def test_batch_predict_keeps_rows(spark):
-    users = spark.read.parquet(f"{FOLDER}/events.parquet").select("user_id").distinct().count()
-    got = QUERIES["batch_predict"](spark, FOLDER).toPandas()
-    assert len(got) == users and got["score"].between(0, 1).all()
-
-
 def test_word_vectors_cover_the_vocabulary(spark):
-    words = QUERIES["build_vocabulary"](spark, FOLDER).count()
-    assert QUERIES["train_word2vec"](spark, FOLDER).count() == words
+    words = {r["word"] for r in QUERIES["build_vocabulary"](spark, FOLDER).collect()}
     table = QUERIES["embedding_table"](spark, FOLDER).toPandas().set_index("ix")
-    assert sorted(table.index) == list(range(words + 1))
-    assert not table.loc[0, "is_filled"] and table["is_filled"].sum() == words
-
-
-def test_file_inventory(spark):
-    files = glob.glob(f"{FOLDER}/*")
-    got = QUERIES["file_inventory"](spark, FOLDER).first()
-    assert (got["n_files"], got["n_folders"]) == (len(files), 1)
-    assert got["total_bytes"] == sum(os.path.getsize(f) for f in files)
-
-
-def test_keyword_stream_equals_batch(spark):
-    batch = spark.read.parquet(f"{FOLDER}/conversations.parquet").where("lower(text) like '%the%'")
-    got = QUERIES["keyword_stream"](spark, FOLDER)
-    assert got.exceptAll(batch).isEmpty() and batch.exceptAll(got).isEmpty()
-
-
-def test_stream_sentiment_equals_batch(spark):
-    from millrace.plans.language import sentiment_model
-    from millrace.plans.registry import Tables
-
-    t = Tables(spark, FOLDER)
-    batch = t.conversations.where("lower(text) like '%the%'")
-    expected = sentiment_model(t).score(batch, ["conv_id", "turn"], "text")
-    got = QUERIES["stream_sentiment"](spark, FOLDER)
-    assert got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty()
+    assert sorted(table.index) == list(range(len(words) + 1))
+    filled = table["vec"].map(lambda v: len(v) == 300 and any(v) and all(map(math.isfinite, v)))
+    assert not any(table.vec[0]) and filled.drop(0).all()
