@@ -69,7 +69,9 @@ _AUTOMATA: dict[int, object] = {}
 
 
 def _automaton(broadcast):
-    """One automaton per Python worker and block, kept between tasks."""
+    """One automaton per Python worker and block, kept between tasks; none for a benchmark without words."""
+    if not broadcast.value:
+        return None
     if broadcast.id not in _AUTOMATA:
         import ahocorasick
 
@@ -105,7 +107,7 @@ def scan_text(text: str, automaton) -> tuple[int, list[tuple[int, int]], set[str
     """Number of words, ranges of hit words, and the items that occur."""
     words = fold(text)
     line = (b" " + b" ".join(words) + b" ").decode("latin-1")
-    found = list(automaton.iter(line)) if words else []
+    found = list(automaton.iter(line)) if words and automaton is not None else []
     if not found:
         return len(words), [], set()
     # number of words that end before each character: blanks so far
