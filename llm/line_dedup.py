@@ -17,7 +17,8 @@ shuffled, joins with hot forms have one row per form on the other side so adapti
 and nothing is broadcast but tables whose stored size Spark finds small.
 
 Defined cases: a null text stays null and has no lines; an empty text has one empty line and keeps it; rows
-equal in key and text count as one place and share their verdict; other columns are kept as they are.
+equal in key and text count as one place and share their verdict; other columns are kept as they are, but columns
+named ``n_lines`` or ``n_dropped`` give way to the operator's own.
 """
 
 from __future__ import annotations
@@ -40,21 +41,37 @@ def tokens_of(line: Column) -> Column:
     return F.array_remove(F.split(line, r"[\x20\x09-\x0D]+"), "")
 
 
+def masked_form(tokens: Column) -> Column:
+    """Tokens joined by a blank, those with a digit as the variable."""
+    return F.regexp_replace(F.array_join(tokens, " "), _DIGITS, VARIABLE)
+
+
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, hash, pos, n, leaf, form, masked): a row per line of LEAST_TOKENS tokens and more."""
+    """(key, hash, pos, n, leaf, form): a row per line of LEAST_TOKENS tokens and more."""
     raw = docs.select(F.col(key).alias("k"), F.xxhash64(text).alias("h"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
     # one-row explode keeps the tokens from being computed once per use
     cut = raw.select("k", "h", "pos", F.explode(F.array(tokens_of(F.col("line")))).alias("tokens")).where(F.size("tokens") >= LEAST_TOKENS)
-    masked = cut.select("k", "h", "pos", F.size("tokens").alias("n"),
-                        F.explode(F.array(F.regexp_replace(F.array_join("tokens", " "), _DIGITS, VARIABLE))).alias("masked"))
+    masked = cut.select("k", "h", "pos", F.size("tokens").alias("n"), F.explode(F.array(masked_form(F.col("tokens")))).alias("masked"))
     head = F.substring_index("masked", " ", DEPTH)
-    return masked.select("k", "h", "pos", "n", F.xxhash64("n", head).alias("leaf"), F.xxhash64("masked").alias("form"), "masked")
+    return masked.select("k", "h", "pos", "n", F.xxhash64("n", head).alias("leaf"), F.xxhash64("masked").alias("form"))
+
+
+def _shown(docs: DataFrame, key: str, text: str, sought: DataFrame) -> DataFrame:
+    """(leaf, form, texts, masked) of the forms in ``sought``, read from the lines it names: a text is split once,
+    and of its lines only the named ones are taken apart."""
+    wanted = sought.groupBy("k", "h").agg(F.collect_list(F.struct("pos", "leaf", "form", "texts")).alias("wanted"))
+    own = docs.select(F.col(key).alias("k"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
+    met = own.alias("a").join(wanted.alias("b"), (F.col("a.h") == F.col("b.h")) & F.col("a.k").eqNullSafe(F.col("b.k")))
+    split = met.select("b.wanted", F.explode(F.array(F.split("a.text", "\n", -1))).alias("lines"))
+    named = split.select(F.explode(F.transform("wanted", lambda w: F.struct(
+        w["leaf"].alias("leaf"), w["form"].alias("form"), w["texts"].alias("texts"), F.get("lines", w["pos"]).alias("line")))).alias("x"))
+    return named.select("x.leaf", "x.form", "x.texts", masked_form(tokens_of(F.col("x.line"))).alias("masked"))
 
 
 def instances(docs: DataFrame, key: str, text: str, min_texts: int) -> DataFrame:
     """(k, h, pos) of all lines to drop."""
     lines = _lines(docs, key, text)
-    places = store(lines.drop("masked"), "line-places")
+    places = store(lines, "line-places")
     texts = places.select("leaf", "form", "n", "h").distinct()
     firsts = places.groupBy("leaf", "form").agg(F.min(F.struct("k", "h", "pos")).alias("first"))
     forms = store(
@@ -65,9 +82,7 @@ def instances(docs: DataFrame, key: str, text: str, min_texts: int) -> DataFrame
     leaves = forms.where(F.col("n") >= LEAST_GENERAL).groupBy("leaf").agg(F.count("*").alias("forms"))
     open_forms = forms.where(F.col("n") >= LEAST_GENERAL).join(leaves.where("forms > 1").select("leaf"), "leaf", "left_semi")
     sought = store(open_forms.select("leaf", "form", F.col("first.k").alias("k"), F.col("first.h").alias("h"), F.col("first.pos").alias("pos"), "texts"), "line-open")
-    same = [F.col("a.h") == F.col("b.h"), F.col("a.pos") == F.col("b.pos"), F.col("a.k").eqNullSafe(F.col("b.k"))]
-    able = lines.where(F.col("n") >= LEAST_GENERAL)
-    shown = store(able.alias("a").join(sought.alias("b"), same).select("a.leaf", "a.form", "b.texts", "a.masked").distinct(), "line-shown")
+    shown = store(_shown(docs, key, text, sought).distinct(), "line-shown")
     words = shown.select("leaf", "form", "texts", F.posexplode(F.split("masked", " ")).alias("at", "token")).where(F.col("token") != VARIABLE)
     constant = words.groupBy("leaf", "at", "token").agg(F.sum("texts").alias("s")).where(F.col("s") >= min_texts).drop("s")
     shares = words.join(constant, ["leaf", "at", "token"]).groupBy("leaf", "form").agg(F.count("*").alias("constants"))
@@ -95,11 +110,11 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_te
     # a map looks a position up in the size of the list once built; arrays are short
     stay = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(gone, i)), "\n")
     kept = F.when(gone.isNull(), F.col(f"a.`{text}`")).otherwise(stay)
-    columns = [kept.alias(text) if c == text else F.col(f"a.`{c}`") for c in docs.columns]
+    columns = [kept.alias(text) if c == text else F.col(f"a.`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped")]
     return joined.select(
         *columns,
-        F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines") if "n_lines" not in docs.columns else F.lit(None).alias("_n_lines"),
-        F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_dropped") if "n_dropped" not in docs.columns else F.lit(None).alias("_n_dropped"),
+        F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_dropped"),
     )
 
 

@@ -6,6 +6,7 @@ import os
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import pandas as pd
 import pytest
@@ -193,6 +194,22 @@ def test_line_dedup(spark):
     assert sorted(r["n_dropped"] for r in nulls) == [0, 1]
 
 
+def test_line_dedup_clashing_names_ties_and_long_texts(spark):
+    rng = np.random.default_rng(4)
+    words = [f"{a}{b}" for a in "abcdefgh" for b in "xyz"]
+    lines = [" ".join(rng.choice(words, rng.integers(1, 14))) + (f" {rng.integers(99)}" if i % 3 else "") for i in range(300)]
+    texts = ["\n".join(rng.choice(lines, rng.integers(1, 9))) for _ in range(60)] + ["\n".join(lines * 20), "x " * 100_000 + "\n" + "y " * 100_000, None, ""]
+    rows = [(i, t, "own", "own", 7) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_lines string, n_dropped string, pos int")
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame({"doc_id": range(len(texts)), "text": texts}))
+    want = {r[0]: r[1:] for r in con.execute(line_dedup._SQL).fetchall()}
+    out = line_dedup.dedup_lines(docs)
+    assert out.columns == ["doc_id", "text", "pos", "n_lines", "n_dropped"]
+    assert {r["doc_id"]: (r["n_lines"], r["n_dropped"], r["text"]) for r in out.collect()} == want
+    assert sum(r[1] for r in want.values()) > 2000
+
+
 def shingles(text, k):
     words = (text or "").encode().lower().split()
     span = min(k, len(words))
