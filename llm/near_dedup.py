@@ -10,10 +10,12 @@
 
 Pairs inside a band's bucket are never formed row by row: a bucket first meets one leader, its smallest node, then its
 best-linked node, which is linear, and the links found fold its nodes into components. What then remains are *strays*,
-nodes outside the largest component of their bucket. Strays and nodes of other components meet in blocks, each a bounded
-number of signatures and full sets, where steps 3 and 4 run as array operations. A block gives only the links that join
-components, fewer than it has nodes, and these are verified on the texts. So no link between components is lost to a
-bound, and a large group of near copies costs a few rows per copy.
+nodes outside the largest component of their bucket. Strays and nodes of other components meet in blocks of a bounded
+size, twice. First with signatures and bands alone: step 3 names the nodes with any partner left, where a pair counts in the
+first bucket it shares and no other. Only these come again with their full sets, and steps 3 and 4 run as array
+operations. A block gives only the links that join components, fewer than
+it has nodes, and these are verified on the texts. So no link between components is lost to a bound, a large group of
+near copies costs a few rows per copy, and sets travel only where signatures leave a doubt.
 
 Defined cases: a null or empty text, or one of white space, has an empty set and is linked with nothing; a
 text of fewer words than a shingle is one shingle; rows with a null id are linked with nothing; rows that share
@@ -185,16 +187,48 @@ class _Verifier:
         return store(_confirm(alive.join(of("b", "tb"), "b").join(of("a", "ta"), "a"), self.k, self.percent).distinct(), "near-links")
 
 
-def _blocks(rows: DataFrame, sets: DataFrame, side: str) -> DataFrame:
-    """Per bucket of ``rows`` (bucket, node, c, n): lists of at most about BLOCK nodes and SHINGLES shingles, with signatures and sets."""
-    parts = rows.groupBy("bucket").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / SHINGLES)).alias("parts"))
+def _blocks(rows: DataFrame, shown: DataFrame, side: str, with_sets: bool) -> DataFrame:
+    """Per bucket of ``rows`` (bucket, node, c, n): lists of at most about BLOCK nodes, and SHINGLES shingles if sets come along,
+    with what ``shown`` has of each node."""
+    sizes = [F.count("*") / BLOCK, *([F.sum("n") / SHINGLES] if with_sets else [F.lit(0.0)])]
+    parts = rows.groupBy("bucket").agg(F.ceil(F.greatest(*sizes)).alias("parts"))
     placed = rows.join(parts, "bucket").select("bucket", "node", "c", F.pmod(F.xxhash64("node"), "parts").alias("part"))
+    columns = ["node", "c", "signature", "shingles" if with_sets else "bands"]
     return (
-        placed.join(sets, "node").groupBy("bucket", "part")
-        .agg(F.collect_list(F.struct("node", "c", "signature", "shingles")).alias(side)).drop("part")
+        placed.join(shown, "node").groupBy("bucket", "part")
+        .agg(F.collect_list(F.struct(*columns)).alias(side)).drop("part")
     )
 
 
+def _in_doubt(pairs: DataFrame, percent: int) -> DataFrame:
+    """(bucket, node): the nodes of two blocks that step 3 leaves a partner in another component, from signatures and bands.
+
+    A pair in several buckets counts in that of its first common band alone. Every bucket that holds a pair of two
+    components is open, so the first one is, and at least one of the pair is a stray in it.
+    """
+    stops = least_matches(percent / 100)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        parts = []
+        for name in ("strays", "nodes"):
+            node, c, signature, bands = batch.column(name)[0].values.flatten()
+            signs = np.frombuffer(b"".join(signature.to_pylist()), np.uint8).reshape(-1, HASHES)
+            parts.append((node.to_numpy(), c.to_numpy(), signs, bands.flatten().to_numpy().reshape(-1, BANDS)))
+        (strays, own, signs, bands), (nodes, theirs, others, their_bands) = parts
+        bucket = batch.column("bucket")[0].as_py()
+        met, doubt = np.zeros(len(nodes), bool), []
+        for i in range(len(strays)):
+            alive = _prune_one(signs[i], others, np.flatnonzero(theirs != own[i]), stops)
+            alive = alive[bands[i][(their_bands[alive] == bands[i]).argmax(axis=1)] == bucket]
+            if len(alive):
+                doubt.append(strays[i])
+                met[alive] = True
+        found = np.unique(np.concatenate([np.array(doubt, np.int64), nodes[met]]))
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(found), bucket)), pa.array(found)], names=["bucket", "node"])
+
+    return arrow_map(pairs.select("bucket", "strays", "nodes"), run, "bucket long, node long", rows=1)
+
+
 class _Block:
     """Nodes of one bucket: ids, components, signatures, and their sets laid end to end."""
 
@@ -290,8 +324,13 @@ def _labels(links: DataFrame, nodes: DataFrame, members: DataFrame, verify: _Ver
     main = largest.select("bucket", F.col("m.c").alias("main"))
     counted = left.join(nodes.select("node", "n").dropDuplicates(["node"]), "node")
     strays = counted.join(main, "bucket").where("c != main").drop("main")
-    sets = verify.sets(left.select("node").distinct())
-    blocks = _blocks(strays, sets, "strays").join(_blocks(counted, sets, "nodes"), "bucket")
+    signs = nodes.select("node", "signature", "bands")
+    light = _blocks(strays, signs, "strays", False).join(_blocks(counted, signs, "nodes", False), "bucket")
+    doubt = store(_in_doubt(light, verify.percent).distinct(), "near-doubt")
+    if doubt.isEmpty():
+        return labels
+    sets = verify.sets(doubt.select("node").distinct())
+    blocks = _blocks(strays.join(doubt, ["bucket", "node"]), sets, "strays", True).join(_blocks(counted.join(doubt, ["bucket", "node"]), sets, "nodes", True), "bucket")
     return components(links.union(verify(_ordered(_compare_blocks(blocks, verify.percent)))))
 
 
