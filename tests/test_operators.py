@@ -261,6 +261,39 @@ def test_gold_and_sweep(catalogue):
     assert rates["recall"] == pytest.approx(rows[50]["tp"] / len(gold))
 
 
+def test_known_copies_move_no_vectors(catalogue, monkeypatch):
+    _, bagged, _, vectors = catalogue
+    gold = er.store(er.gold_pairs(bagged, F.col("gold_key")), "gold")
+    monkeypatch.setattr(er, "_meetings", None)
+    scores = er.score_pairs(gold, vectors).collect()
+    assert {round(r["similarity"], 9) for r in scores} == {0.0, 1.0} and len(scores) == gold.count()
+
+
+def test_few_candidates_beside_the_similar_pairs(spark, monkeypatch):
+    """Groups of six share a word that weighs little beside commoner ones, which no two sides share; some pairs are similar."""
+    rng = random.Random(1)
+    rows = []
+    for i in range(120):
+        side = "ab"[i % 2]
+        common = [f"{side}{k}" for k in rng.sample(range(40), 8)] * 5
+        rows.append((i, side, [*common, f"group{i // 6}", *[f"pair{i // 2}"] * (3 if i % 6 < 2 else 0)]))
+    records = spark.createDataFrame(rows, "doc_id bigint, side string, tokens array<string>")
+    bagged = er.store(er.with_bags(records), "bagged")
+    bags = er.store(er.fold_copies(bagged, "doc_id"), "bags")
+    vectors = er.bag_vectors(bagged, bags, "doc_id")
+    stored = {}
+
+    def kept(df, label, store=er.store):
+        stored[label] = store(df, label)
+        return stored[label]
+
+    monkeypatch.setattr(er, "store", kept)
+    found = er.similar_bags(vectors, 0.05).count()
+    expected = sum(round(x, 9) >= 0.05 for x in brute_pairs({i: (side, words) for i, side, words in rows}).values())
+    assert found == expected > 0
+    assert stored["candidates"].count() <= 1.5 * found
+
+
 def test_tf_idf_norm_and_dot(spark):
     docs = spark.createDataFrame([(1, "one_ one_ two!"), (2, "two")], "id int, text string")
     records = record_tokens(docs)
