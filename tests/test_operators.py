@@ -364,6 +364,15 @@ def test_long_words_are_met_by_pieces(spark):
     assert set(pairs) <= found
 
 
+def test_spelling_keys_are_not_broadcast(spark):
+    """Stored words look small to the planner; their keys, some hundreds a word, are not."""
+    words = er.store(spark.createDataFrame([("speling",), ("wrds",)], "word string"), "words")
+    vocabulary = er.store(spark.createDataFrame([("spelling", 3), ("words", 2)], "word string, freq bigint"), "vocabulary")
+    for depth in (1, 2):
+        plan = sp._near(words, vocabulary, depth)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_spell_report(spark):
     vocabulary = spark.createDataFrame([("access", 5), ("forbidden", 3)], "word string, freq bigint")
     tests = spark.createDataFrame(
