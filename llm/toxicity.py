@@ -26,7 +26,7 @@ the largest counts; null labels and keys are not used; other columns are not rea
 from __future__ import annotations
 
 import re
-from itertools import combinations
+from itertools import combinations, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -40,10 +40,13 @@ from llm.registry import query
 DECAY, POWER, LANDMARKS, SAMPLE, INSTANCES = 0.7, 3, 64, 8000, 3
 LONGEST, STRIDE = 16, 8  # longer words are read in overlapping windows
 ALIKE = 0.5  # largest kernel of two toxic landmarks
-_DOCS = 128
+KEPT_WORDS = 200_000  # words whose kernels a Python worker keeps: some 50 MB
+_DOCS = 512  # documents whose words are looked up together
+_WORDS = 16384  # words whose kernels are laid side by side
 _SPELLED = re.compile(rb"(?<!\S)(?:[a-z][^a-z\s]?\s+){2,}[a-z][^a-z\s]?(?!\S)")
 _INSIDE = re.compile(r"(?<=[^\W\d_])[^\w\s]+(?=[^\W\d_])")
 _ENDS = frozenset(b".!?")
+_MARKS = b"0123456789!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 # Codes of characters: 0 to 25 a to z, 26 to 29 other letters, 30 the beginning of a word, 31 anything else.
 _BEGIN, _OTHER, _SIZE = 30, 31, 32
 _CUBE = _SIZE**3
@@ -90,22 +93,84 @@ def feature_table(landmarks: list[str]) -> np.ndarray:
     return (weights / np.where(norm > 0, norm, 1)).astype(np.float32)
 
 
+class WordKernels:
+    """Kernels of words, computed once per word: up to ``most`` words are kept, then all are forgotten.
+
+    Subsequences that no landmark holds add nothing, so they share one row of zeros; the table that is left fits a
+    processor's cache.
+    """
+
+    def __init__(self, weights: np.ndarray, most: int = KEPT_WORDS):
+        self.weights, self.most = weights, most
+        held = np.flatnonzero(weights.any(axis=1))
+        self.place = np.zeros(len(weights), np.int32)
+        self.place[held] = np.arange(1, len(held) + 1)
+        self.table = np.concatenate([np.zeros((1, weights.shape[1]), np.float32), weights[held].astype(np.float32)])
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers: dict[bytes, int] = {}
+        self.rows = np.zeros((0, self.table.shape[1]), np.float32)
+        self.filled = 0
+
+    def word_numbers(self) -> dict[bytes, int]:
+        """Words to the rows of their kernels; new words get the next number, and their rows by :meth:`kernels`."""
+        if self.filled > self.most:
+            self._forget()
+        return self.numbers
+
+    def kernels(self) -> np.ndarray:
+        if len(self.numbers) > len(self.rows):
+            grown = np.zeros((max(len(self.numbers), 2 * len(self.rows)), self.rows.shape[1]), np.float32)
+            grown[: self.filled] = self.rows[: self.filled]
+            self.rows = grown
+        # marks at the end add nothing to a word of one window
+        cores = [w.rstrip(_MARKS) if len(w) < LONGEST else w for w in islice(self.numbers, self.filled, None)]
+        distinct = {w: i for i, w in enumerate(dict.fromkeys(cores))}
+        found = self.compute([w.decode() for w in distinct])
+        self.rows[self.filled : len(self.numbers)] = found[np.array([distinct[w] for w in cores], np.intp)]
+        self.filled = len(self.numbers)
+        return self.rows
+
+    def compute(self, words: list[str]) -> np.ndarray:
+        """Kernel of each word with each landmark, 1 and more counting as 1; the best window of long words."""
+        if not words:
+            return np.zeros((0, self.table.shape[1]), np.float32)
+        codes, lengths, owner = _windows(words)
+        best = np.zeros((len(codes), self.table.shape[1]), np.float32)
+        for size in range(3, LONGEST + 1):
+            rows = np.flatnonzero(lengths == size)
+            for start in range(0, len(rows), 1024):
+                part = rows[start : start + 1024]
+                own = np.ascontiguousarray(codes[part, :size].T)
+                found = np.zeros((len(part), self.table.shape[1]), np.float32)
+                more = np.empty_like(found)
+                for i, j in combinations(range(size - 1), 2):
+                    pair = (own[i] * _SIZE + own[j]) * _SIZE
+                    for k in range(j + 1, size):
+                        # "clip" takes into the given array without a copy; all places are in the table
+                        self.table.take(self.place.take(pair + own[k]), axis=0, out=more, mode="clip")
+                        more *= np.float32(DECAY ** (k - i + 1))
+                        found += more
+                best[part] = found
+        # a word's windows stand side by side, and each word has one
+        best = np.maximum.reduceat(best, np.searchsorted(owner, np.arange(len(words))), axis=0)
+        return np.minimum(best, 1) ** POWER
+
+
 def word_kernels(words: list[str], weights: np.ndarray) -> np.ndarray:
     """Kernel of each word with each landmark, 1 and more counting as 1; the best window of long words."""
-    out = np.zeros((len(words), weights.shape[1]), np.float32)
-    if not words:
-        return out
-    codes, lengths, owner = _windows(words)
-    for size in range(3, LONGEST + 1):
-        rows = np.flatnonzero(lengths == size)
-        for start in range(0, len(rows), 8192):
-            part = rows[start : start + 8192]
-            own = codes[part, :size]
-            found = np.zeros((len(part), weights.shape[1]), np.float32)
-            for i, j, k in combinations(range(size), 3):
-                found += np.float32(DECAY ** (k - i + 1)) * weights[(own[:, i] * _SIZE + own[:, j]) * _SIZE + own[:, k]]
-            np.maximum.at(out, owner[part], found)
-    return np.minimum(out, 1) ** POWER
+    return WordKernels(weights).compute(words)
+
+
+_KERNELS: list[WordKernels] = []
+
+
+def _kernels_of(weights: np.ndarray) -> WordKernels:
+    """The kernels of this table, kept between the batches of a Python worker."""
+    if not (_KERNELS and _KERNELS[0].weights is weights):
+        _KERNELS[:] = [WordKernels(weights)]
+    return _KERNELS[0]
 
 
 def words_and_ends(text: str) -> tuple[list[bytes], list[int]]:
@@ -128,17 +193,26 @@ def words_and_ends(text: str) -> tuple[list[bytes], list[int]]:
 
 def sentence_vectors(documents: list[str], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Vectors of all sentences, and where each document's sentences begin."""
-    numbers: dict[bytes, int] = {}
+    known = _kernels_of(weights)
+    numbers = known.word_numbers()
     codes, starts, firsts, at, sentences = [], [], [], 0, 0
     for text in documents:
         words, begins = words_and_ends(text)
-        codes.extend([numbers.setdefault(w, len(numbers)) for w in words])
+        for word in set(words).difference(numbers):
+            numbers[word] = len(numbers)
+        codes.extend(map(numbers.__getitem__, words))
         starts.extend([at + b for b in begins])
         firsts.append(sentences)
         at += len(words)
         sentences += len(begins)
-    kernels = word_kernels([w.decode() for w in numbers], weights)
-    return np.maximum.reduceat(kernels[np.array(codes)], np.array(starts), axis=0), np.array(firsts)
+    kernels, codes, starts = known.kernels(), np.array(codes), np.array(starts)
+    found = np.empty((len(starts), kernels.shape[1]), np.float32)
+    # so many words at a time, in whole sentences
+    cuts = np.unique(np.append(np.searchsorted(starts, np.arange(0, at, _WORDS)), len(starts)))
+    for a, b in pairwise(cuts.tolist()):
+        first, end = starts[a], starts[b] if b < len(starts) else at
+        found[a:b] = np.maximum.reduceat(kernels[codes[first:end]], starts[a:b] - first, axis=0)
+    return found, np.array(firsts)
 
 
 def stems(word: str) -> list[str]:

@@ -322,6 +322,24 @@ def test_toxicity_kernel():
     assert toxicity.word_kernels(["idiom"], weights)[0, 0] == pytest.approx(min(want, 1) ** toxicity.POWER, rel=1e-4)
 
 
+def test_toxicity_kernels_once_per_word(monkeypatch):
+    """Words met again, or before other marks in a batch, are not computed again; forgetting changes nothing."""
+    weights, seen = toxicity.feature_table(["idiot", "moron", "réeux"]), []
+    plain = toxicity.WordKernels.compute
+    monkeypatch.setattr(toxicity.WordKernels, "compute", lambda self, words: seen.extend(words) or plain(self, words))
+    texts = ["You idiot! idiot, an idiot.", "", "m o r o n and mo.ron\nréeuxment 12 --", "an idiot? " + "idiot" * 9 + "!!"]
+    vectors, firsts = toxicity.sentence_vectors(texts * 2, weights)
+    n = len(seen)
+    assert seen.count("idiot") == 1 and n == len(set(seen)) and len(firsts) == 2 * len(texts)
+    alone = [toxicity.sentence_vectors([t], weights)[0] for t in texts]
+    assert len(seen) == n
+    assert (vectors == np.concatenate(alone * 2)).all()
+    monkeypatch.setattr(toxicity, "_WORDS", 2)
+    toxicity._KERNELS[0].most = 0
+    again, _ = toxicity.sentence_vectors(texts * 2, weights)
+    assert len(seen) > n and (again == vectors).all()
+
+
 def test_toxicity_learns_insults(spark):
     rng = np.random.default_rng(3)
     words = ["".join(rng.choice(["ba", "lo", "mi", "tre", "son", "ka"], 3)) for _ in range(60)]
