@@ -23,11 +23,11 @@ from pyspark.sql import functions as F
 from llm.bpe import default_tokenizer
 from llm.common import arrow_map, table
 from llm.registry import query
-from llm.words_bpe import split_words, worker_encoder
+from llm.words_bpe import split_column, worker_encoder
 from millrace.session import new_folder
 
 END_ID = 1
-BATCH_DOCS = 512  # documents whose words are encoded together
+BATCH_DOCS = 1024  # documents whose words are encoded together
 
 
 def encode_sorted(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, key: str = "doc_id", text: str = "text", files: int | None = None) -> DataFrame:
@@ -40,19 +40,18 @@ def encode_sorted(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, ke
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(tokenizer, 1_000_000)
-        end = np.array([end_id], np.uint32).tobytes()
         for big in batches:
             for start in range(0, big.num_rows, BATCH_DOCS):
                 batch = big.slice(start, BATCH_DOCS)
-                words = [split_words(x or "") for x in batch.column(1).to_pylist()]
-                distinct = list({w for ws in words for w in ws})
-                ids = dict(zip(distinct, encoder.encode(distinct), strict=True))
-                rows = [b"".join([ids[w] for w in ws]) + end for ws in words]
-                counts = np.array([len(r) // 4 for r in rows], np.int64)
-                offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                flat = pa.array(np.frombuffer(b"".join(rows), "<i4"))
+                flat, sizes = encoder.encode_lists(split_column(batch.column(1)))
+                counts = sizes + 1
+                ends = np.cumsum(counts)
+                ids = np.full(len(flat) + len(counts), end_id, "<i4")
+                own = np.ones(len(ids), bool)
+                own[ends - 1] = False
+                ids[own] = flat
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), flat)],
+                    [batch.column(0), pa.array(counts), pa.ListArray.from_arrays(np.append(0, ends).astype(np.int32), pa.array(ids))],
                     names=[key, "n_tokens", "ids"],
                 )
 
@@ -77,14 +76,19 @@ def write_tokens(encoded: DataFrame, path: str, row_group_bytes: int = 64 << 20,
 
 def read_index(spark: SparkSession, path: str, key: str = "doc_id") -> DataFrame:
     """(key, start, n_tokens, file, row) from the counts alone; the tokens are not read."""
-    files = spark.read.parquet(path).select(key, "n_tokens", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
-    return with_starts(files)
+    return with_starts(read_counts(spark, path, key))
 
 
-def with_starts(rows: DataFrame) -> DataFrame:
+def read_counts(spark: SparkSession, path: str, key: str = "doc_id") -> DataFrame:
+    """(key, n_tokens, file, row); no tokens are read."""
+    return spark.read.parquet(path).select(key, "n_tokens", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+
+
+def with_starts(rows: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """``start`` from (n_tokens, file, row): all tokens before a document. One row per file is summed in one
-    place; inside a file the sum runs in row order."""
-    totals = rows.groupBy("file").agg(F.sum("n_tokens").alias("total"))
+    place; inside a file the sum runs in row order. ``counts``, if given, is another (n_tokens, file) of the same
+    files that is cheaper to read, for the files' totals."""
+    totals = (rows if counts is None else counts).groupBy("file").agg(F.sum("n_tokens").alias("total"))
     before = totals.select("file", F.coalesce(F.sum("total").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     inside = F.sum("n_tokens").over(Window.partitionBy("file").orderBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return rows.withColumn("inside", inside).join(before, "file").withColumn("start", F.col("before") + F.col("inside") - F.col("n_tokens")).drop("inside", "before")
@@ -116,4 +120,4 @@ def checksums(spark: SparkSession, path: str, key: str = "doc_id") -> DataFrame:
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "tokens")
     write_tokens(encode_sorted(table(spark, folder, "documents"), default_tokenizer()), path)
-    return with_starts(checksums(spark, path)).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return with_starts(checksums(spark, path), read_counts(spark, path)).select("doc_id", "start", "n_tokens", "ids_crc32")

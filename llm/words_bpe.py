@@ -9,6 +9,8 @@ from __future__ import annotations
 import os
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # Marks that end a word without being part of its last run of letters.
 _TAIL = b".,;:!?)]}#*$%&\"-"
@@ -25,6 +27,12 @@ def split_words(text: str) -> list[bytes]:
     return raw.split() if b"<|" in raw else raw.lower().split()
 
 
+def split_column(texts: pa.Array) -> pa.ListArray:
+    """``split_words`` of a column of texts, null as empty; an empty word may stand at either end of a list."""
+    texts = pc.fill_null(texts.cast(pa.string()), "")
+    return pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts)))
+
+
 def load_tokenizer(json_text: str):
     """The tokenizer with truncation and padding off."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -54,48 +62,64 @@ class WordEncoder:
         if len(self.known) > self.most:
             self.known.clear()
         known = self.known
-        parts, missing = {}, {}
-        for word in words:
-            if word not in known and word not in parts:
-                core = word.rstrip(_TAIL)
-                if core and core[-1] in _LETTERS and len(core) < len(word) and b"<|" not in word:
-                    # a run of letters and a run of other marks never share a token
-                    parts[word] = (core, word[len(core):])
-                    missing.update(dict.fromkeys(x for x in parts[word] if x not in known))
-                else:
-                    parts[word] = None
-                    missing[word] = None
-        self._add(list(missing))
-        for word, cut in parts.items():
-            if cut:
-                known[word] = known[cut[0]] + known[cut[1]]
-        return [known[word] for word in words]
-
-    def _add(self, words: list[bytes]) -> None:
-        plain, rest = [], []
-        for word in words:
-            try:
-                text = word.decode("latin-1") if word.isascii() else word.decode()
-            except UnicodeDecodeError:
-                text = word.decode(errors="replace")
+        plain, other, parts = set(), set(), []
+        for word in set(words).difference(known):
+            if word.isalpha():
+                plain.add(word)
+                continue
+            core = word.rstrip(_TAIL)
+            if core and len(core) < len(word) and core[-1] in _LETTERS and b"<|" not in word:
+                # a run of letters and a run of other marks never share a token
+                tail = word[len(core):]
+                parts.append((word, core, tail))
+                if core not in known:
+                    (plain if core.isalpha() else other).add(core)
+                if tail not in known:
+                    other.add(tail)
+            else:
+                other.add(word)
+        self._add(list(plain), list(other))
+        known.update([(word, known[core] + known[tail]) for word, core, tail in parts])
+        return list(map(known.__getitem__, words))
+
+    def encode_lists(self, words: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of all lists in a row, and how many each list has. Distinct words alone become Python objects."""
+        coded = words.flatten().cast(pa.binary()).dictionary_encode()
+        ids = self.encode(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
+        flat = np.frombuffer(b"".join(ids), np.uint32)
+        at = coded.indices.to_numpy()
+        pieces = pa.ListArray.from_arrays(np.append(0, np.cumsum(sizes)).astype(np.int32), pa.array(flat))
+        ends = words.offsets.to_numpy().astype(np.int64)
+        so_far = np.append(0, np.cumsum(sizes[at]))
+        return pieces.take(coded.indices).flatten().to_numpy(), np.diff(so_far[ends - ends[0]])
+
+    def _add(self, plain: list[bytes], other: list[bytes]) -> None:
+        """Ids of words of a to z, and of others. Words that are surely one run of letters are encoded in a row."""
+        rest = []
+        for word in other:
+            text = word.decode(errors="replace")
             # Latin-1 letters keep their number and their class under the tokenizer's normaliser
-            (plain if text.isalpha() and text.encode("latin-1", "ignore").decode("latin-1") == text else rest).append((word, text))
+            if text.isalpha() and text.encode("latin-1", "ignore").decode("latin-1") == text:
+                plain.append(word)
+            else:
+                rest.append(word)
         for start in range(0, len(plain), 4096):
             part = plain[start : start + 4096]
             ids = np.array(
-                self.tokenizer.encode_batch_fast([" ".join(t for _, t in part)], add_special_tokens=False)[0].ids,
+                self.tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids,
                 np.uint32,
             )
-            stops = np.flatnonzero(self.ends[ids]) + 1
+            stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             if len(stops) == len(part):
-                for (word, _), one in zip(part, np.split(ids, stops[:-1]), strict=True):
-                    self.known[word] = one.tobytes()
+                raw = ids.tobytes()
+                self.known.update(zip(part, [raw[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)], strict=True))
             else:
                 rest.extend(part)
         for start in range(0, len(rest), 4096):
             part = rest[start : start + 4096]
-            found = self.tokenizer.encode_batch_fast([t for _, t in part], add_special_tokens=False)
-            for (word, _), one in zip(part, found, strict=True):
+            found = self.tokenizer.encode_batch_fast([w.decode(errors="replace") for w in part], add_special_tokens=False)
+            for word, one in zip(part, found, strict=True):
                 self.known[word] = np.array(one.ids, np.uint32).tobytes()
 
 

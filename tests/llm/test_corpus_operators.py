@@ -104,6 +104,29 @@ def test_token_files(spark, tokenizer):
     assert token_files.with_starts(token_files.checksums(spark, empty)).count() == 0
 
 
+def test_words_become_python_objects_once(tokenizer, monkeypatch):
+    """A column's words are told apart before they leave Arrow, and each gets its ids."""
+    import pyarrow as pa
+
+    from llm.words_bpe import WordEncoder, split_column, split_words
+
+    encoder, asked = WordEncoder(tokenizer.to_str()), []
+    plain = encoder.encode
+    monkeypatch.setattr(encoder, "encode", lambda words: asked.extend(words) or plain(words))
+    texts = [*ODD_TEXTS, "same old same old", "\x0b x\x0c\r\n Same", "a\x00b \x7f"]
+    ids, sizes = encoder.encode_lists(split_column(pa.array(texts)))
+    assert len(asked) == len(set(asked))
+    for text, own in zip(texts, np.split(ids, np.cumsum(sizes)[:-1]), strict=True):
+        assert own.tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids
+        assert own.tobytes() == b"".join(plain(split_words(text or "")))
+
+
+def test_token_files_reads_the_tokens_once(spark):
+    found = all_queries()["op7_token_files"](spark, FOLDER)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"ReadSchema: \S*ids:array", plan)) == 1
+
+
 def brute_hits(text, items, window=10):
     word = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
     own, hit, found = word(text), set(), set()
