@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -19,8 +20,10 @@ from millrace.operators import aggregates as agg
 from millrace.operators import embedding
 from millrace.operators import entity as er
 from millrace.operators import features as ft
+from millrace.operators import language
 from millrace.operators import metrics as mx
 from millrace.operators import models as ml
+from millrace.operators import neighbours
 from millrace.operators import relational as rel
 from millrace.operators import sequences as sq
 from millrace.operators import spelling as sp
@@ -773,3 +776,27 @@ def test_scratch_folder_follows_the_session():
     assert scratch_dir(FakeSession(named, "yarn")) == "hdfs://shared/scratch"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_dir(FakeSession({}, "yarn"))
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _bagged(spark):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(12)], k=rng.randint(1, 9))) for _ in range(60)]
+    rows = [(i, "ab"[i % 2], f"g{hash(t) if i % 5 else i}", t.split()) for i, t in enumerate(texts + texts[:10] + ["", ""])]
+    return er.store(er.with_bags(spark.createDataFrame(rows, "doc_id bigint, side string, gold_key string, tokens array<string>")), "bagged"), rows
+
+
+def test_common_tokens_forms_no_row_per_pair_and_token(spark, monkeypatch):
+    bagged, _ = _bagged(spark)
+    bags = er.store(er.fold_copies(bagged, "doc_id"), "bags")
+    vectors = er.bag_vectors(bagged, bags, "doc_id")
+    held = {r["bag"]: set(r["tokens"]) for r in bagged.collect()}
+    left, right = ([r["bag"] for r in bags.where(f"{n} > 0").collect()] for n in ("n_left", "n_right"))
+    pairs = spark.createDataFrame([(a, b) for a in left for b in right], "left_bag binary, right_bag binary")
+    monkeypatch.setattr(er, "_meetings", None)
+    got = [(bytes(r[0]), bytes(r[1]), r[2]) for r in er.common_tokens(store(pairs, "pairs"), vectors).select("left_bag", "right_bag", "shared").collect()]
+    want = [(bytes(a), bytes(b), sorted(held[a] & held[b])) for a in left for b in right if held[a] & held[b]]
+    assert sorted(got) == sorted(want)
