@@ -800,3 +800,17 @@ def test_common_tokens_forms_no_row_per_pair_and_token(spark, monkeypatch):
     got = [(bytes(r[0]), bytes(r[1]), r[2]) for r in er.common_tokens(store(pairs, "pairs"), vectors).select("left_bag", "right_bag", "shared").collect()]
     want = [(bytes(a), bytes(b), sorted(held[a] & held[b])) for a in left for b in right if held[a] & held[b]]
     assert sorted(got) == sorted(want)
+
+
+def test_vectors_of_wanted_bags_are_those_of_all(spark):
+    bagged, _ = _bagged(spark)
+    bags = er.store(er.fold_copies(bagged, "doc_id"), "bags")
+    wanted = bags.where("n_left > 0 and n_right > 0").select("bag")
+    every = {(bytes(r["bag"]), r["token"]): r for r in er.bag_vectors(bagged, bags, "doc_id").collect()}
+    few = er.bag_vectors(bagged, bags, "doc_id", wanted=wanted.union(wanted)).collect()
+    names = {bytes(r["bag"]) for r in wanted.collect()}
+    assert {(bytes(r["bag"]), r["token"]) for r in few} == {k for k in every if k[0] in names}
+    for r in few:
+        other = every[bytes(r["bag"]), r["token"]]
+        assert (r["df"], r["n_left"], r["n_right"]) == (other["df"], other["n_left"], other["n_right"])
+        assert r["weight"] == pytest.approx(other["weight"]) and r["common_sq"] == pytest.approx(other["common_sq"], abs=1e-6)
