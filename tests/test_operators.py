@@ -814,3 +814,16 @@ def test_vectors_of_wanted_bags_are_those_of_all(spark):
         other = every[bytes(r["bag"]), r["token"]]
         assert (r["df"], r["n_left"], r["n_right"]) == (other["df"], other["n_left"], other["n_right"])
         assert r["weight"] == pytest.approx(other["weight"]) and r["common_sq"] == pytest.approx(other["common_sq"], abs=1e-6)
+
+
+def test_nearest_rows_by_one_product():
+    rng = np.random.default_rng(8)
+    x, q = rng.normal(size=(300, 4)).round(1), rng.normal(size=(40, 4)).round(1)
+    x[::4], q[0], ids = x[0], x[0], rng.permutation(300)
+    for x_now, k in ((x, 5), (x[:3], 5), (np.where(np.arange(300)[:, None] % 2, np.nan, x), 5), (np.full((9, 4), np.nan), 4)):
+        own = ids[: len(x_now)]
+        which, rows, d = neighbours._nearest(q, x_now, own, k)
+        for i, row in enumerate(q):
+            far = np.round(np.sqrt(((x_now - row) ** 2).sum(axis=1)), 9)
+            best = np.lexsort((own, far))[:k]
+            assert rows[which == i].tolist() == best.tolist() and np.array_equal(d[which == i], far[best], equal_nan=True)
