@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from millrace.functions.text import sentences, tokenize_simple, tokenize_stop
 
 
+_HOT = 50_000  # tokens whose weights are broadcast
+
+
 def sentence_table(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     return docs.select(key, F.posexplode(sentences(F.col(text))).alias("pos", "sentence"))
 
@@ -32,7 +35,7 @@ class SentimentModel:
     """Two-class naive Bayes as a table of token weights and two numbers.
 
     A token's weight is the log of its smoothed rate in positive texts over that in negative
-    ones, so a text's margin is one sum. ``weights`` is (token, weight); ``base`` is one row
+    ones, so a text's margin is one sum. ``weights`` is (token, n, weight), n its count; ``base`` is one row
     (prior, unknown): the classes' log odds and the weight of a token seen in neither. Texts are
     told apart by their keys.
     """
@@ -55,7 +58,7 @@ class SentimentModel:
         neg_total = totals.getField("neg") + totals.getField("size")
         unknown = F.log(neg_total / pos_total)
         weights = counts.select(
-            "token", (F.log((F.col("pos") + 1) / (F.col("neg") + 1)) + unknown).alias("weight")
+            "token", (F.col("pos") + F.col("neg")).alias("n"), (F.log((F.col("pos") + 1) / (F.col("neg") + 1)) + unknown).alias("weight")
         )
         classes = texts.agg(F.count_if(positive).alias("p"), F.count_if(~positive).alias("n"))
         base = classes.select(F.log((F.col("p") + 1) / (F.col("n") + 1)).alias("prior"), unknown.alias("unknown"))
@@ -65,17 +68,20 @@ class SentimentModel:
         """(keys.., margin, label) for every text; POS where the margin is not below 0."""
         prior = self.base.select("prior").scalar()
         unknown = self.base.select("unknown").scalar()
-        # the outer explode keeps texts without tokens; a text's tokens lie together, so beside a
-        # broadcast weight table the sums shrink to a row per text before the shuffle
+        # the outer explode keeps texts without tokens; a text's tokens lie together, so beside the broadcast weights of
+        # the frequent ones, a bounded number, the sums shrink to a row per text before the shuffle. Only the rows of
+        # rarer tokens are spread by token, and none of those fills a task
         tokens = texts.select(*keys, F.explode_outer(tokenize_simple(F.col(text))).alias("token"))
-        sums = (
-            tokens.join(self.weights, "token", "left")
-            .groupBy(*keys)
-            .agg(
-                F.sum("weight").alias("seen"),
-                F.count_if(F.col("weight").isNull() & F.col("token").isNotNull()).alias("unseen"),
-            )
+        is_hot = F.col("n") >= self.weights.agg(F.sum("n") / _HOT).scalar()
+        hot = F.broadcast(self.weights.where(is_hot).select("token", "weight"))
+        often = tokens.join(hot, "token", "left").select(*keys, "weight", F.lit(0).alias("unseen"))
+        rare = (
+            tokens.where("token is not null")
+            .join(hot, "token", "left_anti")
+            .join(self.weights.where(~is_hot).select("token", "weight"), "token", "left")
+            .select(*keys, "weight", F.col("weight").isNull().cast("int").alias("unseen"))
         )
+        sums = often.unionByName(rare).groupBy(*keys).agg(F.sum("weight").alias("seen"), F.sum("unseen").alias("unseen"))
         margin = F.coalesce("seen", F.lit(0.0)) + F.col("unseen") * unknown + prior
         return sums.select(*keys, F.round(margin, 6).alias("margin")).withColumn(
             "label", F.when(F.col("margin") >= 0, "POS").otherwise("NEG")

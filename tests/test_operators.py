@@ -827,3 +827,17 @@ def test_nearest_rows_by_one_product():
             far = np.round(np.sqrt(((x_now - row) ** 2).sum(axis=1)), 9)
             best = np.lexsort((own, far))[:k]
             assert rows[which == i].tolist() == best.tolist() and np.array_equal(d[which == i], far[best], equal_nan=True)
+
+
+def test_sentiment_is_the_same_with_rare_and_frequent_weights(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choices("abcdefgh", range(1, 9), k=rng.randint(0, 12))), i % 2) for i in range(60)]
+    model = SentimentModel.train(spark.createDataFrame(rows, "id int, s string, y int"), "y", "s")
+    asked = spark.createDataFrame([*[(i, s) for i, s, _ in rows], (None, "a zz"), (60, "zz zz h"), (61, None)], "id int, s string")
+    whole = sorted(map(str, model.score(asked, ["id"], "s").collect()))
+    assert len(whole) == 63
+    for most in (1, 5, 1e-9):
+        monkeypatch.setattr(language, "_HOT", most)
+        found = model.score(asked, ["id"], "s")
+        assert sorted(map(str, found.collect())) == whole
+    assert "LeftAnti" in _plan(found)
