@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from millrace.functions.text import sentences, tokenize_simple, tokenize_stop
 
 
 _HOT = 50_000  # tokens whose weights are broadcast
+_DOCS = 4096  # documents of a partition whose words are sorted
 
 
 def sentence_table(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -20,9 +23,10 @@ def extractive_summary(docs: DataFrame, key: str, text: str = "text", n: int = 5
     (key, pos, score, sentence).
 
     The texts are spread by key once; word frequencies, scores and ranks are all per document
-    and reuse that spread.
+    and reuse that spread. Its partitions grow in number and not in size, as a task sorts all words of its own.
     """
-    parts = sentence_table(docs.select(key, text).repartition(key), key, text)
+    n_parts = max(math.ceil(docs.count() / _DOCS), docs.sparkSession.sparkContext.defaultParallelism)
+    parts = sentence_table(docs.select(key, text).repartition(n_parts, key), key, text)
     words = parts.select(key, "pos", F.explode(tokenize_stop(F.col("sentence"))).alias("token"))
     per_word = words.withColumn("freq", F.count("*").over(Window.partitionBy(key, "token")))
     scores = per_word.groupBy(key, "pos").agg(F.sum("freq").alias("score"))

@@ -841,3 +841,11 @@ def test_sentiment_is_the_same_with_rare_and_frequent_weights(spark, monkeypatch
         found = model.score(asked, ["id"], "s")
         assert sorted(map(str, found.collect())) == whole
     assert "LeftAnti" in _plan(found)
+
+
+def test_summary_partitions_grow_in_number(spark, monkeypatch):
+    monkeypatch.setattr(language, "_DOCS", 3)
+    docs = spark.createDataFrame([(i % 50, f"Cats sleep {i}. Dogs run.") for i in range(60)], "id int, text string")
+    found = extractive_summary(docs, "id", n=1)
+    assert re.search(r"hashpartitioning\(id#\d+, 20\), REPARTITION_BY_NUM", _plan(found))
+    assert found.count() == 60
