@@ -91,18 +91,25 @@ def distinct_values(df: DataFrame, table: str) -> DataFrame:
 
 
 def column_sketches(df: DataFrame, table: str, log2_buckets: int = 12) -> DataFrame:
-    """(table, column, ordinal, n_rows, n_filled, estimate, sketch) from one scan that shuffles one row per task.
+    """(table, column, ordinal, n_rows, n_filled, estimate, sketch): counts and sketches in one scan that shuffles one
+    row per task.
 
     The HyperLogLog sketches of several tables or days merge with ``hll_union``. Their standard error is
     1.04 / sqrt(2 ^ log2_buckets), 1.6 % at 12.
     """
-    sketches = df.agg(*[
-        F.hll_sketch_agg(F.unhex(F.md5(_as_text(F.col(f.name), f.dataType))), log2_buckets).alias(f"s{i}")
-        for i, f in enumerate(df.schema.fields, 1)
-    ])
-    listed = sketches.select(F.posexplode(F.array(*[F.col(f"s{i + 1}") for i in range(len(df.columns))])).alias("place", "sketch"))
-    each = listed.select((F.col("place") + 1).alias("ordinal"), "sketch", F.hll_sketch_estimate("sketch").alias("estimate"))
-    return _filled(df, table).join(each, "ordinal").select("table", "column", "ordinal", "n_rows", "n_filled", "estimate", "sketch")
+    cells = [
+        F.struct(
+            F.count(F.col(f.name)).alias("n_filled"),
+            F.hll_sketch_agg(F.unhex(F.md5(_as_text(F.col(f.name), f.dataType))), log2_buckets).alias("sketch"),
+        )
+        for f in df.schema.fields
+    ]
+    counts = df.agg(F.count("*").alias("n_rows"), F.array(*cells).alias("cells"))
+    each = counts.select("n_rows", F.posexplode("cells").alias("place", "c"))
+    return each.join(_ordinals(df), F.col("place") + 1 == F.col("ordinal")).select(
+        F.lit(table).alias("table"), "column", "ordinal", "n_rows", "c.n_filled",
+        F.hll_sketch_estimate("c.sketch").alias("estimate"), "c.sketch",
+    )
 
 
 def _ordinals(df: DataFrame) -> DataFrame:

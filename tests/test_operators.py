@@ -849,3 +849,8 @@ def test_summary_partitions_grow_in_number(spark, monkeypatch):
     found = extractive_summary(docs, "id", n=1)
     assert re.search(r"hashpartitioning\(id#\d+, 20\), REPARTITION_BY_NUM", _plan(found))
     assert found.count() == 60
+
+
+def test_column_sketches_read_the_table_once(spark):
+    df = spark.range(500).select("id", (F.col("id") % 7).cast("string").alias("few"))
+    assert _plan(agg.column_sketches(df, "t")).count("Range (0, 500") == 1
