@@ -854,3 +854,11 @@ def test_summary_partitions_grow_in_number(spark, monkeypatch):
 def test_column_sketches_read_the_table_once(spark):
     df = spark.range(500).select("id", (F.col("id") % 7).cast("string").alias("few"))
     assert _plan(agg.column_sketches(df, "t")).count("Range (0, 500") == 1
+
+
+def test_word_tables_are_not_broadcast(spark):
+    vocabulary = store(spark.createDataFrame([("access", 5), ("forbidden", 3)], "word string, freq bigint"), "v")
+    tests = store(spark.createDataFrame([("access", "acess"), ("missing", "mising")], "target string, wrong string"), "t")
+    fixed = sp.spell_correct(tests.select(F.col("wrong").alias("word")), vocabulary)
+    assert "Broadcast" not in _plan(fixed) and "Broadcast" not in _plan(sp.spell_report(tests, store(fixed, "fixed"), vocabulary))
+    assert tuple(sp.spell_report(tests, fixed, vocabulary).first())[:3] == (2, 1, 1)
