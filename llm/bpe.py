@@ -153,9 +153,8 @@ def encode_lists(lists: DataFrame, parts: int, tokenizer) -> DataFrame:
             rows = []
             for block, data, size in zip(*(batch.column(c).to_pylist() for c in ("block", "data", "size")), strict=True):
                 numbers, listed = _unpack(data)
-                ids = encoder.encode(zstandard.decompress(listed).split(b"\n"))
-                lengths = np.array([len(x) // 4 for x in ids], np.uint32)
-                rows.append((block, _pack(numbers, _planes(lengths), _planes(np.frombuffer(b"".join(ids), "<u4"))), size))
+                ids, lengths = encoder.encode_flat(zstandard.decompress(listed).split(b"\n"))
+                rows.append((block, _pack(numbers, _planes(lengths), _planes(ids)), size))
             yield _batch(rows, schema)
 
     return lists.select("part", "block", "data", "size").repartition(parts, "part").mapInArrow(run, _IDS)

@@ -17,6 +17,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,7 +28,17 @@ from llm.words_bpe import split_column, worker_encoder
 from millrace.session import new_folder
 
 END_ID = 1
-BATCH_DOCS = 1024  # documents whose words are encoded together
+BATCH_BYTES = 3 << 20  # of texts whose words are encoded together, if not one document has more
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of whole documents, whose texts (column 1) come to ``BATCH_BYTES`` or to one document."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start, before = 0, 0
+    while start < batch.num_rows:
+        stop = max(int(np.searchsorted(ends, before + BATCH_BYTES, "right")), start + 1)
+        yield batch.slice(start, stop - start)
+        start, before = stop, int(ends[stop - 1])
 
 
 def encode_sorted(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, key: str = "doc_id", text: str = "text", files: int | None = None) -> DataFrame:
@@ -39,10 +50,9 @@ def encode_sorted(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, ke
     placed = narrow.repartitionByRange(files, "id", "h").sortWithinPartitions("id", "h").select("id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(tokenizer, 1_000_000)
+        encoder = worker_encoder(tokenizer, 500_000)
         for big in batches:
-            for start in range(0, big.num_rows, BATCH_DOCS):
-                batch = big.slice(start, BATCH_DOCS)
+            for batch in _slices(big):
                 flat, sizes = encoder.encode_lists(split_column(batch.column(1)))
                 counts = sizes + 1
                 ends = np.cumsum(counts)

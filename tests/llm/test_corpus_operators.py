@@ -121,6 +121,31 @@ def test_words_become_python_objects_once(tokenizer, monkeypatch):
         assert own.tobytes() == b"".join(plain(split_words(text or "")))
 
 
+def test_known_words_are_numbers(tokenizer):
+    """Ids of known words lie in one array and are gathered by number; words are dropped and met again in between."""
+    from llm.words_bpe import WordEncoder, split_words
+
+    encoder = WordEncoder(tokenizer.to_str(), 5)
+    for text in [*ODD_TEXTS, "Same old, same old...", *ODD_TEXTS]:
+        words = split_words(text or "")
+        flat, sizes = encoder.encode_flat(words)
+        assert flat.tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids
+        assert [len(x) // 4 for x in encoder.encode(words)] == sizes.tolist()
+        assert all(isinstance(number, int) for number in encoder.known.values())
+
+
+def test_token_files_batches_are_bounded_by_bytes(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(token_files, "BATCH_BYTES", 10)
+    texts = ["aaaa", "bbbb", None, "c" * 30, "", "dd", "éé", "eeee", "f"]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(10)), "text": pa.array(["skipped", *texts])}).slice(1)
+    got = [x.column(1).to_pylist() for x in token_files._slices(batch)]
+    assert [t for part in got for t in part] == texts
+    assert all(len(part) == 1 or sum(len((t or "").encode()) for t in part) <= 10 for part in got)
+    assert len(got) == 4
+
+
 def test_token_files_reads_the_tokens_once(spark):
     found = all_queries()["op7_token_files"](spark, FOLDER)
     plan = found._jdf.queryExecution().executedPlan().toString()
