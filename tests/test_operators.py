@@ -526,6 +526,39 @@ def test_vectors_tell_topics_apart(topics, block_words):
     assert np.mean([s > o for s in same for o in other]) > 0.95
 
 
+@pytest.mark.parametrize("n_rows", [1, 3, 40, 2000])
+def test_changes_are_summed_to_the_last_bit(n_rows):
+    rng = np.random.default_rng(n_rows)
+    rows = rng.integers(0, n_rows, 576).astype(np.int32)
+    change = rng.normal(size=(576, 30)).astype(np.float32)
+    order = np.argsort(rows, kind="stable")
+    distinct, starts = np.unique(rows[order], return_index=True)
+    expected = np.add.reduceat(change[order], starts, axis=0)
+    got, summed = embedding._summed(rows, change)
+    back = np.argsort(got)
+    assert np.array_equal(got[back], distinct) and np.array_equal(summed[back], expected)
+
+
+def test_blocks_stay_few_until_memory_asks_for_more():
+    assert embedding.blocks_of(12_855, 18_374_616, 16_384, 120_000) == 13
+    assert embedding.blocks_of(74_941, 158_526_232, 16_384, 120_000) == 24
+    assert embedding.blocks_of(1_000_000, 158_526_232, 16_384, 120_000) == 62
+    assert embedding.blocks_of(74_941, 10**10, 16_384, 120_000) == 52
+    assert embedding.blocks_of(5, 10**10, 16_384, 120_000) == 5 and embedding.blocks_of(0, 0, 16_384, 120_000) == 1
+
+
+def test_a_round_reads_its_own_pairs_alone(topics, monkeypatch):
+    records, vocabulary = topics
+    made = {}
+    monkeypatch.setattr(embedding, "new_folder", lambda spark, label, new=embedding.new_folder: made.setdefault(label, new(spark, label)))
+    embedding.train_vectors(records, vocabulary, "id", size=4, passes=1, block_words=22)
+    spark = records.sparkSession
+    stored = spark.read.parquet(made["word-pairs"])
+    turns = stored.select("turn", ((F.col("o") - F.col("i") + 2) % 2).alias("own")).distinct().collect()
+    assert sorted((r["turn"], r["own"]) for r in turns) == [(0, 0), (1, 1)]
+    assert all("/turn=" in path for path in stored.inputFiles())
+
+
 def test_vectors_without_pairs_and_words(spark):
     records = spark.createDataFrame([(1, ["a"]), (2, ["a"]), (3, [])], "id int, tokens array<string>")
     vocabulary = sq.build_vocabulary(records.select(F.explode("tokens").alias("word")), 1)
