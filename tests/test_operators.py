@@ -297,6 +297,89 @@ def test_few_candidates_beside_the_similar_pairs(spark, monkeypatch):
     assert stored["candidates"].count() <= 1.5 * found
 
 
+def _zipf_bags(spark):
+    """Records of many rare words and some that nearly all hold; the sides share a few of them, and some texts come twice."""
+    rng = random.Random(7)
+    common, rare = [f"c{i}" for i in range(30)], [f"r{i}" for i in range(400)]
+    rows = []
+    for i in range(150):
+        words = rng.choices(common, [1 / (k + 1) for k in range(30)], k=12) + rng.sample(rare, 4) + [f"only{i}"] * (i % 3)
+        rows.append((i, "ab"[i % 2], words if i % 10 else ["copy", "of", "c0"]))
+    records = spark.createDataFrame(rows + rows[:4], "doc_id bigint, side string, tokens array<string>")
+    bagged = er.store(er.with_bags(records), "bagged")
+    return rows, bagged, er.store(er.fold_copies(bagged, "doc_id"), "bags")
+
+
+def _stored(monkeypatch):
+    stored = {}
+
+    def kept(df, label, store=er.store, **how):
+        stored[label] = store(df, label, **how)
+        return stored[label]
+
+    monkeypatch.setattr(er, "store", kept)
+    return stored
+
+
+@pytest.mark.parametrize("hot", [0, 8, 50_000])
+def test_vectors_with_rare_and_common_tokens(spark, monkeypatch, hot):
+    rows, bagged, bags = _zipf_bags(spark)
+    monkeypatch.setattr(er, "_HOT", hot)
+    stored = _stored(monkeypatch)
+    got = er.bag_vectors(bagged, bags, "doc_id").collect()
+    # no table of counts by bag and token is written to be spread anew
+    assert "bag-tokens" not in stored
+    tokens = [words for _, _, words in rows + rows[:4]]
+    df = Counter(x for words in tokens for x in set(words))
+    want = {}
+    for words in {tuple(sorted(words)): words for words in tokens}.values():
+        raw = {x: c / len(words) * len(tokens) / df[x] for x, c in Counter(words).items()}
+        norm = math.sqrt(sum(x * x for x in raw.values()))
+        so_far = 0.0
+        for x in sorted(raw, key=lambda x: (-df[x], x)):
+            so_far += (raw[x] / norm) ** 2
+            want[" ".join(sorted(words)), x] = (raw[x] / norm, df[x], so_far)
+    text_of = {bytes(r["bag"]): " ".join(sorted(r["tokens"])) for r in bagged.collect()}
+    found = {(text_of[bytes(r["bag"])], r["token"]): (r["weight"], r["df"], r["common_sq"]) for r in got}
+    assert len(got) == len(found) and found.keys() == want.keys()
+    for k, (weight, n, common_sq) in found.items():
+        assert (weight, n) == (pytest.approx(want[k][0]), want[k][1]) and common_sq == pytest.approx(want[k][2], abs=1e-6)
+    assert len({r["name"] for r in got}) == len({r["bag"] for r in got}) == len({(r["name"], r["bag"]) for r in got})
+
+
+@pytest.mark.parametrize("hot,levelled", [(0, 0), (8, 0), (50_000, 0), (50_000, 100)])
+def test_bins_without_the_score_of_every_pair(spark, monkeypatch, hot, levelled):
+    """Pairs whose bounds lie in one bin are not scored, and the bins are those of brute force."""
+    rows, bagged, bags = _zipf_bags(spark)
+    monkeypatch.setattr(er, "_HOT", hot)
+    monkeypatch.setattr(er, "_LEVELLED", levelled)
+    vectors = er.bag_vectors(bagged, bags, "doc_id")
+    stored = _stored(monkeypatch)
+    bins = er.pairs_per_bin(er.similar_bags(vectors, 0.0099999, alike=numbers.score_bin), er.pair_total(bags)).collect()
+    docs = {k: (side, words) for k, (_, side, words) in enumerate(rows + rows[:4])}
+    counted = Counter(int(round(round(x, 9) * 100, 6)) for x in brute_pairs(docs).values())
+    assert {r["bin"]: r["n"] for r in bins} == {k: counted[k] for k in range(101)}
+    assert 0 < stored["asked"].count() < 0.7 * stored["candidates"].count()
+
+
+def test_postings_that_meet_nothing_long_enough_do_not_move(spark, monkeypatch):
+    rows, bagged, bags = _zipf_bags(spark)
+    vectors = er.bag_vectors(bagged, bags, "doc_id")
+    index = er._index_prefix(vectors, 0.05).withColumn("reach", F.sqrt("common_sq"))
+    kept = er._within_reach(index, vectors, 0.05).collect()
+    everything = index.collect()
+    far = {}
+    for r in everything:
+        for side in ("n_left", "n_right"):
+            if r[side]:
+                far[side, r["token"]] = max(far.get((side, r["token"]), 0), r["reach"])
+    want = {
+        (r["name"], r["token"]) for r in everything for side, other in (("n_left", "n_right"), ("n_right", "n_left"))
+        if r[side] and r["reach"] * far.get((other, r["token"]), 0) >= 0.05 * (1 - 1e-6)
+    }
+    assert {(r["name"], r["token"]) for r in kept} == want and len(want) < len(everything)
+
+
 def test_tf_idf_norm_and_dot(spark):
     docs = spark.createDataFrame([(1, "one_ one_ two!"), (2, "two")], "id int, text string")
     records = record_tokens(docs)
