@@ -32,6 +32,7 @@ from millrace.operators.language import SentimentModel, extractive_summary
 from millrace.operators.neighbours import knn_classify, knn_fitted
 from millrace.operators.ordering import number_rows, running_totals, store
 from millrace.operators.words import biggest_record, record_tokens, word_count
+from millrace.plans import all_queries
 from millrace.session import new_folder, scratch_dir
 from millrace.sources import files
 from millrace.sources.inventory import file_inventory, list_files
@@ -978,3 +979,44 @@ def test_word_tables_are_not_broadcast(spark):
     fixed = sp.spell_correct(tests.select(F.col("wrong").alias("word")), vocabulary)
     assert "Broadcast" not in _plan(fixed) and "Broadcast" not in _plan(sp.spell_report(tests, store(fixed, "fixed"), vocabulary))
     assert tuple(sp.spell_report(tests, fixed, vocabulary).first())[:3] == (2, 1, 1)
+
+
+# ---- every pair that shares a token -----------------------------------------------------------
+
+
+@pytest.mark.parametrize("bags_of_block, postings, meetings", [(1024, 400_000, 2_000_000), (7, 60, 40), (50, 1, 1)])
+def test_sharing_pairs_by_blocks(spark, monkeypatch, bags_of_block, postings, meetings):
+    rows, bagged, bags = _zipf_bags(spark)
+    vectors = er.bag_vectors(bagged, bags, "doc_id")
+    for name, size in (("_SIDE_BAGS", bags_of_block), ("_POSTINGS", postings), ("_MEETINGS", meetings)):
+        monkeypatch.setattr(er, name, size)
+    held = {i: words for i, _, words in rows}
+    scores = brute_pairs({i: (side, words) for i, side, words in rows + [(200 + i, *x) for i, (_, *x) in enumerate(rows[:4])]})
+    sizes = {r["left_id"]: r["n_left"] for r in bags.collect()}, {r["right_id"]: r["n_right"] for r in bags.collect()}
+    first = set(sizes[0]), set(sizes[1])
+    want = {p: s for p, s in scores.items() if p[0] in first[0] and p[1] in first[1] and set(held[p[0]]) & set(held[p[1]])}
+    assert min(want.values()) < 0.05
+    found = er.similar_bags(vectors, 0, names=bags)
+    # blocks are read where they are stored; no pair moves
+    assert "Exchange" not in _plan(found)
+    got = {(r["left_id"], r["right_id"]): r for r in found.collect()}
+    assert got.keys() == want.keys()
+    for p, r in got.items():
+        assert (round(r["similarity"], 9), r["n_pairs"]) == (round(want[p], 9), sizes[0][p[0]] * sizes[1][p[1]])
+    tokens = er.common_tokens(None, vectors, bags).collect()
+    assert {(r["left_id"], r["right_id"]): r["shared"] for r in tokens} == {p: sorted(set(held[p[0]]) & set(held[p[1]])) for p in want}
+    assert len(tokens) == len(want)
+
+
+@pytest.mark.parametrize("name", ["cosine_inverted", "common_tokens"])
+def test_pairs_of_low_cosine_are_listed(spark, tmp_path, name):
+    """Two texts whose only shared word is nothing beside their own ones."""
+    texts = [("src0", "zebra " + "alpha " * 60), ("src5", "zebra " + "beta " * 60), ("src5", "gamma"), ("src1", "zebra delta"), ("src6", None)]
+    rows = [(i, source, text) for i, (source, text) in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id bigint, source string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = all_queries()[name](spark, str(tmp_path)).collect()
+    assert {(r["a_id"], r["b_id"]) for r in found} == {(0, 1), (3, 1)}
+    if name == "cosine_inverted":
+        assert all(0 < r["similarity"] < 0.05 for r in found if r["a_id"] == 0)
+    else:
+        assert {r["shared"] for r in found} == {"zebra"}
