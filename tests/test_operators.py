@@ -1020,3 +1020,47 @@ def test_pairs_of_low_cosine_are_listed(spark, tmp_path, name):
         assert all(0 < r["similarity"] < 0.05 for r in found if r["a_id"] == 0)
     else:
         assert {r["shared"] for r in found} == {"zebra"}
+
+
+# ---- questions in batches ---------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("batch", [1, 3, 2000])
+def test_questions_move_a_number_per_word(spark, monkeypatch, batch):
+    monkeypatch.setattr(sq, "_QUESTIONS", batch)
+    rng = random.Random(3)
+    names = [f"@entity{i}" for i in range(6)] + ["out", "in"]
+    rows = []
+    for i in range(40):
+        listed = rng.sample(names, rng.randint(0, 6))
+        rows.append((i, "ok", " ".join(rng.choices(names, k=8)), " ".join(rng.choices(["who", "zz", *names], k=4)), rng.choice(names), listed))
+    rows += [(None, "ok", "who", "", None, ["out"]), (50, "short", "a", None, None, None), (51, "ok", "who", "in", "in", None), (52, None, "a", "a", "a", [])]
+    again = [(0, "ok", "who in", "in", "zz", ["in"]), (50, "ok", "in", "in", "in", ["in"])]
+    schema = "id int, status string, context string, question string, answer string, candidates array<string>"
+    vocabulary = store(sq.entity_vocabulary(spark.createDataFrame([("in", 1), ("who", 2)], "word string, rank int"), 5), "vocabulary")
+    encoded = sq.encode_questions(spark.createDataFrame(rows + again, schema), vocabulary, "id", 5)
+    plan = _plan(encoded)
+    assert "Window" not in plan and "Generate explode" not in plan
+    ids, got = dict(vocabulary.collect()), {(r["id"], r["status"]): r for r in encoded.collect()}
+    assert got.keys() == {(r[0], r[1]) for r in rows + again}
+    own = {}
+    for r in spark.createDataFrame([r for r in rows + again if r[5]], schema).select("id", "status", sq.candidate_map(F.col("id"), F.col("candidates"), 5).alias("m")).collect():
+        own.setdefault((r["id"], r["status"]), []).append(r["m"])
+    for r in rows:
+        if r[0] == 0:
+            continue
+        mine = (own.get(r[:2]) or [{}])[0]
+
+        def code(w):
+            return mine[w] if w in mine else -1 if w and w.startswith("@entity") else ids.get(w, ids["<UNK>"])
+
+        found = got[r[:2]]
+        if r[1] != "ok":
+            assert found["context"] is None and found["candidates"] is None and found["answer"] is None
+        elif r[5] is None:
+            assert (found["context"], found["question"], found["answer"], found["candidates"]) == ([], [], None, [])
+        else:
+            assert found["context"] == [code(w) for w in r[2].split(" ")] and found["question"] == [code(w) for w in r[3].split(" ")]
+            assert found["answer"] == code(r[4]) and found["candidates"] == [code(w) for w in r[5]]
+    # rows of one key and status are one question, by place
+    assert len(got[0, "ok"]["context"]) == 10 and len(got[0, "ok"]["question"]) == 5
